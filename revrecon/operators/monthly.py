@@ -69,14 +69,14 @@ def _metric_rows(visits: DataFrame, key_lines: DataFrame) -> DataFrame:
     periods = visits.groupBy("facility", month_key("dos").alias("month")).agg(*_period_measures())
     both = periods.join(_ledger_months(key_lines), ["facility", "month"], "full_outer")
     filled = both.select(
-        "facility", "month", *[F.coalesce(F.col(m), F.lit(0)).cast("double").alias(m) for m in PIVOT_METRICS]
+        "facility", "month", *[F.coalesce(F.col(m), F.lit(0)).cast("decimal(28,2)").alias(m) for m in PIVOT_METRICS]
     )
     return filled.unpivot(["facility", "month"], list(PIVOT_METRICS), "metric", "amount")
 
 
 def _pivot(rows: DataFrame, keys: Sequence[str], months: Sequence[str]) -> DataFrame:
     wide = rows.filter(F.col("month").isin(*months)).groupBy(*keys).pivot("month", list(months)).agg(F.sum("amount"))
-    return wide.na.fill(0.0, list(months))
+    return wide.select(*keys, *[F.coalesce(F.col(f"`{m}`"), F.lit(0)).alias(m) for m in months])
 
 
 def facility_month_pivot(
