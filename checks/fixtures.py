@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 VIEWS = {
     "fx_visits": """
@@ -128,10 +129,21 @@ PL_MONTHS = {f"m{m:02d}": f"1997-{m:02d}" for m in range(1, 13)}
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One supplied table. Its schema is inferred once per process; later reads need no job for it."""
+    path = f"{sf_dir}/{name}.parquet"
+    if name not in _SCHEMAS:
+        _SCHEMAS[name] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[name]).parquet(path)
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived table as a lazy DataFrame."""
-    for table in READS[name]:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+    for source in READS[name]:
+        table(spark, sf_dir, source).createOrReplaceTempView(source)
     return spark.sql(VIEWS[name])
 
 

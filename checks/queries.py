@@ -187,27 +187,26 @@ def read_deposits(spark, sf):
     """One deposit file per facility with preamble and subtotal lines, read back."""
     root = scratch_dir(spark, "deposits_csv")
     d = fx.deposits(spark, sf)
-    paths = {}
     cols = files.schemas.DEPOSIT_FIELDS
-    for region in fx.REGIONS:
-        top = spark.createDataFrame(
-            [("Some Clinic LLC",) + (None,) * 8, (None, "01/01/1990 preamble") + (None,) * 6 + ("1.00",),
-             (None, "Transaction date", "Transaction type", "Num", "Customer", "Vendor", "Memo", "Cleared", "Amount")],
-            ", ".join(f"{c} string" for c in cols),
-        ).coalesce(1)
-        body = d.filter(F.col("facility") == region)
-        lines = body.select(
-            "account", _us_date("txn_date").alias("txn_date"), F.lit("Deposit").alias("txn_type"),
-            F.col("row_no").cast("string").alias("num"), F.lit(None).cast("string").alias("customer"),
-            F.lit(None).cast("string").alias("vendor"), "memo", "cleared",
-            F.format_number("amount", 2).alias("amount"),
-        )
-        subtotals = body.groupBy("account").agg(F.format_number(F.sum("amount"), 2).alias("amount")).select(
-            F.concat(F.lit("Total for "), "account").alias("account"),
-            *[F.lit(None).cast("string").alias(c) for c in cols[1:-1]], "amount",
-        )
-        paths[region] = f"{root}/{region.replace(' ', '_')}"
-        top.unionByName(lines).unionByName(subtotals).write.csv(paths[region])
+    none = F.lit(None).cast("string")
+    header = ("Transaction date", "Transaction type", "Num", "Customer", "Vendor", "Memo", "Cleared", "Amount")
+    preamble = [("Some Clinic LLC",) + (None,) * 8, (None, "01/01/1990 preamble") + (None,) * 6 + ("1.00",), (None, *header)]
+    top = spark.createDataFrame(
+        [(*line, region) for region in fx.REGIONS for line in preamble],
+        ", ".join(f"{c} string" for c in (*cols, "file")),
+    ).coalesce(1)
+    lines = d.select(
+        "account", _us_date("txn_date").alias("txn_date"), F.lit("Deposit").alias("txn_type"),
+        F.col("row_no").cast("string").alias("num"), none.alias("customer"), none.alias("vendor"), "memo", "cleared",
+        F.format_number("amount", 2).alias("amount"), F.col("facility").alias("file"),
+    )
+    subtotals = d.groupBy("facility", "account").agg(F.format_number(F.sum("amount"), 2).alias("amount")).select(
+        F.concat(F.lit("Total for "), "account").alias("account"),
+        *[none.alias(c) for c in cols[1:-1]], "amount", F.col("facility").alias("file"),
+    )
+    # one folder per facility; the preamble is the first part file of each
+    top.unionByName(lines).unionByName(subtotals).write.partitionBy("file").csv(root)
+    paths = {region: f"{root}/file={region}" for region in fx.REGIONS}
     return exports.read_deposits(spark, paths).select(
         F.col("num").cast("long").alias("row_no"), "txn_date", "amount", "memo", "cleared", "account", "facility"
     )
@@ -220,18 +219,18 @@ def read_pl_long(spark, sf):
     wide = fx.pl_wide(spark, sf)
     months = [dt.date(1997, m, 1).strftime("%B %Y") for m in range(1, 13)]
     names_ = ["label", *fx.PL_MONTHS]
-    paths = {}
-    for region in fx.REGIONS:
-        top = spark.createDataFrame(
-            [(0, "Some Clinic LLC") + (None,) * 12, (1, "Distribution account", *months)],
-            "row_no int, " + ", ".join(f"{n} string" for n in names_),
-        )
-        sheet = top.unionByName(
-            wide.filter(F.col("facility") == region).select((F.col("row_no") + 10).cast("int").alias("row_no"), *names_)
-        )
-        paths[region] = f"{root}/{region.replace(' ', '_')}"
-        # one sheet is one small file by nature: some twenty lines whatever the scale
-        sheet.repartition(1).sortWithinPartitions("row_no").select(*names_).write.csv(paths[region])
+    top = spark.createDataFrame(
+        [(region, *line) for region in fx.REGIONS
+         for line in ((0, "Some Clinic LLC") + (None,) * 12, (1, "Distribution account", *months))],
+        "facility string, row_no int, " + ", ".join(f"{n} string" for n in names_),
+    )
+    sheets = top.unionByName(
+        wide.select("facility", (F.col("row_no") + 10).cast("int").alias("row_no"), *names_)
+    )
+    # a sheet is one small file by nature: some twenty lines whatever the scale
+    ordered = sheets.repartition("facility").sortWithinPartitions("facility", "row_no")
+    ordered.select("facility", *names_).write.partitionBy("facility").csv(root)
+    paths = {region: f"{root}/facility={region}" for region in fx.REGIONS}
     return ledger_sheet.read_pl_long(spark, paths, PATIENT_CATEGORIES)
 
 

@@ -38,6 +38,8 @@ def ledger_amount(col: str | Column) -> Column:
 
 def money_sum(col: str | Column, where: Column | None = None) -> Column:
     """Sum where no row or only nulls gives 0, optionally over the rows that satisfy ``where``."""
+    if isinstance(col, str) and where is None:
+        return F.expr(f"coalesce(sum(`{col}`), 0)")
     value = F.col(col) if isinstance(col, str) else col
     if where is not None:
         value = F.when(where, value)
@@ -46,12 +48,26 @@ def money_sum(col: str | Column, where: Column | None = None) -> Column:
 
 def ratio(numerator: str | Column, denominator: str | Column, factor: float = 1.0) -> Column:
     """Unrounded double ratio; null when the denominator is 0 or null."""
+    if isinstance(numerator, str) and isinstance(denominator, str):
+        return F.expr(_ratio_sql(numerator, denominator, factor))
     num = (F.col(numerator) if isinstance(numerator, str) else numerator).cast("double")
     den = (F.col(denominator) if isinstance(denominator, str) else denominator).cast("double")
     value = F.try_divide(num, den)
     return value * F.lit(factor) if factor != 1.0 else value
 
 
+def _ratio_sql(numerator: str, denominator: str, factor: float) -> str:
+    value = f"try_divide(cast(`{numerator}` as double), cast(`{denominator}` as double))"
+    return f"{value} * {factor}D" if factor != 1.0 else value
+
+
+def _round_sql(value: str, digits: int) -> str:
+    scale = f"{float(10**digits)}D"
+    up = f"cast(floor(({value}) * {scale} + 0.5D) as double) / {scale}"
+    down = f"cast(-floor(-({value}) * {scale} + 0.5D) as double) / {scale}"
+    return f"case when ({value}) < 0 then {down} else {up} end"
+
+
 def round_half_away(value: Column, digits: int = 2) -> Column:
     """Round a double half away from zero in plain arithmetic, equal in every engine."""
     scale = float(10**digits)
@@ -60,8 +76,15 @@ def round_half_away(value: Column, digits: int = 2) -> Column:
     return F.when(value < 0, down).otherwise(up)
 
 
+def rounded_ratio(numerator: str, denominator: str, digits: int = 2, factor: float = 1.0) -> Column:
+    """Rounded ratio of two named columns; null when the denominator is 0 or null."""
+    return F.expr(_round_sql(_ratio_sql(numerator, denominator, factor), digits))
+
+
 def pct(numerator: str | Column, denominator: str | Column, digits: int = 2) -> Column:
     """Rounded percentage; null when the denominator is 0 or null."""
+    if isinstance(numerator, str) and isinstance(denominator, str):
+        return rounded_ratio(numerator, denominator, digits, 100.0)
     return round_half_away(ratio(numerator, denominator, 100.0), digits)
 
 

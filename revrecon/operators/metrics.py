@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from revrecon import rules, schemas
 from revrecon.functions import labels
-from revrecon.functions.money import MONEY_TYPE, money_sum, pct, ratio, round_half_away
-from revrecon.operators.quality import check_columns
+from revrecon.functions.money import MONEY_TYPE, money_sum, pct, ratio, round_half_away, rounded_ratio
 
 CUBE_DIMS = ("provider", "payer_type", "facility", "visit_stage")
 
@@ -62,7 +61,7 @@ def _by(cube: DataFrame, dim: str) -> DataFrame:
 
     The window has no partition because its input is one row per dimension value, never a fact.
     """
-    groups = cube.groupBy(dim).agg(*[F.sum(m).alias(m) for m in _MEASURES])
+    groups = cube.groupBy(dim).agg(*[F.expr(f"sum({m}) as {m}") for m in _MEASURES])
     everything = Window.partitionBy()
     return (
         groups.withColumn("all_rows", F.sum("n_rows").over(everything))
@@ -71,18 +70,16 @@ def _by(cube: DataFrame, dim: str) -> DataFrame:
     )
 
 
-def _rates() -> dict[str, Column]:
-    return {
-        "collection_rate": pct("collected", "billed"),
-        "avg_per_visit": round_half_away(ratio("collected", "visits")),
-        "pct_of_revenue": pct("collected", "all_collected"),
-        "pct_of_visits": pct("visits", "all_rows"),
-    }
+_RATES = {
+    "collection_rate": lambda: pct("collected", "billed"),
+    "avg_per_visit": lambda: rounded_ratio("collected", "visits"),
+    "pct_of_revenue": lambda: pct("collected", "all_collected"),
+    "pct_of_visits": lambda: pct("visits", "all_rows"),
+}
 
 
 def _group_metrics(cube: DataFrame, dim: str, columns: Sequence[str]) -> DataFrame:
-    rates = _rates()
-    return _by(cube, dim).select(dim, *[rates[c].alias(c) if c in rates else F.col(c) for c in columns])
+    return _by(cube, dim).select(dim, *[_RATES[c]().alias(c) if c in _RATES else c for c in columns])
 
 
 def provider_performance_of(cube: DataFrame) -> DataFrame:
@@ -150,7 +147,7 @@ def summary_row(totals: DataFrame) -> DataFrame:
         F.col("billed").alias("total_billed"),
         F.col("collected").alias("total_collected"),
         F.when(F.col("billed") > 0, pct("collected", "billed")).otherwise(0.0).alias("collection_rate"),
-        F.when(F.col("n_rows") > 0, round_half_away(ratio("collected", "n_rows"))).otherwise(0.0).alias(
+        F.when(F.col("n_rows") > 0, rounded_ratio("collected", "n_rows")).otherwise(0.0).alias(
             "avg_collection_per_visit"
         ),
         F.col("written_off").alias("total_written_off"),
@@ -311,7 +308,7 @@ def operational_rates(visits: DataFrame) -> DataFrame:
 
 
 def require_metric_columns(visits: DataFrame) -> None:
-    """Raise when a column that the metrics need is missing; a schema check, no job."""
-    missing = [r["column_name"] for r in check_columns(visits, schemas.METRIC_COLUMNS, ()).collect()]
+    """Raise when a column that the metrics need is missing; looks at the schema only."""
+    missing = [c for c in schemas.METRIC_COLUMNS if c not in visits.columns]
     if missing:
         raise ValueError(f"missing required columns: {missing}")

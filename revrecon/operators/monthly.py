@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from revrecon.functions import labels
 from revrecon.functions.dates import in_month, month_key, month_label
-from revrecon.functions.money import money_sum, pct, ratio, round_half_away
+from revrecon.functions.money import money_sum, pct, rounded_ratio
 
 ALL_FACILITIES = "COMBINED"
 PIVOT_METRICS = ("checked_in", "unbilled", "billed", "collected", "pl_revenue", "pl_expenses", "net_income")
@@ -155,7 +155,7 @@ def _billing_measures() -> list[Column]:
 
 
 def _with_average(df: DataFrame) -> DataFrame:
-    average = F.coalesce(round_half_away(ratio("billed_total", "billed_count")), F.lit(0.0))
+    average = F.coalesce(rounded_ratio("billed_total", "billed_count"), F.lit(0.0))
     return df.withColumn("billed_avg", average)
 
 

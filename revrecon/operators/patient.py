@@ -54,7 +54,7 @@ def patient_header(visits: DataFrame, patient_id=None) -> DataFrame:
         .groupBy("patient_id", "facility")
         .agg(
             F.count("*").alias("n"),
-            F.min(F.struct("dos", "row_no", "payer")).alias("first"),
+            F.min(F.struct(F.col("dos").isNull().alias("undated"), "dos", "row_no", "payer")).alias("first"),
             money_sum("last_billed").alias("billed"),
             money_sum("total_paid").alias("paid"),
         )
