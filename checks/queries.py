@@ -116,12 +116,16 @@ def kept_deposits(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.patient_deposits(clean_deposits(spark, sf), KEYWORDS)
 
 
+def pl_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return ledger_sheet.pl_cells(fx.pl_wide(spark, sf), fx.PL_MONTHS)
+
+
 def pl(spark: SparkSession, sf: str) -> DataFrame:
-    return ledger_sheet.pl_long(fx.pl_wide(spark, sf), fx.PL_MONTHS, PATIENT_CATEGORIES)
+    return ledger_sheet.pl_long(pl_cells(spark, sf), PATIENT_CATEGORIES)
 
 
 def key_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return ledger_sheet.pl_key_lines(fx.pl_wide(spark, sf), fx.PL_MONTHS)
+    return ledger_sheet.pl_key_lines(pl_cells(spark, sf))
 
 
 def _dollars(col: str) -> Column:
@@ -241,7 +245,7 @@ def pl_key_lines(spark, sf):
 
 @query
 def pl_cell_lookup(spark, sf):
-    return ledger_sheet.pl_cell_lookup(fx.pl_wide(spark, sf), fx.PL_MONTHS, "Total for Income", PL_MONTH)
+    return ledger_sheet.pl_cell_lookup(pl_cells(spark, sf), "Total for Income", PL_MONTH)
 
 
 @query

@@ -145,7 +145,7 @@ def name_dob_match(claims: DataFrame, patients: DataFrame) -> DataFrame:
 def close_match_candidates(matched: DataFrame, patients: DataFrame) -> DataFrame:
     """Master patients whose birth date occurs among the close matches: the review list, per birth date."""
     dobs = matched.filter(F.col("match_id") == rules.CLOSE_MATCH).select("dob").distinct()
-    return patients.join(dobs, "dob", "left_semi").select(
+    return lookup(patients, dobs, ["dob"], "left_semi").select(
         "dob", name_collapsed(name_flipped("patient_name")).alias("candidate_name"), "patient_name", "patient_id"
     )
 

@@ -31,18 +31,25 @@ def deposits_clean(deposits: DataFrame, order_by: Sequence[str] = ("row_no",)) -
     return deposits_dedup(deposits, order_by).orderBy("txn_date", "facility", *order_by)
 
 
+def _labelled_total(rolled: DataFrame) -> DataFrame:
+    """The roll-up's total row under the name ALL."""
+    return rolled.withColumn(
+        "facility", F.when(F.col("is_total") == 1, ALL).otherwise(F.col("facility"))
+    ).drop("is_total")
+
+
 def deposit_stats(deposits: DataFrame) -> DataFrame:
-    """Count, sum and date range per facility and in total."""
-    return deposits.rollup("facility").agg(
-        F.count("*").alias("n"),
-        money_sum("amount").alias("total"),
-        F.min("txn_date").alias("first_date"),
-        F.max("txn_date").alias("last_date"),
+    """Count, sum and date range per facility and in total; the total is rolled up from group rows."""
+    groups = deposits.groupBy("facility").agg(
+        F.count("*").alias("n"), money_sum("amount").alias("total"),
+        F.min("txn_date").alias("first_date"), F.max("txn_date").alias("last_date"),
+    )
+    rolled = groups.rollup("facility").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), money_sum("total").alias("total"),
+        F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
         F.grouping("facility").alias("is_total"),
-    ).select(
-        F.when(F.col("is_total") == 1, ALL).otherwise(F.col("facility")).alias("facility"),
-        "n", "total", "first_date", "last_date",
     )
+    return _labelled_total(rolled)
 
 
 def is_non_patient(keywords: Sequence[str] = rules.NON_PATIENT_KEYWORDS) -> Column:
@@ -104,9 +111,7 @@ def pl_stats(pl: DataFrame) -> DataFrame:
         F.concat_ws("|", F.sort_array(F.collect_set("category"))).alias("categories"),
         F.grouping("facility").alias("is_total"),
     )
-    return stats.withColumn(
-        "facility", F.when(F.col("is_total") == 1, ALL).otherwise(F.col("facility"))
-    ).drop("is_total")
+    return _labelled_total(stats)
 
 
 def pl_monthly_revenue(pl: DataFrame, facilities: Sequence[str], patient_only: bool = True) -> DataFrame:
@@ -199,14 +204,14 @@ def _monthly(visits: DataFrame, ledger: DataFrame, facility_map, rule: ReconRule
 
 
 def _totals(visits: DataFrame, ledger: DataFrame, facility_map, rule: ReconRule) -> DataFrame:
-    def rolled(df: DataFrame, sums: list[Column]) -> DataFrame:
-        named = df.rollup("facility").agg(*sums, F.grouping("facility").alias("is_total"))
-        return named.withColumn(
-            "facility", F.when(F.col("is_total") == 1, ALL).otherwise(F.col("facility"))
-        ).drop("is_total")
-
-    left = rolled(_visit_rows(visits, facility_map), _visit_sums()).drop("visit_count")
-    right = rolled(ledger, [money_sum("amount").alias("ledger_amount")])
+    def rolled(df: DataFrame, sums: list[Column], names: list[str]) -> DataFrame:
+        groups = df.groupBy("facility").agg(*sums)
+        totals = groups.rollup("facility").agg(*[money_sum(n).alias(n) for n in names], F.grouping("facility").alias("is_total"))
+        return _labelled_total(totals)
+
+    names = ["visits_collected", "visits_patient_paid", "visits_insurance_paid"]
+    left = rolled(_visit_rows(visits, facility_map), _visit_sums()[:3], names)
+    right = rolled(ledger, [money_sum("amount").alias("ledger_amount")], ["ledger_amount"])
     amounts = ["visits_collected", "visits_patient_paid", "visits_insurance_paid", "ledger_amount"]
     joined = left.join(right, "facility", "full_outer").select(
         "facility", *[F.coalesce(F.col(a), F.lit(0)).alias(a) for a in amounts]

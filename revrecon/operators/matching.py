@@ -222,9 +222,12 @@ def billing_master(visits: DataFrame, claims: DataFrame) -> DataFrame:
 def billing_master_summary(master: DataFrame) -> DataFrame:
     """Rows by source and by match status, and rows with discrepancies: (grouping, value, n)."""
     differs = F.col("discrepancies").isNotNull() & (F.col("discrepancies") != "None")
-    sets = master.groupingSets([["source"], ["match_status"], []], "source", "match_status").agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(differs).alias("n_diff"),
+    groups = master.groupBy("source", "match_status").agg(
+        F.count("*").alias("n_rows"), F.count_if(differs).alias("n_diff")
+    )
+    sets = groups.groupingSets([["source"], ["match_status"], []], "source", "match_status").agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("n_diff"), F.lit(0)).alias("n_diff"),
         F.grouping("source").alias("no_source"),
         F.grouping("match_status").alias("no_status"),
     )

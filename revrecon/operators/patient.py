@@ -11,6 +11,7 @@ from revrecon.functions import labels
 from revrecon.functions.dates import as_date, in_month, month_label
 from revrecon.functions.money import money_sum
 from revrecon.operators.actions import claims_last_by_key, with_claim
+from revrecon.operators.lookups import lookup
 
 
 def patient_history(visits: DataFrame, claims: DataFrame, names_by_id: DataFrame, patient_id) -> DataFrame:
@@ -78,7 +79,7 @@ def unbilled_visits(visits: DataFrame, month: str) -> DataFrame:
 def append_new_unbilled(tracked: DataFrame, unbilled: DataFrame, run_date: str | dt.date) -> DataFrame:
     """Unbilled rows whose (patient, date) the tracking table lacks, stamped with run date and month."""
     seen = tracked.select("patient_id", "dos").distinct()
-    return unbilled.join(seen, ["patient_id", "dos"], "left_anti").select(
+    return lookup(unbilled, seen, ["patient_id", "dos"], "left_anti", spread_by="provider").select(
         as_date(run_date).alias("run_date"), month_label("dos").alias("month_label"), "patient_id", "dos",
         "visit_stage", "provider", "facility",
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revrecon import rules, schemas
+from revrecon.operators.lookups import lookup
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +110,7 @@ def snapshot_retention_plan(
     taken = F.try_to_timestamp("stamp", F.lit("yyyyMMdd_HHmmss"))
     cutoff = F.lit(as_of - dt.timedelta(days=max_age_days))
     keep = (F.col("file_name") == F.col("newest_name")) & ~F.coalesce(taken < cutoff, F.lit(False))
-    return files.join(newest, ["prefix", "extension"]).select(
+    return lookup(files, newest, ["prefix", "extension"], "inner", spread_by="file_name").select(
         "file_name", "prefix", "extension", "stamp", F.when(keep, "keep").otherwise("delete").alias("action")
     )
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +10,8 @@ from pyspark.sql import functions as F
 from revrecon import schemas
 from revrecon.functions.dates import parse_us_date
 from revrecon.functions.money import parse_money
-from revrecon.sources.files import line_ordinal, read_delimited, typed
+from revrecon.operators.lookups import lookup
+from revrecon.sources.files import facility_of_path, line_ordinal, read_delimited, typed
 
 
 def read_visits(
@@ -41,31 +41,29 @@ def read_claims(
 
 
 def read_deposits(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Deposit details, one headerless file per facility -> typed transactions.
+    """Deposit details, one headerless file per facility -> typed transactions, in one scan.
 
     Rows count only after the line that names the columns, only with a date-shaped second cell and
-    only with a readable amount. The facility is a literal per file, so a filter on it skips the
-    other files.
+    only with a readable amount. The header positions are one row per facility.
     """
     ddl = ", ".join(f"{name} string" for name in schemas.DEPOSIT_FIELDS)
-    parts = []
-    for facility, path in paths.items():
-        cells = spark.read.schema(ddl).option("header", False).csv(path)
-        lines = cells.select(*schemas.DEPOSIT_FIELDS, line_ordinal().alias("row_no"))
-        is_header = F.array_contains(
-            F.array(*[F.trim(F.coalesce(F.col(c), F.lit(""))) for c in schemas.DEPOSIT_FIELDS]),
-            "Transaction date",
-        )
-        header = lines.filter(is_header).agg(F.min("row_no").alias("header_row"))
-        dated = lines.filter(F.col("txn_date").rlike(r"\d{2}/\d{2}/\d{4}"))
-        parts.append(
-            dated.filter(F.col("row_no") > header.scalar())
-            .withColumn("facility", F.lit(facility))
-            .withColumn("txn_date", parse_us_date("txn_date"))
-            .withColumn("amount", parse_money("amount"))
-            .filter(F.col("amount").isNotNull())
-        )
-    return reduce(DataFrame.unionByName, parts)
+    lines = spark.read.schema(ddl).option("header", False).csv(list(paths.values())).select(
+        *schemas.DEPOSIT_FIELDS, line_ordinal().alias("row_no"), facility_of_path(paths).alias("facility")
+    )
+    cells = F.array(*[F.trim(F.coalesce(F.col(c), F.lit(""))) for c in schemas.DEPOSIT_FIELDS])
+    headers = (
+        lines.filter(F.array_contains(cells, "Transaction date"))
+        .groupBy("facility")
+        .agg(F.min("row_no").alias("header_row"))
+    )
+    dated = lines.filter(F.col("txn_date").rlike(r"\d{2}/\d{2}/\d{4}"))
+    return (
+        lookup(dated, headers, ["facility"], "inner")
+        .filter(F.col("row_no") > F.col("header_row"))
+        .drop("header_row")
+        .withColumns({"txn_date": parse_us_date("txn_date"), "amount": parse_money("amount")})
+        .filter(F.col("amount").isNotNull())
+    )
 
 
 def read_patients(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,15 @@ def line_ordinal() -> Column:
     return F.shiftleft(part, _PART_BITS) + F.col("_metadata.file_block_start") + index_in_task
 
 
+def facility_of_path(paths: Mapping[str, str]) -> Column:
+    """Facility of a line from the file it stands in; the longest matching path wins."""
+    result = None
+    for facility, path in sorted(paths.items(), key=lambda item: -len(item[1])):
+        here = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).contains(path)
+        result = F.when(here, facility) if result is None else result.when(here, facility)
+    return result
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],

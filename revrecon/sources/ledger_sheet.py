@@ -1,106 +1,97 @@
-"""Profit-and-loss sheets: wide text with section labels -> long rows."""
+"""Profit-and-loss sheets: wide text with section labels -> long rows.
+
+A sheet becomes cells (facility, row_no, label, month, text) without any step on the driver: every
+file brings its own header line and its own months, and all files are read in one scan.
+"""
 
 from __future__ import annotations
 
-import csv
-import re
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import add
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revrecon import rules
 from revrecon.functions.money import ledger_amount, parse_money
-from revrecon.sources.files import line_ordinal
+from revrecon.operators.lookups import lookup
+from revrecon.sources.files import facility_of_path, line_ordinal
 
-MONTH_NAMES = (
-    "January|February|March|April|May|June|July|August|September|October|November|December"
+MONTH_CELL = (
+    r"^(January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{4}$"
 )
-_MONTH_CELL = re.compile(rf"^({MONTH_NAMES})\s+(\d{{4}})$")
+# a comma with an even number of quotes behind it
+_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def month_of_label(label: str) -> str | None:
-    """``September 2025`` -> ``2025-09``; anything else -> None."""
-    match = _MONTH_CELL.match(label.strip())
-    if not match:
-        return None
-    return f"{match.group(2)}-{MONTH_NAMES.split('|').index(match.group(1)) + 1:02d}"
+def _cells(line: str) -> Column:
+    parts = F.split(F.regexp_replace(line, r"\r$", ""), _SEPARATOR, -1)
+    return F.transform(parts, lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.trim(c), r'^"|"$', ""), '""', '"')))
 
 
-def read_pl_sheet(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, tuple[DataFrame, dict[str, str]]]:
-    """Raw sheets by facility: (rows after the header line, column -> month key).
+def read_pl_cells(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """P&L files by facility -> cells below the header line, one per row and month column.
 
-    The header line is the first with three or more ``Month YYYY`` cells; it alone is brought to
-    the driver, because only it says how many columns the sheet has.
+    The header line of a file is its first line with three or more ``Month YYYY`` cells.
     """
-    sheets = {}
-    cell = rf'(^|,)"?\s*({MONTH_NAMES})\s+\d{{4}}\s*"?(?=,|$)'
-    for facility, path in paths.items():
-        text = spark.read.text(path).select("value", line_ordinal().alias("row_no"))
-        months_in_line = F.regexp_count(F.regexp_replace("value", r"\r$", ""), F.lit(cell))
-        header = text.filter(months_in_line >= 3).orderBy("row_no").limit(1).collect()
-        if not header:
-            raise ValueError(f"no month header in {path}")
-        cells = next(csv.reader([header[0]["value"]]))
-        names = ["label"] + [f"c{i:03d}" for i in range(1, len(cells))]
-        months = {n: m for n, c in zip(names, cells) if (m := month_of_label(c))}
-        raw = spark.read.schema(", ".join(f"{n} string" for n in names)).csv(path)
-        ordered = raw.select(*names, line_ordinal().alias("line"))
-        is_month = [
-            F.coalesce(F.trim(F.col(c)).rlike(rf"^({MONTH_NAMES})\s+\d{{4}}$").cast("int"), F.lit(0))
-            for c in names
-        ]
-        first = ordered.filter(reduce(add, is_month) >= 3).agg(F.min("line"))
-        rows = ordered.filter(F.col("line") > first.scalar()).withColumn("facility", F.lit(facility))
-        sheets[facility] = (rows.withColumnRenamed("line", "row_no"), months)
-    return sheets
-
-
-def pl_long(
-    sheet: DataFrame,
-    months: Mapping[str, str],
-    patient_categories: Sequence[str] = rules.PATIENT_REVENUE_CATEGORIES,
-) -> DataFrame:
-    """Wide sheet -> one row per category and month with an amount other than 0.
+    lines = spark.read.text(list(paths.values())).select(
+        _cells("value").alias("cells"), line_ordinal().alias("row_no"), facility_of_path(paths).alias("facility")
+    )
+    months = F.filter(
+        F.transform(
+            "cells",
+            lambda c, i: F.struct(
+                i.alias("at"),
+                F.when(c.rlike(MONTH_CELL), F.date_format(F.try_to_date(c, "MMMM yyyy"), "yyyy-MM")).alias("month"),
+            ),
+        ),
+        lambda m: m["month"].isNotNull(),
+    )
+    headers = (
+        lines.withColumn("months", months)
+        .filter(F.size("months") >= 3)
+        .groupBy("facility")
+        .agg(F.min("row_no").alias("header_row"), F.min_by("months", "row_no").alias("months"))
+    )
+    return (
+        lookup(lines, headers, ["facility"], "inner")
+        .filter(F.col("row_no") > F.col("header_row"))
+        .select("facility", "row_no", F.get("cells", F.lit(0)).alias("label"), "cells", F.explode("months").alias("m"))
+        .select("facility", "row_no", "label", "m.month", F.get("cells", F.col("m.at")).alias("text"))
+    )
 
-    ``sheet`` has facility, row_no, label and one text column per key of ``months``. The open
-    section is carried down the sheet by a window; its partition is one facility's sheet, that is
-    the length of a chart of accounts, and does not grow with the number of transactions.
-    """
-    label = F.trim(F.coalesce(F.col("label"), F.lit("")))
-    marker = F.when(label.isin(*rules.PL_CLOSING_LABELS), F.lit("")).when(
-        label.isin(*rules.PL_SECTIONS), label
+
+def pl_cells(sheet: DataFrame, months: Mapping[str, str]) -> DataFrame:
+    """A wide table (facility, row_no, label, one text column per key of ``months``) as cells."""
+    keys = F.create_map(*[F.lit(x) for pair in months.items() for x in pair])
+    return sheet.unpivot(["facility", "row_no", "label"], list(months), "cell", "text").select(
+        "facility", "row_no", "label", F.try_element_at(keys, F.col("cell")).alias("month"), "text"
     )
-    down = Window.partitionBy("facility").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
-    sections = F.create_map(*[F.lit(x) for pair in rules.PL_SECTIONS.items() for x in pair])
+
+
+def pl_long(cells: DataFrame, patient_categories: Sequence[str] = rules.PATIENT_REVENUE_CATEGORIES) -> DataFrame:
+    """Cells -> one row per category and month with an amount other than 0.
+
+    The open section is carried down the sheet by a window. Its partition is one facility's sheet,
+    that is the length of a chart of accounts, and does not grow with the number of transactions.
+    """
+    label = F.trim(F.coalesce("label", F.lit("")))
+    marker = F.when(label.isin(*rules.PL_CLOSING_LABELS), F.lit("")).when(label.isin(*rules.PL_SECTIONS), label)
+    down = Window.partitionBy("facility").orderBy("row_no")
+    kinds = F.create_map(*[F.lit(x) for pair in rules.PL_SECTIONS.items() for x in pair])
     rows = (
-        sheet.select("facility", "row_no", label.alias("category"), marker.alias("marker"), *months)
-        .withColumn("section", F.last("marker", ignorenulls=True).over(down))
+        cells.select("facility", "row_no", label.alias("category"), marker.alias("marker"), "month", "text")
+        .withColumn("type", F.try_element_at(kinds, F.last("marker", ignorenulls=True).over(down)))
         .filter(
             F.col("marker").isNull()
-            & F.col("section").isin(*rules.PL_SECTIONS)
+            & F.col("type").isNotNull()
             & (F.col("category") != "")
             & ~F.col("category").startswith("Total ")
         )
-        .withColumn("type", F.try_element_at(sections, F.col("section")))
-    )
-    cells = rows.unpivot(["facility", "category", "type"], list(months), "cell", "text")
-    keys = F.create_map(*[F.lit(x) for pair in months.items() for x in pair])
-    return (
-        cells.select(
-            F.try_element_at(keys, F.col("cell")).alias("month"),
-            "category",
-            ledger_amount("text").alias("amount"),
-            "facility",
-            (
-                (F.col("type") == "Income") & F.col("category").isin(*patient_categories)
-            ).alias("is_patient_revenue"),
-            "type",
-        )
-        .filter(F.col("amount") != 0)
     )
+    patient = (F.col("type") == "Income") & F.col("category").isin(*patient_categories)
+    return rows.select(
+        "month", "category", ledger_amount("text").alias("amount"), "facility", patient.alias("is_patient_revenue"), "type"
+    ).filter(F.col("amount") != 0)
 
 
 def read_pl_long(
@@ -109,33 +100,23 @@ def read_pl_long(
     patient_categories: Sequence[str] = rules.PATIENT_REVENUE_CATEGORIES,
 ) -> DataFrame:
     """P&L files by facility -> the long ledger table."""
-    parts = [pl_long(rows, months, patient_categories) for rows, months in read_pl_sheet(spark, paths).values()]
-    return reduce(DataFrame.unionByName, parts)
+    return pl_long(read_pl_cells(spark, paths), patient_categories)
 
 
-def pl_key_lines(
-    sheet: DataFrame,
-    months: Mapping[str, str],
-    key_lines: Sequence[str] = rules.PL_KEY_LINES,
-) -> DataFrame:
+def pl_key_lines(cells: DataFrame, key_lines: Sequence[str] = rules.PL_KEY_LINES) -> DataFrame:
     """Amounts of the labelled total lines by month; the first row with a label counts."""
-    wanted = sheet.select("facility", "row_no", F.trim("label").alias("line_item"), *months).filter(
-        F.col("line_item").isin(*key_lines)
-    )
-    keys = F.create_map(*[F.lit(x) for pair in months.items() for x in pair])
     return (
-        wanted.unpivot(["facility", "row_no", "line_item"], list(months), "cell", "text")
-        .groupBy("facility", "line_item", F.try_element_at(keys, F.col("cell")).alias("month"))
+        cells.withColumn("line_item", F.trim("label"))
+        .filter(F.col("line_item").isin(*key_lines))
+        .groupBy("facility", "line_item", "month")
         .agg(F.min_by(ledger_amount("text"), F.col("row_no")).alias("amount"))
     )
 
 
-def pl_cell_lookup(sheet: DataFrame, months: Mapping[str, str], label: str, month: str) -> DataFrame:
+def pl_cell_lookup(cells: DataFrame, label: str, month: str) -> DataFrame:
     """One labelled cell for one month, per facility; null where the text is no number."""
-    cells = [cell for cell, key in months.items() if key == month]
-    rows = sheet.filter(F.trim("label") == label)
-    if not cells:
-        return rows.limit(0).select("facility", F.lit(None).cast("decimal(18,2)").alias("amount"))
-    return rows.groupBy("facility").agg(
-        F.min_by(F.struct(parse_money(cells[0]).alias("v")), F.col("row_no"))["v"].alias("amount")
+    return (
+        cells.filter((F.trim("label") == label) & (F.col("month") == month))
+        .groupBy("facility")
+        .agg(F.min_by(parse_money("text"), F.col("row_no")).alias("amount"))
     )

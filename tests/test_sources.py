@@ -115,15 +115,29 @@ def test_pl_sheet(spark, tmp_path):
         ("Expense", "Contract labor", "2025-10"): (Decimal("30.00"), False),
         ("Expense", "Rent", "2025-09"): (Decimal("5.00"), False),
     }
-    sheet, months = ledger_sheet.read_pl_sheet(spark, {"Denver": str(f)})["Denver"]
-    assert sorted(months.values()) == ["2025-09", "2025-10", "2025-11"]
-    lines = {(r.line_item, r.month): r.amount for r in ledger_sheet.pl_key_lines(sheet, months).collect()}
+    cells = ledger_sheet.read_pl_cells(spark, {"Denver": str(f)})
+    assert {r.month for r in cells.collect()} == {"2025-09", "2025-10", "2025-11"}
+    lines = {(r.line_item, r.month): r.amount for r in ledger_sheet.pl_key_lines(cells).collect()}
     assert lines["Net Income", "2025-10"] == Decimal("-30.00")
     assert lines["Total for Expenses", "2025-11"] == 0
     assert len(lines) == 12
-    cell = ledger_sheet.pl_cell_lookup(sheet, months, "Contract labor", "2025-11").collect()
+    cell = ledger_sheet.pl_cell_lookup(cells, "Contract labor", "2025-11").collect()
     assert [r.amount for r in cell] == [None]
-    assert ledger_sheet.pl_cell_lookup(sheet, months, "Rent", "2031-01").count() == 0
+    assert ledger_sheet.pl_cell_lookup(cells, "Rent", "2031-01").count() == 0
+
+
+def test_two_pl_sheets_with_other_months(spark, tmp_path):
+    a, b = tmp_path / "A Clinic_Profit and Loss.csv", tmp_path / "B+1.csv"
+    a.write_text(SHEET)
+    b.write_text(
+        '"Acct, all",May 2024,June 2024,July 2024,August 2024\r\nIncome,,,,\r\n'
+        '"Fees, ""net""",1,2,"3,000.50",\r\nTotal for Income,1,2,3,4\r\n'
+    )
+    rows = ledger_sheet.read_pl_long(spark, {"A": str(a), "B": str(b)}, ["Services"]).filter("facility = 'B'").collect()
+    assert {(r.category, r.month, r.amount) for r in rows} == {
+        ('Fees, "net"', "2024-05", Decimal("1.00")), ('Fees, "net"', "2024-06", Decimal("2.00")),
+        ('Fees, "net"', "2024-07", Decimal("3000.50")),
+    }
 
 
 def test_patient_master_shapes(spark, tmp_path):
