@@ -292,7 +292,7 @@ def refresh_table(spark, sf):
     second = catalog.refresh_table(spark, v.limit(0), "visits", "visits.csv", stamp, warehouse)
     if not first or second:
         raise AssertionError("a current table must not be loaded again")
-    return spark.read.parquet(f"{warehouse}/visits").select("row_no", "patient_id", "dos", "total_paid")
+    return catalog.read_table(spark, warehouse, "visits").select("row_no", "patient_id", "dos", "total_paid")
 
 
 @query

@@ -84,20 +84,31 @@ def action_flags(
     )
 
 
-def needs_attention(visits: DataFrame, as_of: str | dt.date, days: int = rules.REVIEW_ATTENTION_DAYS) -> DataFrame:
+def _sorted(rows: DataFrame, ordered: bool, *keys) -> DataFrame:
+    """A global sort costs one more shuffle of the result; runs that only save the list leave it out."""
+    return rows.orderBy(*keys) if ordered else rows
+
+
+def needs_attention(
+    visits: DataFrame, as_of: str | dt.date, days: int = rules.REVIEW_ATTENTION_DAYS, ordered: bool = True
+) -> DataFrame:
     """Review visits older than ``days``, oldest first. Needs no claims, so it joins nothing."""
-    return (
+    rows = (
         visits.filter(F.col("visit_stage") == "Review")
         .withColumn("days_since_dos", days_since(as_of, "dos"))
         .filter(F.col("days_since_dos") > days)
         .select("row_no", "patient_id", "dos", "days_since_dos", "provider", "facility",
                 F.coalesce("last_billed", F.lit(0)).alias("last_billed"))
-        .orderBy(F.desc("days_since_dos"), "row_no")
     )
+    return _sorted(rows, ordered, F.desc("days_since_dos"), "row_no")
 
 
 def outstanding_ar(
-    visits: DataFrame, claims_last: DataFrame, as_of: str | dt.date, days: int = rules.OUTSTANDING_AR_DAYS
+    visits: DataFrame,
+    claims_last: DataFrame,
+    as_of: str | dt.date,
+    days: int = rules.OUTSTANDING_AR_DAYS,
+    ordered: bool = True,
 ) -> DataFrame:
     """Open visits older than ``days`` without a payment in either system, oldest first."""
     old_open = visits.filter(
@@ -105,38 +116,34 @@ def outstanding_ar(
         & (days_since(as_of, "dos") > days)
         & (F.coalesce("total_paid", F.lit(0)) == 0)
     )
-    return (
+    rows = (
         action_flags(old_open, claims_last, as_of, ar_days=days)
         .filter("outstanding_ar")
         .select("row_no", "patient_id", "dos", "days_since_dos", "provider", "facility", "payer",
                 F.coalesce("last_billed", F.lit(0)).alias("last_billed"),
                 F.when(F.col("claim_match"), "Yes").otherwise("No").alias("claim_match"))
-        .orderBy(F.desc("days_since_dos"), "row_no")
     )
+    return _sorted(rows, ordered, F.desc("days_since_dos"), "row_no")
 
 
 _PAYMENT_COLUMNS = ("row_no", "patient_id", "dos", "visit_stage", "provider", "facility", "last_billed",
                     "primary_paid", "claim_insurance_payments", "patient_paid", "claim_patient_payments")
 
 
-def needs_posting(visits: DataFrame, claims_last: DataFrame, as_of: str | dt.date) -> DataFrame:
+def needs_posting(
+    visits: DataFrame, claims_last: DataFrame, as_of: str | dt.date, ordered: bool = True
+) -> DataFrame:
     """A claim payment above 0 where the visit shows 0 (insurance or patient)."""
-    return (
-        action_flags(visits, claims_last, as_of)
-        .filter("claim_match and needs_posting")
-        .select(*_PAYMENT_COLUMNS)
-        .orderBy("dos", "row_no")
-    )
+    rows = action_flags(visits, claims_last, as_of).filter("claim_match and needs_posting")
+    return _sorted(rows.select(*_PAYMENT_COLUMNS), ordered, "dos", "row_no")
 
 
-def mismatched_payments(visits: DataFrame, claims_last: DataFrame, as_of: str | dt.date) -> DataFrame:
+def mismatched_payments(
+    visits: DataFrame, claims_last: DataFrame, as_of: str | dt.date, ordered: bool = True
+) -> DataFrame:
     """Both systems show a payment and the amounts differ; differences are visit minus claim."""
-    return (
-        action_flags(visits, claims_last, as_of)
-        .filter("claim_match and mismatched")
-        .select(*_PAYMENT_COLUMNS, "insurance_diff", "patient_diff")
-        .orderBy("dos", "row_no")
-    )
+    rows = action_flags(visits, claims_last, as_of).filter("claim_match and mismatched")
+    return _sorted(rows.select(*_PAYMENT_COLUMNS, "insurance_diff", "patient_diff"), ordered, "dos", "row_no")
 
 
 def reconciliation_overview(flagged: DataFrame, visits: DataFrame, claims: DataFrame) -> DataFrame:

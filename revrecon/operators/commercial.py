@@ -19,10 +19,12 @@ def commercial_base(visits: DataFrame, claims_last: DataFrame) -> DataFrame:
     return with_claim(base, claims_last, _CLAIM_COLUMNS)
 
 
-def commercial_detail(visits: DataFrame, claims_last: DataFrame, names_by_id: DataFrame) -> DataFrame:
+def commercial_detail(
+    visits: DataFrame, claims_last: DataFrame, names_by_id: DataFrame, ordered: bool = True
+) -> DataFrame:
     """One row per commercial visit with claim amounts, match flag and the name from the master."""
     names = names_by_id.select("patient_id", F.col("patient_name").alias("master_name"))
-    return (
+    rows = (
         lookup(commercial_base(visits, claims_last), names, ["patient_id"])
         .select(
             "row_no",
@@ -44,8 +46,8 @@ def commercial_detail(visits: DataFrame, claims_last: DataFrame, names_by_id: Da
             "claim_current_balance",
             F.when(F.col("claim_match"), "Yes").otherwise("No").alias("claim_match"),
         )
-        .orderBy("patient_name", "dos", "row_no")
     )
+    return rows.orderBy("patient_name", "dos", "row_no") if ordered else rows
 
 
 def _sums() -> list[Column]:

@@ -79,7 +79,7 @@ def ar_aging(outstanding: DataFrame) -> DataFrame:
 
 
 def ar_aging_of(visits: DataFrame, claims_last: DataFrame, as_of: str | dt.date) -> DataFrame:
-    return ar_aging(outstanding_ar(visits, claims_last, as_of))
+    return ar_aging(outstanding_ar(visits, claims_last, as_of, ordered=False))
 
 
 def available_months(pl: DataFrame, visits: DataFrame) -> DataFrame:

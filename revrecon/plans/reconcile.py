@@ -85,7 +85,7 @@ def commercial_audit(
     last = settle(spark, actions.claims_last_by_key(prepare_claims(claims, patients)), "claims_last")
     names = identity.id_to_name(patients)
     return {
-        "commercial_audit": commercial.commercial_detail(visits, last, names),
+        "commercial_audit": commercial.commercial_detail(visits, last, names, ordered=False),
         "commercial_overview": commercial.commercial_overview(visits, last),
         "commercial_rollups": commercial.commercial_rollups(visits, last),
     }

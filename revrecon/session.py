@@ -11,8 +11,9 @@ from pyspark.sql import SparkSession
 def build_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with the settings the plans are written for.
 
-    On a cluster leave both arguments out: the master comes from spark-submit, and AQE coalesces
-    the cluster's own partition count to the advisory size.
+    On a cluster leave both arguments out: the master comes from spark-submit. Shuffles then start
+    with many partitions and AQE merges them up to the advisory size, so the same setting fits a
+    small month and the whole history.
     """
     builder = (
         SparkSession.builder.appName("revrecon")
@@ -28,6 +29,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    else:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "8192").config(
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "128MB"
+        )
     return builder.getOrCreate()
 
 

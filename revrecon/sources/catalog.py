@@ -52,20 +52,36 @@ def refresh_table(
     force: bool = False,
     loaded_at: dt.datetime | None = None,
 ) -> bool:
-    """Rewrite a table when its source changed, and append its load-log row. False if current."""
-    log_path = f"{warehouse}/load_log"
+    """Load a table again when its source changed, and append its load-log row. False if current.
+
+    Each load has a folder of its own and the log row makes it the current one, so a load that
+    fails half-way leaves the table as it was.
+    """
     if not force:
         row = spark.createDataFrame([(table_name, source_id, modified)],
                                     "table_name string, source_id string, modified timestamp")
         if changed_sources(row, read_load_log(spark, warehouse)).isEmpty():
             return False
-    source.write.mode("overwrite").parquet(f"{warehouse}/{table_name}")
     stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    source.write.mode("overwrite").parquet(_location(warehouse, table_name, stamp))
     entry = spark.createDataFrame([(table_name, source_id, modified, stamp)], schemas.LOAD_LOG_DDL)
-    entry.coalesce(1).write.mode("append").parquet(log_path)
+    entry.coalesce(1).write.mode("append").parquet(f"{warehouse}/load_log")
     return True
 
 
+def _location(warehouse: str, table_name: str, loaded_at: dt.datetime) -> str:
+    return f"{warehouse}/{table_name}/load_{loaded_at:%Y%m%d_%H%M%S_%f}"
+
+
+def read_table(spark: SparkSession, warehouse: str, table_name: str) -> DataFrame:
+    """The last complete load of a table; its log row is all the driver looks at."""
+    current = read_load_log(spark, warehouse).filter(F.col("table_name") == table_name)
+    row = current.agg(F.max("loaded_at").alias("loaded_at")).first()
+    if row["loaded_at"] is None:
+        raise ValueError(f"{table_name} was never loaded")
+    return spark.read.parquet(_location(warehouse, table_name, row["loaded_at"]))
+
+
 def read_load_log(spark: SparkSession, warehouse: str) -> DataFrame:
     """The load log, empty when nothing was loaded yet."""
     try:

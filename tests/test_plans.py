@@ -119,3 +119,32 @@ def test_no_python_and_no_cross_join(spark, name):
     plan = plan_of(REGISTRY[name](spark, SF))
     for word in ("PythonUDF", "ArrowEval", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan
+
+
+def test_stored_files_cover_separate_dates(tiny, tmp_path):
+    from revrecon.plans.layout import store_by_date
+
+    i = F.col("id")
+    df = tiny.range(0, 20000, 1, 8).select(
+        i.alias("row_no"), F.date_add(F.lit("2025-01-01").cast("date"), (i * 7919 % 365).cast("int")).alias("dos")
+    )
+    store_by_date(df, str(tmp_path / "t"), "dos")
+    ranges = (
+        tiny.read.parquet(str(tmp_path / "t")).groupBy("_metadata.file_path")
+        .agg(F.min("dos").alias("lo"), F.max("dos").alias("hi"), F.count("*").alias("n")).orderBy("lo", "hi").collect()
+    )
+    assert len(ranges) > 4
+    assert sum(r.n for r in ranges) == 20000
+    assert all(a.hi <= b.lo for a, b in zip(ranges, ranges[1:]))
+
+
+def test_runs_end_to_end(spark, tmp_path):
+    from revrecon.plans import reconcile
+
+    v, c, p = fx.visits(spark, SF), fx.claims(spark, SF), fx.patients(spark, SF)
+    results = reconcile.billing_reconciliation(spark, v, c, p, "2001-09-01")
+    written = reconcile.save_run(results, str(tmp_path), "20010901_000000")
+    assert spark.read.parquet(written["needs_posting"]).count() == REGISTRY["needs_posting"](spark, SF).count()
+    assert set(reconcile.comparison(spark, v, c, p)) == {"comparison_matched", "visits_only", "claims_only", "billing_master"}
+    audit = reconcile.commercial_audit(spark, v, c, p)
+    assert audit["commercial_overview"].first()["visits"] == audit["commercial_audit"].count()

@@ -162,7 +162,9 @@ def test_refresh_only_when_changed(spark, tmp_path):
     assert not catalog.refresh_table(spark, spark.range(9), "t", "f", old, warehouse)
     assert catalog.refresh_table(spark, spark.range(5), "t", "f", new, warehouse, loaded_at=new)
     assert catalog.refresh_table(spark, spark.range(4), "t", "f", new, warehouse, force=True, loaded_at=dt.datetime(2025, 9, 3))
-    assert spark.read.parquet(f"{warehouse}/t").count() == 4
+    assert catalog.read_table(spark, warehouse, "t").count() == 4
+    with pytest.raises(ValueError, match="never loaded"):
+        catalog.read_table(spark, warehouse, "u")
     status = catalog.cache_status(catalog.read_load_log(spark, warehouse)).collect()
     assert [(r.table_name, r.modified, r.loaded_at) for r in status] == [("t", new, dt.datetime(2025, 9, 3))]
 
