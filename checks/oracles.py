@@ -439,7 +439,8 @@ put("table_info", "fx_patients", f"""select {big('position')} as position, colum
   from (values (1, 'patient_id', 'bigint'), (2, 'patient_name', 'string'), (3, 'dob', 'date')) t(position, column_name, data_type)""")
 
 # --- validation ---
-ORACLES["check_columns"] = "select * from (values ('provider', 'error'), ('payer', 'warning'), ('referral_source', 'warning')) t(column_name, severity)"
+put("check_columns", V, """select column_name, severity, (select count(*) from fx_visits) as n_rows
+  from (values ('provider', 'error'), ('payer', 'warning'), ('referral_source', 'warning')) t(column_name, severity)""")
 _ANY = "coalesce(cast(try_strptime(trim(date_text), '%m/%d/%Y') as date), cast(try_strptime(trim(date_text), '%Y-%m-%d') as date))"
 put("profile_dates", "fx_text", f"""select count(*) as total_records, count(*) filter (where date_text is null or date_text = '') as null_dates,
    count(*) filter (where d is null and date_text <> '') as invalid_dates, count(*) filter (where d > date '2000-06-30') as future_dates,
@@ -574,8 +575,9 @@ put("deid_split", "nd", f"select row_no, match_id, {_FOLLOW} as needs_follow_up
 put("deid_counts", "nd", f"""select count(*) as total_records, count(*) filter (where not {_FOLLOW}) as matched_records, count(*) filter (where {_FOLLOW}) as follow_up_records from nd""")
 put("deid_follow_up", "nd", f"select row_no, patient_name, {text_date('dob')} as dob, match_id from nd where {_FOLLOW}")
 put("deidentify", "nd", f"""select match_id as "Patient Account Number", row_no as "Claim Number", {text_date('service_date')} as "Service Date", {dbl('charges')} as "Charges" from nd""")
-ORACLES["phi_leak_check"] = """select * from (values ('patient name column', 'Patient Name (First Last)'), ('birth date column', 'Patient Birth Date'),
-  ('id column missing', 'Patient Account Number')) t(problem, column_name)"""
+put("phi_leak_check", "fx_claims", """select 'patient name column' as problem, 'Patient Name (First Last)' as column_name, count(patient_name) as n_rows from fx_claims
+  union all select 'birth date column', 'Patient Birth Date', count(dob) from fx_claims
+  union all select 'id column missing', 'Patient Account Number', count(*) from fx_claims""")
 
 # --- record-level reconciliation ---
 put("claims_last_by_key", "g1", f"select patient_id, {text_date('service_date')} as dos, row_no, {dbl('charges')} as charges, office from g1")

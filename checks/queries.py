@@ -70,11 +70,13 @@ def present(df: DataFrame) -> DataFrame:
 
 
 def query(fn: Query) -> Query:
+    """Register under the function's name; a trailing underscore only avoids a module's name."""
+
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return present(fn(spark, sf_dir))
 
-    REGISTRY[fn.__name__] = run
+    REGISTRY[fn.__name__.rstrip("_")] = run
     return run
 
 
@@ -465,7 +467,9 @@ def table_info(spark, sf):
 
 @query
 def check_columns(spark, sf):
-    return quality.check_columns(fx.visits(spark, sf).drop("provider", "referral_source", "payer"))
+    """Missing columns, with the number of rows that lack them."""
+    v = fx.visits(spark, sf).drop("provider", "referral_source", "payer")
+    return quality.check_columns(v).withColumn("n_rows", v.agg(F.count("*").alias("n")).scalar())
 
 
 @query
@@ -746,13 +750,10 @@ def deid_follow_up(spark, sf):
 
 
 @query
-def deidentify_claims(spark, sf):
+def deidentify_(spark, sf):
     return deidentify.deidentify(_headed(spark, sf), "Prompt_ID")
 
 
-REGISTRY["deidentify"] = REGISTRY.pop("deidentify_claims")
-
-
 @query
 def phi_leak_check(spark, sf):
     return deidentify.phi_leak_check(_headed(spark, sf))

@@ -51,16 +51,25 @@ def deidentify(matched: DataFrame, id_column: str = "match_id") -> DataFrame:
 
 
 def phi_leak_check(df: DataFrame) -> DataFrame:
-    """Problems left in a de-identified table: (problem, column_name); empty when it is clean."""
-    def lower(c: str) -> str:
-        return c.lower()
+    """Problems left in a de-identified table: (problem, column_name, n_rows); empty when it is clean.
 
-    problems = [("patient name column", c) for c in df.columns if "patient" in lower(c) and "name" in lower(c)]
+    ``n_rows`` counts the rows that carry a value in the offending column, or all rows when the id
+    column is missing; every column is counted in one pass.
+    """
+    names = [(c, c.lower()) for c in df.columns]
+    problems = [("patient name column", c, F.count(F.col(f"`{c}`"))) for c, low in names if "patient" in low and "name" in low]
     problems += [
-        ("birth date column", c)
-        for c in df.columns
-        if ("birth" in lower(c) or "dob" in lower(c)) and "account" not in lower(c)
+        ("birth date column", c, F.count(F.col(f"`{c}`")))
+        for c, low in names
+        if ("birth" in low or "dob" in low) and "account" not in low
     ]
     if ID_COLUMN not in df.columns:
-        problems.append(("id column missing", ID_COLUMN))
-    return df.sparkSession.createDataFrame(problems, "problem string, column_name string")
+        problems.append(("id column missing", ID_COLUMN, F.count("*")))
+    if not problems:
+        return df.sparkSession.createDataFrame([], "problem string, column_name string, n_rows bigint")
+    counts = df.agg(*[n.alias(f"n{i}") for i, (_, _, n) in enumerate(problems)])
+    rows = [
+        F.struct(F.lit(p).alias("problem"), F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_rows"))
+        for i, (p, c, _) in enumerate(problems)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
