@@ -114,7 +114,7 @@ def outstanding_ar(
     old_open = visits.filter(
         (F.col("visit_stage") == "Open")
         & (days_since(as_of, "dos") > days)
-        & (F.coalesce("total_paid", F.lit(0)) == 0)
+        & ((F.col("total_paid") == 0) | F.col("total_paid").isNull())
     )
     rows = (
         action_flags(old_open, claims_last, as_of, ar_days=days)

@@ -22,12 +22,12 @@ def with_collected(visits: DataFrame, claims_last: DataFrame, month: str | None
     billing = visits.filter(labels.is_billing())
     if month is not None:
         billing = billing.filter(in_month("dos", month))
-    is_paid = F.coalesce(F.col("total_paid") > 0, F.lit(False))
+    total = F.col("total_paid")
     columns = [*visits.columns, "collected"]
-    paid = billing.filter(is_paid).withColumn("collected", F.col("total_paid").cast("decimal(19,2)"))
+    paid = billing.filter(total > 0).withColumn("collected", total.cast("decimal(19,2)"))
     from_claim = F.coalesce("claim_insurance_payments", F.lit(0)) + F.coalesce("claim_patient_payments", F.lit(0))
     unpaid = with_claim(
-        billing.filter(~is_paid), claims_last, ["insurance_payments", "patient_payments"]
+        billing.filter((total <= 0) | total.isNull()), claims_last, ["insurance_payments", "patient_payments"]
     ).withColumn("collected", from_claim.cast("decimal(19,2)"))
     return paid.select(*columns).unionByName(unpaid.select(*columns))
 

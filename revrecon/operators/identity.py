@@ -83,8 +83,8 @@ def claims_patient_match(claims: DataFrame, names: DataFrame) -> DataFrame:
     ``names`` is unique per name_norm. Each distinct claim name asks for itself and for its first
     and last token; the better answer is kept.
     """
-    normalized = claims.withColumn("name_norm", name_upper("patient_name"))
-    asked = normalized.select("name_norm").filter(F.col("name_norm") != "").distinct()
+    normalized = claims.withColumn("name_norm", F.nullif(name_upper("patient_name"), F.lit("")))
+    asked = normalized.select("name_norm").filter(F.col("name_norm").isNotNull()).distinct()
     wanted = asked.select(
         F.col("name_norm").alias("asked"),
         F.explode(

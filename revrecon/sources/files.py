@@ -20,11 +20,14 @@ def line_ordinal() -> Column:
     A line takes at least one byte, so within one file ``block start + index inside the task``
     grows with the line's position and never repeats, however the file is split: full blocks have
     a task of their own, and files packed into one task stay within one block in total. Part files
-    of one table are ordered by the number in their name (``part-00012``).
+    of one table are ordered by the number in their name (``part-00012``); files without one get a
+    number from their name, which keeps rows of different files apart.
     """
     index_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    name = F.col("_metadata.file_name")
     part = F.coalesce(
-        F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).try_cast("long"), F.lit(0)
+        F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"),
+        F.crc32(name.cast("binary")).bitwiseAND(F.lit((1 << 20) - 1)),
     )
     return F.shiftleft(part, _PART_BITS) + F.col("_metadata.file_block_start") + index_in_task
 
