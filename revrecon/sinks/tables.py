@@ -31,7 +31,8 @@ def _flat(df: DataFrame) -> DataFrame:
 
 def export_csv(df: DataFrame, path: str, mode: str = "error") -> str:
     """CSV part files with a header; written in parallel, one per task."""
-    _flat(df).write.mode(mode).option("header", True).csv(path)
+    keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    _flat(df).write.mode(mode).options(header=True, escape='"', **keep_spaces).csv(path)
     return path
 
 

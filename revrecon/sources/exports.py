@@ -20,9 +20,10 @@ def read_visits(
     missing_money_is_zero: bool = False,
     any_date_layout: bool = False,
     allow_empty: bool = False,
+    quoted_newlines: bool = False,
 ) -> DataFrame:
     """Visit export (CSV with header) -> typed visits. A file without a data row is rejected."""
-    raw = read_delimited(spark, path)
+    raw = read_delimited(spark, path, quoted_newlines=quoted_newlines)
     if not allow_empty and raw.isEmpty():
         raise ValueError(f"no data rows in {path}")
     return typed(raw, schemas.VISIT_FIELDS, missing_money_is_zero, any_date_layout)
@@ -47,7 +48,7 @@ def read_deposits(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     only with a readable amount. The header positions are one row per facility.
     """
     ddl = ", ".join(f"{name} string" for name in schemas.DEPOSIT_FIELDS)
-    lines = spark.read.schema(ddl).option("header", False).csv(list(paths.values())).select(
+    lines = spark.read.schema(ddl).options(header=False, escape='"').csv(list(paths.values())).select(
         *schemas.DEPOSIT_FIELDS, line_ordinal().alias("row_no"), facility_of_path(paths).alias("facility")
     )
     cells = F.array(*[F.trim(F.coalesce(F.col(c), F.lit(""))) for c in schemas.DEPOSIT_FIELDS])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,12 +34,17 @@ def line_ordinal() -> Column:
 
 
 def facility_of_path(paths: Mapping[str, str]) -> Column:
-    """Facility of a line from the file it stands in; the longest matching path wins."""
-    result = None
-    for facility, path in sorted(paths.items(), key=lambda item: -len(item[1])):
-        here = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).contains(path)
-        result = F.when(here, facility) if result is None else result.when(here, facility)
-    return result
+    """Facility of a line from the file it stands in; the longest matching path wins.
+
+    A path may end in a pattern (``/landing/denver/*.csv``): what stands before it decides. A file
+    that belongs to no facility is an error, not a lost row.
+    """
+    stems = {facility: re.split(r"[*?\[{]", path)[0] for facility, path in paths.items()}
+    file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    result = F.when(F.lit(False), F.lit(None).cast("string"))
+    for facility, stem in sorted(stems.items(), key=lambda item: -len(item[1])):
+        result = result.when(file_path.contains(stem), facility)
+    return result.otherwise(F.raise_error(F.concat(F.lit("no facility for "), file_path)).cast("string"))
 
 
 def read_delimited(
@@ -55,7 +61,7 @@ def read_delimited(
     returns are taken off. ``quoted_newlines`` gives up splitting for files whose cells hold line
     breaks.
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+    reader = spark.read.options(header=True, sep=sep, escape='"')
     wide = encoding.upper() == "UTF-16"
     if quoted_newlines:
         reader = reader.option("encoding", encoding).option("multiLine", True)

@@ -25,6 +25,30 @@ def test_visits_file(spark, tmp_path):
     assert [r.last_billed for r in zero] == [Decimal("5.00"), Decimal("0.00")]
 
 
+def test_quotes_and_line_breaks_in_cells(spark, tmp_path):
+    f = tmp_path / "visits.csv"
+    f.write_text('Patient,Provider,Total Paid\n"Doe, ""JJ"" Jane",A,"$1,000.00"\n"Roe,\nRob",B,2\n')
+    rows = exports.read_visits(spark, str(f), quoted_newlines=True).orderBy("row_no").collect()
+    assert [(r.patient_name, r.provider, r.total_paid) for r in rows] == [
+        ('Doe, "JJ" Jane', "A", Decimal("1000.00")), ("Roe,\nRob", "B", Decimal("2.00"))]
+    g = tmp_path / "plain.csv"
+    g.write_text('Patient,Total Paid\n"Doe, ""JJ"" Jane",1\n')
+    assert exports.read_visits(spark, str(g)).first().patient_name == 'Doe, "JJ" Jane'
+    out = export_csv(spark.createDataFrame([(' say "hi", you ',)], "t string"), str(tmp_path / "out"))
+    lines = {line for part in (tmp_path / "out").glob("part-*") for line in part.read_text().splitlines()}
+    assert lines == {"t", '" say ""hi"", you "'}
+    assert spark.read.csv(out, header=True, escape='"').first().t == ' say "hi", you '
+
+
+def test_deposits_by_path_pattern(spark, tmp_path):
+    line = ",Transaction date,Transaction type,Num,Customer,Vendor,Memo,Cleared,Amount\nX,09/01/2025,Deposit,,,,m,C,{}\n"
+    for name in ("denver", "greeley"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.csv").write_text(line.format(len(name)))
+    got = exports.read_deposits(spark, {"Denver": f"{tmp_path}/denver/*.csv", "Greeley": f"{tmp_path}/greeley/*.csv"}).collect()
+    assert {(r.facility, int(r.amount)) for r in got} == {("Denver", 6), ("Greeley", 7)}
+
+
 def test_empty_visits_are_rejected(spark, tmp_path):
     f = tmp_path / "visits.csv"
     f.write_text("DOS,Patient\n")
