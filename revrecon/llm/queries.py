@@ -7,11 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from revrecon.llm.binary_output import op9_token_output
+from revrecon.llm.line_dedup import OP7_SQL, op7_line_dedup
+from revrecon.llm.mixing import OP1_SQL, op1_mixing
 from revrecon.llm.packing import op2_packing
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op7_line_dedup": op7_line_dedup,
     "op9_token_output": op9_token_output,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_mixing": OP1_SQL,
+    "op7_line_dedup": OP7_SQL,
+}
