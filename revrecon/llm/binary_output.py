@@ -19,11 +19,8 @@ BLOCK = 1 << 18
 BLOCKS = "shard int, first_ids long, n_ids long, doc_ids array<long>, payload binary"
 
 
-def sorted_ids(docs: DataFrame, end_id: int, path: str) -> DataFrame:
-    """shard, first (ids before it there), doc_id, width, ids: every document's ids in ascending doc_id order, shard after shard.
-
-    Rows with equal doc_id go on by their ids, so one doc_id with very many rows spreads over several shards.
-    """
+def token_ids(docs: DataFrame, end_id: int, path: str) -> DataFrame:
+    """doc_id, width (bytes of an id), ids: every document's ids with the end id."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         read = reader(path)
@@ -34,19 +31,8 @@ def sorted_ids(docs: DataFrame, end_id: int, path: str) -> DataFrame:
             pdf["width"] = np.int32(read.kind.itemsize)
             yield pdf[["doc_id", "width", "ids"]]
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, before = TaskContext.get().partitionId(), 0
-        for pdf in batches:
-            n = pdf["ids"].str.len().to_numpy(np.int64) // pdf["width"].to_numpy(np.int64)
-            yield pdf[["doc_id", "width", "ids"]].assign(shard=np.int32(shard), first=before + np.cumsum(n) - n)
-            before += int(n.sum())
-
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    ids = rows.mapInPandas(work, "doc_id long, width int, ids binary").withColumn("tie", F.xxhash64("ids"))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
-    parts = max(2, ids.sparkSession.sparkContext.defaultParallelism, int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2)
-    dealt = ids.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return dealt.mapInPandas(place, "shard int, first long, doc_id long, width int, ids binary")
+    return rows.mapInPandas(work, "doc_id long, width int, ids binary")
 
 
 def token_counts(ids: DataFrame) -> DataFrame:
@@ -69,37 +55,42 @@ def token_counts(ids: DataFrame) -> DataFrame:
 def write_ids(docs: DataFrame, folder: str, end_id: int = 1, vocabulary: str | None = None) -> tuple[str, str]:
     """Writes ``folder``/blocks and ``folder``/counts (the shared table's counts); returns both paths.
 
-    A block is a row: its shard, ids before it in the shard, its number of ids, its documents' doc_ids and the coded ids (see
-    ``rans``). The table of id counts has at most one row per id of the vocabulary, so it is sent to every task.
+    A block is a row: its shard, ids before it in the shard, its number of ids, its documents' doc_ids and the coded ids
+    (see ``rans``). Documents are dealt to shards by ranges of doc_id; rows with equal doc_id go on by a hash of their
+    ids, so one doc_id with very many rows spreads over several shards. The table of id counts has at most one row per
+    id of the vocabulary, so it is sent to every task. Texts are tokenised once: the ids are kept in the shared folder
+    while the counts and the ranges are found.
+
     Null or empty texts are the end id alone, null doc_ids come first, repeated rows are written each.
     """
     path = vocabulary or vocabulary_path()
-    ids = settle(sorted_ids(docs, end_id, path), "ids")
+    ids = settle(token_ids(docs, end_id, path), "ids")
     spark, counts, blocks = docs.sparkSession, f"{folder}/counts", f"{folder}/blocks"
     token_counts(ids).coalesce(1).write.parquet(counts)
     shared = shared_table(spark, counts)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, names, shard, first, size = [], [], -1, 0, 0
+        held, names, shard, first, size = [], [], TaskContext.get().partitionId(), 0, 0
 
         def close() -> pd.DataFrame:
             row = (shard, first, size, names, rans.encode(held, shared))
             return pd.DataFrame([row], columns=["shard", "first_ids", "n_ids", "doc_ids", "payload"])
 
         for pdf in batches:
-            for s, at, doc_id, width, raw in zip(pdf["shard"], pdf["first"], pdf["doc_id"], pdf["width"], pdf["ids"], strict=True):
-                if held and (s != shard or at != first + size or size >= BLOCK):
+            for doc_id, width, raw in zip(pdf["doc_id"], pdf["width"], pdf["ids"], strict=True):
+                if size >= BLOCK:
                     yield close()
-                    held, names, size = [], [], 0
-                if not held:
-                    shard, first = s, at
+                    held, names, first, size = [], [], first + size, 0
                 held.append(np.frombuffer(raw, f"<u{width}"))
                 names.append(None if pd.isna(doc_id) else int(doc_id))
                 size += len(held[-1])
         if held:
             yield close()
 
-    ids.mapInPandas(work, BLOCKS).write.parquet(blocks)
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
+    parts = max(2, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    dealt = ids.withColumn("tie", F.xxhash64("ids")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    dealt.select("doc_id", "width", "ids").mapInPandas(work, BLOCKS).write.parquet(blocks)
     return blocks, counts
 
 

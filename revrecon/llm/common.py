@@ -54,7 +54,7 @@ def text_of(column: str = "text") -> F.Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def slices(batches: Iterator[pd.DataFrame], column: str, most: int = 4_000_000) -> Iterator[pd.DataFrame]:
+def slices(batches: Iterator[pd.DataFrame], column: str, most: int = 2_000_000) -> Iterator[pd.DataFrame]:
     """The batches cut to about ``most`` characters each, so that memory does not follow the longest batch."""
     for pdf in batches:
         if len(pdf):

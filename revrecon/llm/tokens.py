@@ -2,7 +2,7 @@
 
 Pre-tokens of the vocabulary never cross a space or a line feed, and it lower-cases, so a text's ids are the ids of its
 lower-cased chunks between those two, one after another; a full stop or comma that ends a word is a chunk of its own.
-Each worker keeps the ids of chunks it has met, up to ``KEPT`` of them, and asks the library only for new ones. Texts
+Each worker keeps the ids of the last ``KEPT`` to twice as many chunks it has met, and asks the library only for others. Texts
 that hold the opening of a special token go to the library whole.
 """
 
@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from revrecon.llm.common import quiet_threads
 
-KEPT = 800_000
+KEPT = 250_000
 VOCABULARY = "word_bpe_49k.json"
 ENDED = re.compile(rb"(?<=[a-z])([.,])(?= )")
 #: What stands before a mark decides whether the mark is a pre-token of its own: letters, digits, blanks, marks, others.
@@ -49,6 +49,7 @@ class TokenReader:
         for token, i in self.library.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.known: dict[bytes, bytes] = {b"": b""}
+        self.older: dict[bytes, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.library.encode_batch(texts, add_special_tokens=False)]
@@ -80,8 +81,11 @@ class TokenReader:
         met = set().union(*chunks)
         fresh = met.difference(self.known)
         if len(self.known) + len(fresh) > KEPT:
-            self.known = {b"": b""}
+            self.older, self.known = self.known, {b"": b""}
             fresh = met.difference(self.known)
+        again = fresh.intersection(self.older)
+        self.known.update((w, self.older[w]) for w in again)
+        fresh -= again
         self.learn(list(fresh))
         get = self.known.__getitem__
         done = iter([np.frombuffer(b"".join(map(get, c)), self.kind) for c in chunks])
