@@ -10,11 +10,15 @@ from revrecon.llm.binary_output import op9_token_output
 from revrecon.llm.line_dedup import OP7_SQL, op7_line_dedup
 from revrecon.llm.mixing import OP1_SQL, op1_mixing
 from revrecon.llm.packing import op2_packing
+from revrecon.llm.personal_data import op8_personal_data
+from revrecon.llm.quality import op3_quality
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op3_quality": op3_quality,
     "op7_line_dedup": op7_line_dedup,
+    "op8_personal_data": op8_personal_data,
     "op9_token_output": op9_token_output,
 }
 
