@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from revrecon.llm.binary_output import op9_token_output
+from revrecon.llm.jaccard_join import op10_jaccard_join
 from revrecon.llm.line_dedup import OP7_SQL, op7_line_dedup
 from revrecon.llm.mixing import OP1_SQL, op1_mixing
 from revrecon.llm.packing import op2_packing
@@ -20,6 +21,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op8_personal_data": op8_personal_data,
     "op9_token_output": op9_token_output,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
