@@ -40,7 +40,7 @@ def difference(spark_df, con, sql: str) -> str | None:
     want = cursor.fetchall()
     if sorted(spark_df.columns) != sorted(names):
         return f"columns {sorted(spark_df.columns)} vs {sorted(names)}"
-    share = {"long": ("BIGINT",), "double": ("DOUBLE",), "string": ("VARCHAR", "STRING"), "boolean": ("BOOLEAN",)}
+    share = {"long": ("BIGINT",), "integer": ("INTEGER",), "double": ("DOUBLE",), "string": ("VARCHAR", "STRING"), "boolean": ("BOOLEAN",)}
     for f in spark_df.schema.fields:
         if kinds[f.name].upper() not in share[f.dataType.typeName()]:
             return f"type of {f.name}: {f.dataType.simpleString()} vs {kinds[f.name]}"
