@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revrecon.llm.binary_output import op9_token_output
 from revrecon.llm.embedding_dedup import op6_embedding_dedup
+from revrecon.llm.html_extract import op4_html_extract
 from revrecon.llm.jaccard_join import op10_jaccard_join
 from revrecon.llm.line_dedup import OP7_SQL, op7_line_dedup
 from revrecon.llm.mixing import OP1_SQL, op1_mixing
@@ -20,6 +21,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
+    "op4_html_extract": op4_html_extract,
     "op5_topk_search": op5_topk_search,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_line_dedup": op7_line_dedup,
