@@ -1,7 +1,7 @@
 """Token ids of whole texts, with the tokenizers library and a vocabulary file whose path is a parameter.
 
 Pre-tokens of the vocabulary never cross a space or a line feed, and it lower-cases, so a text's ids are the ids of its
-lower-cased chunks between those two, one after another; a full stop or comma that ends a word is a chunk of its own.
+lower-cased chunks between those two, one after another; marks that end a word are a chunk of their own.
 Each worker keeps the ids of the last ``KEPT`` to twice as many chunks it has met, and asks the library only for others. Texts
 that hold the opening of a special token go to the library whole.
 """
@@ -16,14 +16,18 @@ from tokenizers import Tokenizer
 
 from revrecon.llm.common import quiet_threads
 
-KEPT = 250_000
+KEPT = 350_000
 VOCABULARY = "word_bpe_49k.json"
-ENDED = re.compile(rb"(?<=[a-z])([.,])(?= )")
-#: What stands before a mark decides whether the mark is a pre-token of its own: letters, digits, blanks, marks, others.
+#: A run of ASCII marks that ends a word is a pre-token of its own; after other bytes it may belong to a longer run.
+TAIL = re.compile(rb"(?<=[a-z])([!-/:-@\[-`{-~]+)(?= )")
+WIDE_TAIL = re.compile(rb"(?<=[a-z0-9\x80-\xff])([!-/:-@\[-`{-~]+)(?= )")
+#: What stands before a mark: letters and digits, blanks, stops and commas, other marks.
 KINDS = bytes(
-    ord("a") if chr(b) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 if b == 32 else ord("p") if chr(b) in ".," else ord("q")
+    ord("a") if b >= 128 or chr(b) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 if b == 32 else ord("p") if chr(b) in ".," else ord("q")
     for b in range(256)
 )
+#: Bytes of ASCII and of U+00C0 to U+00FF, which are letters but for two signs.
+LATIN, SIGNS = bytes([*range(128), 0xC3, *range(0x80, 0xC0)]), (b"\xc3\x97", b"\xc3\xb7")
 _READERS: dict[str, TokenReader] = {}
 
 
@@ -33,9 +37,11 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 def chunks_of(text: str) -> list[bytes]:
     b = text.encode("utf-8", "surrogatepass").lower().replace(b"\n", b" ")
+    if b.translate(None, LATIN) or any(sign in b for sign in SIGNS):
+        return TAIL.sub(rb" \1", b).split(b" ")
     kinds = b.translate(KINDS)
-    if b"qp " in kinds or b"pp " in kinds:
-        return ENDED.sub(rb" \1", b).split(b" ")
+    if b"q " in kinds or b"pp " in kinds or b"qp " in kinds:
+        return WIDE_TAIL.sub(rb" \1", b).split(b" ")
     return b.replace(b". ", b" . ").replace(b", ", b" , ").split(b" ")
 
 
