@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -141,12 +142,14 @@ def _slot(word: str) -> int:
     return _SLOTS[word]
 
 
-def _hashed(words: list[str]) -> np.ndarray:
-    out = np.zeros(HASHED)
-    if words:
-        h = np.fromiter(map(_slot, words), np.uint64, len(words))
-        np.add.at(out, (h % np.uint64(HASHED)).astype(np.int64), 1.0 - 2.0 * ((h >> np.uint64(40)) & np.uint64(1)).astype(np.float64))
-    return out / max(1.0, np.sqrt(len(words)))
+def _hashed(texts: list[list[str]]) -> np.ndarray:
+    """A vector of HASHED numbers for the words of each text."""
+    n = np.array([len(t) for t in texts], np.int64)
+    h = np.fromiter((_slot(w) for t in texts for w in t), np.uint64, int(n.sum()))
+    signs = 1.0 - 2.0 * ((h >> np.uint64(40)) & np.uint64(1)).astype(np.float64)
+    at = np.repeat(np.arange(len(texts)) * HASHED, n) + (h % np.uint64(HASHED)).astype(np.int64)
+    sums = np.bincount(at, signs, len(texts) * HASHED).reshape(len(texts), HASHED)
+    return sums / np.sqrt(np.maximum(1, n))[:, None]
 
 
 NUMBERS = 8
@@ -154,25 +157,43 @@ NUMBERS = 8
 WIDTH = 4 * HASHED + NUMBERS
 
 
+_PATHS: dict[tuple[str, ...], np.ndarray] = {}
+
+
+def _path_vector(path: tuple[str, ...]) -> np.ndarray:
+    """Three hashed vectors of the words of a path; layouts repeat, so a worker keeps those it has met."""
+    if path not in _PATHS:
+        if len(_PATHS) > 50_000:
+            _PATHS.clear()
+        out = np.zeros(3 * HASHED)
+        for p in path:
+            for k, salt in enumerate("abc"):
+                h = _slot(salt + p)
+                out[k * HASHED + h % HASHED] += 1 - 2 * (h >> 40 & 1)
+        _PATHS[path] = out
+    return _PATHS[path]
+
+
 def describe(blocks: list[Block]) -> np.ndarray:
     """A row per block: hashed path words, hashed text words, length, links and marks."""
     out = np.zeros((len(blocks), WIDTH))
-    for k, b in enumerate(blocks):
-        words = b.text.split()
-        for p in b.path:
-            for salt in "abc":
-                h = _slot(salt + p)
-                out[k, "abc".index(salt) * HASHED + h % HASHED] += 1 - 2 * (h >> 40 & 1)
-        out[k, 3 * HASHED : 4 * HASHED] = _hashed([w.lower() for w in words])
-        n = len(b.text)
-        marks = sum(map(b.text.count, ".,;:!?"))
-        out[k, 4 * HASHED :] = (
-            np.log1p(len(words)) / 4, b.linked / n, min(1.0, 10 * marks / n), "©" in b.text, b.text[-1] in ".!?…",
-            k / max(1, len(blocks) - 1), b.path[-1:] == ("p",), 1.0,
-        )
+    if not blocks:
+        return out
+    words, last = [b.text.lower().split() for b in blocks], max(1, len(blocks) - 1)
+    out[:, : 3 * HASHED] = [_path_vector(b.path) for b in blocks]
+    out[:, 3 * HASHED : 4 * HASHED] = _hashed(words)
+    out[:, 4 * HASHED :] = [
+        (math.log1p(len(w)) / 4, b.linked / len(b.text), min(1.0, 10 * _marks(b.text) / len(b.text)), "©" in b.text,
+         b.text[-1] in ".!?…", k / last, b.path[-1:] == ("p",), 1.0)
+        for k, (b, w) in enumerate(zip(blocks, words, strict=True))
+    ]
     return out
 
 
+def _marks(text: str) -> int:
+    return sum(map(text.count, ".,;:!?"))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
