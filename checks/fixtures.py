@@ -61,9 +61,10 @@ where o.o_orderkey % 10 <> 0
 """,
     "fx_deposits": """
 select l_orderkey * 10 + l_linenumber as row_no, cast(l_shipdate as date) as txn_date, cast(l_extendedprice as decimal(18,2)) as amount, p_name as memo,
- rep.cleared as cleared, p_brand as account, r_name as facility
-from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
-join (select 'Cleared' as cleared, 1 as every_n union all select 'Reconciled' as cleared, 20 as every_n) rep on l_orderkey % rep.every_n = 0
+ cleared, p_brand as account, r_name as facility
+from (select l_orderkey, l_linenumber, l_shipdate, l_extendedprice, l_partkey, l_suppkey, 'Cleared' as cleared from lineitem
+ union all select l_orderkey, l_linenumber, l_shipdate, l_extendedprice, l_partkey, l_suppkey, 'Reconciled' as cleared from lineitem where l_orderkey % 20 = 0) l
+join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
 """,
     "fx_pl_wide": """
 with b as (

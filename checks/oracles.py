@@ -689,8 +689,9 @@ put("excluded_deposit_stats", "dep", f"""select count(*) filter (where {_OUT}) a
 
 
 def by_region(key: str, alias: str, source: str) -> str:
-    cols = ", ".join(f"{dbl(zsum('amount', f'facility = {chr(39)}{r}{chr(39)}'))} as \"{r}\"" for r in REGIONS)
-    return f"select {key} as {alias}, {cols}, {dbl(zsum('amount'))} as total from {source} group by 1"
+    cols = ", ".join(f"{dbl(zsum('amount', f'facility = {chr(39)}{r}{chr(39)}'))} as \"{r}\"" for r in KNOWN_REGIONS)
+    rest = dbl(zsum("amount", f"facility is null or facility not in {quoted(KNOWN_REGIONS)}"))
+    return f"select {key} as {alias}, {cols}, {rest} as other, {dbl(zsum('amount'))} as total from {source} group by 1"
 
 
 put("deposits_daily", "dep", by_region("cast(txn_date as varchar)", "date", "dep"))

@@ -941,12 +941,12 @@ def deposits_by_facility(spark, sf):
 
 @query
 def deposits_daily(spark, sf):
-    return ledger.deposits_daily(clean_deposits(spark, sf), fx.REGIONS)
+    return ledger.deposits_daily(clean_deposits(spark, sf), KNOWN_REGIONS)
 
 
 @query
 def deposits_monthly(spark, sf):
-    return ledger.deposits_monthly(clean_deposits(spark, sf), fx.REGIONS)
+    return ledger.deposits_monthly(clean_deposits(spark, sf), KNOWN_REGIONS)
 
 
 @query
@@ -956,12 +956,12 @@ def pl_stats(spark, sf):
 
 @query
 def pl_monthly_revenue(spark, sf):
-    return ledger.pl_monthly_revenue(pl(spark, sf), fx.REGIONS)
+    return ledger.pl_monthly_revenue(pl(spark, sf), KNOWN_REGIONS)
 
 
 @query
 def pl_monthly_expenses(spark, sf):
-    return ledger.pl_monthly_expenses(pl(spark, sf), fx.REGIONS)
+    return ledger.pl_monthly_expenses(pl(spark, sf), KNOWN_REGIONS)
 
 
 @query

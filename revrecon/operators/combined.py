@@ -54,15 +54,19 @@ def combined_dedup(
     """One row per (patient, date): the highest total paid; visits before claims, then file order.
 
     An aggregate keeps the best row per key inside each task before the shuffle, so a key with very
-    many rows stays cheap. Rows without a date are out.
+    many rows stays cheap. Rows without a date are out; a visit without a patient id stays as it is,
+    one row each.
     """
     rows = _common(visits, claims, office_facility).filter(F.col("service_date").isNotNull())
+    alone = rows.filter(F.col("patient_id").isNull()).select(*KEYS, *_AMOUNTS, "facility", "source")
+    rows = rows.filter(F.col("patient_id").isNotNull())
     best = F.struct("total_paid", (F.col("source") == "Visits").alias("is_visit"), (-F.col("row_no")).alias("earlier"))
     kept = F.struct("charges", "patient_payments", "insurance_payments", "facility", "source", "row_no", "total_paid")
     return (
         rows.groupBy(*KEYS)
         .agg(F.max_by(kept, best).alias("r"))
         .select(*KEYS, *[f"r.{a}" for a in _AMOUNTS], "r.facility", "r.source")
+        .unionByName(alone)
     )
 
 
@@ -75,10 +79,13 @@ def combined_stats(
     """
     best = F.struct("total_paid", (F.col("source") == "Visits").alias("is_visit"), (-F.col("row_no")).alias("earlier"))
     rows = _common(visits, claims, office_facility)
+    dated = rows.filter(F.col("service_date").isNotNull())
     per_key = (
-        rows.filter(F.col("service_date").isNotNull())
+        dated.filter(F.col("patient_id").isNotNull())
         .groupBy(*KEYS)
         .agg(F.count("*").alias("n"), F.max_by("source", best).alias("source"))
+        .select("n", "source")
+        .unionByName(dated.filter(F.col("patient_id").isNull()).select(F.lit(1).cast("long").alias("n"), "source"))
     )
     final = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("combined_records"),

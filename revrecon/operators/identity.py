@@ -150,9 +150,14 @@ def close_match_candidates(matched: DataFrame, patients: DataFrame) -> DataFrame
     )
 
 
-def apply_match_decisions(matched: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Close matches overwritten by review decisions (an id or UNMATCHED), keyed by name and birth date."""
-    last = decisions.groupBy("name_norm", "dob").agg(F.max("decision").alias("decision"))
+def apply_match_decisions(matched: DataFrame, decisions: DataFrame, order_by: str | None = None) -> DataFrame:
+    """Close matches overwritten by review decisions (an id or UNMATCHED), keyed by name and birth date.
+
+    Of several decisions for one person the last by ``order_by`` holds; without that column an id goes before UNMATCHED
+    and the greatest id before others.
+    """
+    order = F.col(order_by) if order_by else F.struct(F.col("decision") != "UNMATCHED", "decision")
+    last = decisions.groupBy("name_norm", "dob").agg(F.max_by("decision", order).alias("decision"))
     decided = lookup(matched, last, ["name_norm", "dob"])
     return decided.withColumn(
         "match_id",

@@ -81,12 +81,14 @@ def deposits_by_facility(deposits: DataFrame, facility: str) -> DataFrame:
 
 
 def _facility_pivot(df: DataFrame, key: str, facilities: Sequence[str]) -> DataFrame:
-    """Sum of amount per key and facility as columns (missing 0), with a row total.
+    """Sum of amount per key and facility as columns (missing 0), with a row total over all facilities.
 
-    One conditional sum per listed facility: an explicit list, so no extra pass finds the values.
+    One conditional sum per listed facility: an explicit list, so no extra pass finds the values. What facilities
+    outside the list hold, and rows without one, is in ``other``.
     """
     sums = [money_sum("amount", F.col("facility") == f).alias(f) for f in facilities]
-    return df.filter(F.col("facility").isin(*facilities)).groupBy(key).agg(*sums, money_sum("amount").alias("total"))
+    listed = F.coalesce(F.col("facility").isin(*facilities), F.lit(False))
+    return df.groupBy(key).agg(*sums, money_sum("amount", ~listed).alias("other"), money_sum("amount").alias("total"))
 
 
 def deposits_daily(deposits: DataFrame, facilities: Sequence[str]) -> DataFrame:

@@ -32,6 +32,11 @@ def _sides(visits: DataFrame, claims: DataFrame) -> tuple[DataFrame, DataFrame]:
     return left, right
 
 
+def _open_visits(visits: DataFrame) -> DataFrame:
+    """Visits without an id or a date: they match no claim and are never merged with each other."""
+    return visits.filter(F.col("patient_id").isNull() | F.col("dos").isNull()).select(*KEYS, *_VISIT_COLUMNS)
+
+
 def match_status(visits: DataFrame, claims: DataFrame) -> DataFrame:
     """(patient_id, dos, visit_row, claim_row, status): matched, visits_only or claims_only.
 
@@ -145,9 +150,10 @@ def comparison_stats(visits: DataFrame, claims: DataFrame) -> DataFrame:
 
 
 def visits_only(visits: DataFrame, claims: DataFrame) -> DataFrame:
-    """Visits without a claim on the same day, with stage and note."""
+    """Visits without a claim on the same day, and every visit without an id or a date, with stage and note."""
     left, right = _sides(visits, claims)
-    return _visit_side(left).join(right, KEYS, "left_anti").withColumn("note", F.lit(rules.VISITS_ONLY_NOTE))
+    unmatched = left.join(right, KEYS, "left_anti").unionByName(_open_visits(visits).select(*left.columns))
+    return _visit_side(unmatched).withColumn("note", F.lit(rules.VISITS_ONLY_NOTE))
 
 
 def claims_only(visits: DataFrame, claims: DataFrame) -> DataFrame:
@@ -173,6 +179,7 @@ def expected_match_by_stage(visits: DataFrame, claims: DataFrame) -> DataFrame:
     )
     return (
         left.join(right, KEYS, "left_anti")
+        .unionByName(_open_visits(visits).select(*left.columns))
         .groupBy("visit_stage")
         .agg(F.count("*").alias("n"))
         .withColumn("outcome", verdict)
@@ -181,12 +188,15 @@ def expected_match_by_stage(visits: DataFrame, claims: DataFrame) -> DataFrame:
 
 def billing_master(visits: DataFrame, claims: DataFrame) -> DataFrame:
     """Every visit key once: compared with its claim where there is one, else with blanks and a note.
+    Visits without an id or a date follow one by one, past the join.
 
     One left join instead of the union of an inner and an anti join over the same two sides.
     """
     left, right = _sides(visits, claims)
     side = _claim_side(right).withColumn("has_claim", F.lit(True))
-    joined = _compared(_visit_side(left).join(side, KEYS, "left"))
+    joined = _visit_side(left).join(side, KEYS, "left")
+    no_claim = _visit_side(_open_visits(visits).select(*left.columns))
+    joined = _compared(joined.unionByName(no_claim, allowMissingColumns=True))
     matched = F.col("has_claim").isNotNull()
 
     def only_matched(name: str) -> Column:

@@ -281,8 +281,8 @@ def exact_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def summary_stats(df: DataFrame) -> DataFrame:
-    """Per column: null count; for amount columns also count, mean, std, min, quartiles, max."""
-    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FractionalType,))]
+    """Per column: null count; for columns of numbers also count, mean, std, min, quartiles, max."""
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     measures = {
         "n": lambda c: F.count(c),
         "mean": lambda c: F.try_divide(F.sum(c).cast("double"), F.count(c)),
