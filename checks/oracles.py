@@ -219,12 +219,12 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "master": (
         ("fx_patients",),
-        """select cast(patient_id as varchar) as prompt_id, 'customer ' || substr(patient_name, 1, 10) as patient_name,
+        """select cast(patient_id as varchar) as master_id, 'customer ' || substr(patient_name, 1, 10) as patient_name,
              cast(dob as varchar) as date_of_birth from fx_patients where patient_id % 2 = 0""",
     ),
     "batch": (
         ("fx_claims",),
-        """select cast(row_no as varchar) as prompt_id, trim(patient_name) as patient_name, cast(dob as varchar) as date_of_birth, row_no
+        """select cast(row_no as varchar) as master_id, trim(patient_name) as patient_name, cast(dob as varchar) as date_of_birth, row_no
            from fx_claims where row_no % 11 <> 0 and row_no % 17 <> 0""",
     ),
     "unb": (
@@ -283,7 +283,7 @@ put("pl_key_lines", "keylines", f"select facility, line_item, month, {dbl('amoun
 put("pl_cell_lookup", "plcells", f"""select facility, cast(replace(cell, '$', '') as double) as amount from plcells
   where label = 'Total for Income' and month = '{PL_MONTH}'""")
 put("read_patients", "fx_patients",
-    "select cast(patient_id as varchar) as prompt_id, patient_name, cast(dob as varchar) as date_of_birth from fx_patients")
+    "select cast(patient_id as varchar) as master_id, patient_name, cast(dob as varchar) as date_of_birth from fx_patients")
 put("changed_sources", "listing log", """select file_name as table_name, prefix as source_id, strftime(cast(modified as timestamp), '%Y-%m-%d %H:%M:%S') as modified
   from listing where not exists (select 1 from log where table_name = file_name and log.modified = listing.modified
     and loaded_at = (select max(loaded_at) from log l2 where l2.table_name = file_name))""")
@@ -549,7 +549,7 @@ put("billing_summary_by", V, " union all ".join(
 put("billing_totals", V, f"select {_BILLED} {_MONTH_IN}")
 
 # --- identity ---
-_NEW = """select prompt_id, patient_name, date_of_birth from (select *, row_number() over (partition by patient_name, date_of_birth order by row_no) as rn from batch) b
+_NEW = """select master_id, patient_name, date_of_birth from (select *, row_number() over (partition by patient_name, date_of_birth order by row_no) as rn from batch) b
   where rn = 1 and not exists (select 1 from master m where m.patient_name = b.patient_name and m.date_of_birth = b.date_of_birth)"""
 put("patients_upsert", "master batch", f"select * from master union all {_NEW}")
 put("patients_upsert_stats", "master batch", f"""select new_patients, batch_rows - keys as duplicates_in_batch, keys - new_patients as already_known, m + new_patients as total_patients

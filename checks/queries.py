@@ -255,10 +255,10 @@ def read_patients(spark, sf):
     """The master written as JSON lines, read back."""
     path = scratch_dir(spark, "patients_json")
     fx.patients(spark, sf).select(
-        F.col("patient_id").cast("string").alias("prompt_id"), "patient_name", _us_date("dob").alias("date_of_birth")
+        F.col("patient_id").cast("string").alias("master_id"), "patient_name", _us_date("dob").alias("date_of_birth")
     ).write.json(path)
     return exports.read_patient_lines(spark, path).select(
-        "prompt_id", "patient_name", dates.parse_us_date("date_of_birth").alias("date_of_birth")
+        "master_id", "patient_name", dates.parse_us_date("date_of_birth").alias("date_of_birth")
     )
 
 
@@ -653,7 +653,7 @@ def billing_totals(spark, sf):
 def _master(spark, sf):
     p = fx.patients(spark, sf).filter("patient_id % 2 = 0")
     return p.select(
-        F.col("patient_id").cast("string").alias("prompt_id"),
+        F.col("patient_id").cast("string").alias("master_id"),
         F.concat(F.lit("customer "), F.substring("patient_name", 1, 10)).alias("patient_name"),
         F.col("dob").cast("string").alias("date_of_birth"),
     )
@@ -662,7 +662,7 @@ def _master(spark, sf):
 def _batch(spark, sf):
     c = fx.claims(spark, sf)
     return c.select(
-        F.when(F.col("row_no") % 11 != 0, F.col("row_no").cast("string")).alias("prompt_id"),
+        F.when(F.col("row_no") % 11 != 0, F.col("row_no").cast("string")).alias("master_id"),
         F.when(F.col("row_no") % 17 == 0, " ").otherwise(F.col("patient_name")).alias("patient_name"),
         F.col("dob").cast("string").alias("date_of_birth"),
         "row_no",

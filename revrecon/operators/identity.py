@@ -16,7 +16,7 @@ from revrecon.operators.lookups import lookup, pick_per_key
 
 def _batch_patients(batch: DataFrame) -> DataFrame:
     """Trimmed batch rows with no blank field (a null counts as blank)."""
-    fields = ("prompt_id", "patient_name", "date_of_birth")
+    fields = ("master_id", "patient_name", "date_of_birth")
     trimmed = batch.select(*[F.trim(F.col(c).cast("string")).alias(c) for c in fields], "row_no")
     for c in fields:
         trimmed = trimmed.filter(F.col(c).isNotNull() & (F.col(c) != ""))
@@ -27,13 +27,13 @@ def new_patients(master: DataFrame, batch: DataFrame) -> DataFrame:
     """First batch row per (name, birth date) that the master does not have."""
     first = pick_per_key(_batch_patients(batch), ["patient_name", "date_of_birth"], ["row_no"], last=False)
     return first.join(master, ["patient_name", "date_of_birth"], "left_anti").select(
-        "prompt_id", "patient_name", "date_of_birth"
+        "master_id", "patient_name", "date_of_birth"
     )
 
 
 def patients_upsert(master: DataFrame, batch: DataFrame) -> DataFrame:
     """The master with the new patients of the batch appended; existing rows never change."""
-    return master.select("prompt_id", "patient_name", "date_of_birth").unionByName(new_patients(master, batch))
+    return master.select("master_id", "patient_name", "date_of_birth").unionByName(new_patients(master, batch))
 
 
 def patients_upsert_stats(master: DataFrame, batch: DataFrame) -> DataFrame:

@@ -233,7 +233,7 @@ def recon_flags(monthly: DataFrame, rule: ReconRule) -> DataFrame:
     return monthly.filter(F.col("flag") == "REVIEW").select(
         "month", "facility", "visits_collected", "ledger_amount", "discrepancy", "discrepancy_pct",
         F.when(F.abs("discrepancy") > rule.high_amount, "HIGH").otherwise("MEDIUM").alias("severity"),
-        F.when(ledger_high, "QB > EHR").otherwise("EHR > QB").alias("direction"),
+        F.when(ledger_high, "ledger > visits").otherwise("visits > ledger").alias("direction"),
         causes.alias("possible_causes"),
     )
 

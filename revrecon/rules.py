@@ -101,23 +101,23 @@ PL_KEY_LINES = ("Total for Income", "Total for Expenses", "Net Income", "Contrac
 
 # --- Fixed values: causes listed with a flagged month ----------------------------------------
 DEPOSIT_CAUSES_LEDGER_HIGH = (
-    "Deposits not yet recorded in EHR",
+    "Deposits not yet recorded in the visit system",
     "Non-patient deposits (loans, transfers)",
     "Timing difference - payment received before visit closed",
 )
 DEPOSIT_CAUSES_VISITS_HIGH = (
-    "EHR payments not yet deposited",
-    "Refunds or chargebacks in QB",
+    "the visit system payments not yet deposited",
+    "Refunds or chargebacks in the ledger",
     "Credit card processing delays",
 )
 PL_CAUSES_LEDGER_HIGH = (
-    "Insurance payments received but not posted to visits in EHR",
-    "Payments for older visits (before EHR date range)",
-    "Timing difference - QB records when deposited, EHR when posted",
+    "Insurance payments received but not posted to visits in the visit system",
+    "Payments for older visits (before the visit system date range)",
+    "Timing difference - the ledger records when deposited, the visit system when posted",
 )
 PL_CAUSES_VISITS_HIGH = (
-    "EHR payments not yet reflected in QB",
-    "Refunds or adjustments in QB",
+    "the visit system payments not yet reflected in the ledger",
+    "Refunds or adjustments in the ledger",
     "Possible data entry discrepancy",
 )
 

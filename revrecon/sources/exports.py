@@ -68,22 +68,22 @@ def read_deposits(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 
 
 def read_patients(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Patient master (JSON) -> prompt_id, patient_name, date_of_birth, row_no.
+    """Patient master (JSON) -> master_id, patient_name, date_of_birth, row_no.
 
     Two document shapes are read: ``{"patients": [{...}]}`` and a flat ``{"NAME": "id"}`` object.
     """
     document = spark.read.text(path, wholetext=True).select("value")
-    entry = "struct<prompt_id:string,patient_name:string,date_of_birth:string>"
+    entry = "struct<master_id:string,patient_name:string,date_of_birth:string>"
     listed = document.select(
         F.posexplode(F.from_json("value", f"struct<patients:array<{entry}>>")["patients"]).alias(
             "row_no", "p"
         )
-    ).select("p.prompt_id", "p.patient_name", "p.date_of_birth", "row_no")
+    ).select("p.master_id", "p.patient_name", "p.date_of_birth", "row_no")
     flat = (
         document.filter(F.get_json_object("value", "$.patients").isNull())
         .select(F.posexplode(F.from_json("value", "map<string,string>")).alias("row_no", "name", "id"))
         .select(
-            F.col("id").alias("prompt_id"),
+            F.col("id").alias("master_id"),
             F.col("name").alias("patient_name"),
             F.lit(None).cast("string").alias("date_of_birth"),
             "row_no",
@@ -94,6 +94,6 @@ def read_patients(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def read_patient_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The patient master as JSON lines, one patient each: the splittable form for a large master."""
-    ddl = "prompt_id string, patient_name string, date_of_birth string"
+    ddl = "master_id string, patient_name string, date_of_birth string"
     rows = spark.read.schema(ddl).json(path)
-    return rows.select("prompt_id", "patient_name", "date_of_birth", line_ordinal().alias("row_no"))
+    return rows.select("master_id", "patient_name", "date_of_birth", line_ordinal().alias("row_no"))

@@ -145,12 +145,12 @@ def test_review_flow(spark):
 
 
 def test_patient_upsert(spark):
-    ddl = "prompt_id string, patient_name string, date_of_birth string"
+    ddl = "master_id string, patient_name string, date_of_birth string"
     master = spark.createDataFrame([("m", "Old", "d")], ddl)
     batch = spark.createDataFrame(
         [("1", " New ", "d", 1), ("2", "New", "d", 2), ("3", "Old", "d", 3), (None, "Null", "d", 4), ("5", "", "d", 5)],
         ddl + ", row_no bigint")
-    assert {(r["prompt_id"], r["patient_name"]) for r in as_dicts(identity.patients_upsert(master, batch))} == {("m", "Old"), ("1", "New")}
+    assert {(r["master_id"], r["patient_name"]) for r in as_dicts(identity.patients_upsert(master, batch))} == {("m", "Old"), ("1", "New")}
     assert as_dicts(identity.patients_upsert_stats(master, batch)) == [
         {"new_patients": 1, "duplicates_in_batch": 1, "already_known": 1, "total_patients": 2}]
 

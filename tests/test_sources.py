@@ -167,16 +167,16 @@ def test_two_pl_sheets_with_other_months(spark, tmp_path):
 def test_patient_master_shapes(spark, tmp_path):
     listed = tmp_path / "listed.json"
     listed.write_text(json.dumps({"patients": [
-        {"prompt_id": "p1", "patient_name": "Jane Doe", "date_of_birth": "1/2/1980"},
-        {"prompt_id": "p2", "patient_name": "Rob Roe", "date_of_birth": "1/3/1980"},
+        {"master_id": "p1", "patient_name": "Jane Doe", "date_of_birth": "1/2/1980"},
+        {"master_id": "p2", "patient_name": "Rob Roe", "date_of_birth": "1/3/1980"},
     ]}, indent=1))
     flat = tmp_path / "flat.json"
     flat.write_text(json.dumps({"JANE DOE": "p1", "ROB ROE": "p2"}, indent=1))
     a = exports.read_patients(spark, str(listed)).orderBy("row_no").collect()
     b = exports.read_patients(spark, str(flat)).orderBy("row_no").collect()
-    assert [(r.prompt_id, r.patient_name, r.date_of_birth) for r in a] == [
+    assert [(r.master_id, r.patient_name, r.date_of_birth) for r in a] == [
         ("p1", "Jane Doe", "1/2/1980"), ("p2", "Rob Roe", "1/3/1980")]
-    assert [(r.prompt_id, r.patient_name, r.date_of_birth) for r in b] == [("p1", "JANE DOE", None), ("p2", "ROB ROE", None)]
+    assert [(r.master_id, r.patient_name, r.date_of_birth) for r in b] == [("p1", "JANE DOE", None), ("p2", "ROB ROE", None)]
 
 
 def test_refresh_only_when_changed(spark, tmp_path):
