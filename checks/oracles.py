@@ -739,7 +739,7 @@ put("recon_pl_totals", "merged pl", totals(_RC, _RP))
 
 def recon_flags(text: str, high: float, up: tuple[str, ...], down: tuple[str, ...]) -> str:
     return f"""select month, facility, visits_collected, ledger_amount, discrepancy, discrepancy_pct, case when abs(discrepancy) > {high} then 'HIGH' else 'MEDIUM' end as severity,
-      case when ledger_amount > visits_collected then 'QB > EHR' else 'EHR > QB' end as direction,
+      case when ledger_amount > visits_collected then 'ledger > visits' else 'visits > ledger' end as direction,
       case when ledger_amount > visits_collected then '{' | '.join(up)}' else '{' | '.join(down)}' end as possible_causes from ({text}) r where flag = 'REVIEW'"""
 
 

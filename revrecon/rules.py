@@ -106,17 +106,17 @@ DEPOSIT_CAUSES_LEDGER_HIGH = (
     "Timing difference - payment received before visit closed",
 )
 DEPOSIT_CAUSES_VISITS_HIGH = (
-    "the visit system payments not yet deposited",
+    "Visit payments not yet deposited",
     "Refunds or chargebacks in the ledger",
     "Credit card processing delays",
 )
 PL_CAUSES_LEDGER_HIGH = (
     "Insurance payments received but not posted to visits in the visit system",
     "Payments for older visits (before the visit system date range)",
-    "Timing difference - the ledger records when deposited, the visit system when posted",
+    "Timing difference - ledger records when deposited, the visit system when posted",
 )
 PL_CAUSES_VISITS_HIGH = (
-    "the visit system payments not yet reflected in the ledger",
+    "Visit payments not yet reflected in the ledger",
     "Refunds or adjustments in the ledger",
     "Possible data entry discrepancy",
 )

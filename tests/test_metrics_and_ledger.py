@@ -150,7 +150,7 @@ def test_ledger_without_visits_is_flagged(spark):
     rows = {r["month"]: r for r in as_dicts(ledger.recon_pl_monthly(merged, pl))}
     assert (rows["2025-09"]["discrepancy_pct"], rows["2025-09"]["flag"]) == (100.0, "REVIEW")
     flags = {r["month"]: r for r in as_dicts(ledger.recon_pl_flags(merged, pl))}
-    assert (flags["2025-08"]["direction"], flags["2025-08"]["severity"]) == ("EHR > QB", "MEDIUM")
+    assert (flags["2025-08"]["direction"], flags["2025-08"]["severity"]) == ("visits > ledger", "MEDIUM")
     assert len(flags["2025-09"]["possible_causes"]) == 3
     stats = {r["facility"]: r for r in as_dicts(ledger.pl_stats(pl))}
     assert (stats["ALL"]["total_income"], stats["ALL"]["non_patient_revenue"]) == (109, 99)
