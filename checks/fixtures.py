@@ -68,15 +68,15 @@ join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey join n
 """,
     "fx_pl_wide": """
 with b as (
- select r_name as facility, case when l_linestatus = 'F' then 'Income' else 'Expenses' end as sect, p_type as category, month(l_shipdate) as m, sum(cast(l_extendedprice as decimal(18,2))) as amt
+ select r_name as facility, year(l_shipdate) as yr, case when l_linestatus = 'F' then 'Income' else 'Expenses' end as sect, p_type as category, month(l_shipdate) as m, sum(cast(l_extendedprice as decimal(18,2))) as amt
  from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
- where year(l_shipdate) = 1997 group by 1, 2, 3, 4),
+ group by 1, 2, 3, 4, 5),
 r as (
- select facility, case sect when 'Income' then 2 else 5 end as ord, category as label, m, amt from b
- union all select facility, case sect when 'Income' then 3 else 6 end as ord, concat('Total for ', sect) as label, m, amt from b
- union all select facility, 7 as ord, 'Net Income' as label, m, case when sect = 'Income' then amt else -amt end as amt from b
- union all select distinct facility, case sect when 'Income' then 1 else 4 end as ord, sect as label, cast(null as int) as m, cast(null as decimal(18,2)) as amt from b)
-select facility, row_number() over (partition by facility order by ord, label) as row_no, label,
+ select facility, yr, case sect when 'Income' then 2 else 5 end as ord, category as label, m, amt from b
+ union all select facility, yr, case sect when 'Income' then 3 else 6 end as ord, concat('Total for ', sect) as label, m, amt from b
+ union all select facility, yr, 7 as ord, 'Net Income' as label, m, case when sect = 'Income' then amt else -amt end as amt from b
+ union all select distinct facility, yr, case sect when 'Income' then 1 else 4 end as ord, sect as label, cast(null as int) as m, cast(null as decimal(18,2)) as amt from b)
+select facility, yr, row_number() over (partition by facility, yr order by ord, label) as row_no, label,
  '$' || cast(cast(sum(case when m = 1 then amt end) as decimal(18,2)) as string) as m01,
  '$' || cast(cast(sum(case when m = 2 then amt end) as decimal(18,2)) as string) as m02,
  '$' || cast(cast(sum(case when m = 3 then amt end) as decimal(18,2)) as string) as m03,
@@ -89,7 +89,7 @@ select facility, row_number() over (partition by facility order by ord, label) a
  '$' || cast(cast(sum(case when m = 10 then amt end) as decimal(18,2)) as string) as m10,
  '$' || cast(cast(sum(case when m = 11 then amt end) as decimal(18,2)) as string) as m11,
  '$' || cast(cast(sum(case when m = 12 then amt end) as decimal(18,2)) as string) as m12
-from r group by facility, ord, label
+from r group by facility, yr, ord, label
 """,
     "fx_manifest": """
 select concat(source, '_2001', lpad(cast(1 + doc_id % 12 as string), 2, '0'), lpad(cast(1 + doc_id % 28 as string), 2, '0'), '_', lpad(cast(doc_id % 24 as string), 2, '0'), '0000', case when doc_id % 3 = 0 then '.md' else '.csv' end) as file_name,
@@ -126,7 +126,8 @@ READS = {
     "fx_decisions": ('customer',),
 }
 
-PL_MONTHS = {f"m{m:02d}": f"1997-{m:02d}" for m in range(1, 13)}
+#: Month columns of a yearly sheet and the month within the year.
+PL_MONTHS = {f"m{m:02d}": f"{m:02d}" for m in range(1, 13)}
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 

@@ -12,12 +12,13 @@ from checks.queries import (
     MONTH,
     PATIENT,
     PATIENT_CATEGORIES,
-    PIVOT_MONTHS,
     PL_MONTH,
     SNAPSHOT_PREFIXES,
 )
 from revrecon import rules
 
+# every month of the yearly sheets; the visits lie within them
+ALL_MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
 BILLING = "('Review','Open','Closed')"
 CANCELED = "('Patient Canceled','Center Canceled')"
 OPERATIONAL = "('No Show','Patient Canceled','Center Canceled','Not Started')"
@@ -164,7 +165,7 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     "plcells": (
         ("fx_pl_wide",),
         " union all ".join(
-            f"select facility, row_no, label, '{m}' as month, {c} as cell from fx_pl_wide" for c, m in PL_MONTHS.items()
+            f"select facility, yr, row_no, label, cast(yr as varchar) || '-{m}' as month, {c} as cell from fx_pl_wide" for c, m in PL_MONTHS.items()
         ),
     ),
     "pl": (
@@ -173,8 +174,8 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
             from (select p.*, try_cast(replace(replace(trim(p.cell), '$', ''), ',', '') as decimal(18,2)) as amount,
                     case when p.row_no > e.row_no then 'Expense' when p.row_no > i.row_no then 'Income' end as type
                   from plcells p
-                  left join (select facility, row_no from fx_pl_wide where label = 'Income') i on i.facility = p.facility
-                  left join (select facility, row_no from fx_pl_wide where label = 'Expenses') e on e.facility = p.facility
+                  left join (select facility, yr, row_no from fx_pl_wide where label = 'Income') i on i.facility = p.facility and i.yr = p.yr
+                  left join (select facility, yr, row_no from fx_pl_wide where label = 'Expenses') e on e.facility = p.facility and e.yr = p.yr
                   where p.label not in ('Income', 'Expenses', 'Net Income') and p.label not like 'Total %') x
             where type is not null and coalesce(amount, 0) <> 0""",
     ),
@@ -182,7 +183,7 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
         ("plcells",),
         f"""select facility, label as line_item, month,
               coalesce(try_cast(replace(replace(trim(cell), '$', ''), ',', '') as decimal(18,2)), 0) as amount
-            from plcells where label in {quoted(rules.PL_KEY_LINES)}""",
+            from plcells where label in ('Total for Income', 'Total for Expenses', 'Net Income', 'Contract labor')""",
     ),
     "nd": (
         ("fx_claims", "fx_patients"),
@@ -527,7 +528,7 @@ STEPS["metric_rows"] = (("fx_visits", "keylines"), " union all ".join(
     [f"select facility, month, '{m}' as metric, cast({m} as decimal(28,2)) as amount from (select facility, {month('dos')} as month, {_PERIOD} from fx_visits group by 1, 2) p"
      for m in ("checked_in", "unbilled", "billed", "collected")]
     + [f"select facility, month, '{m}' as metric, cast(amount as decimal(28,2)) as amount from keylines where line_item = '{line}'" for m, line in _LINES.items()]))
-_PIVOT = ", ".join(f"cast(coalesce(sum(amount) filter (where month = '{m}'), 0) as double) as \"{m}\"" for m in PIVOT_MONTHS)
+_PIVOT = ", ".join(f"cast(coalesce(sum(amount) filter (where month = '{m}'), 0) as double) as \"{m}\"" for m in ALL_MONTHS)
 put("facility_month_pivot", "metric_rows", f"select metric, {_PIVOT} from metric_rows where facility = '{FACILITY}' group by metric")
 put("combined_month_pivot", "metric_rows", f"""select facility, metric, {_PIVOT} from (select * from metric_rows
    union all select 'COMBINED', month, metric, amount from metric_rows) r group by 1, 2""")

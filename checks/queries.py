@@ -34,7 +34,6 @@ from revrecon.sources import catalog, exports, files, ledger_sheet
 AS_OF = "2001-09-01"
 MONTH = "1997-06"
 PL_MONTH = "1997-03"
-PIVOT_MONTHS = [f"1997-{m:02d}" for m in range(1, 13)]
 FACILITY = "ASIA"
 PATIENT = 42
 KNOWN_REGIONS = fx.REGIONS[:4]
@@ -119,7 +118,7 @@ def kept_deposits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pl_cells(spark: SparkSession, sf: str) -> DataFrame:
-    return ledger_sheet.pl_cells(fx.pl_wide(spark, sf), fx.PL_MONTHS)
+    return ledger_sheet.pl_cells(fx.pl_wide(spark, sf), fx.PL_MONTHS, "yr")
 
 
 def pl(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,8 +141,7 @@ def _us_date(col: str) -> Column:
 
 @query
 def read_visits(spark, sf):
-    """Visits written as an export with currency text, read back."""
-    path = scratch_dir(spark, "visits_csv")
+    """Visits written as two exports with currency text and another order of columns, read back."""
     v = fx.visits(spark, sf)
     headers = {name: header for header, name, _ in files.schemas.VISIT_FIELDS}
     cells = []
@@ -152,8 +150,10 @@ def read_visits(spark, sf):
             kind = f.dataType.typeName()
             cell = _dollars(f.name) if kind == "decimal" else _us_date(f.name) if kind == "date" else F.col(f.name)
             cells.append(cell.cast("string").alias(headers[f.name]))
-    v.select(*cells).write.option("header", True).csv(path)
-    return exports.read_visits(spark, path).drop("row_no")
+    old, new = scratch_dir(spark, "visits_csv"), scratch_dir(spark, "visits_csv")
+    v.filter("year(dos) < 1998").select(*cells).write.option("header", True).csv(old)
+    v.filter("year(dos) >= 1998").select(*reversed(cells)).write.option("header", True).csv(new)
+    return exports.read_visits(spark, [old, new]).drop("row_no")
 
 
 @query
@@ -177,42 +177,47 @@ def typed_currency_zero(spark, sf):
 
 @query
 def read_claims(spark, sf):
-    """Claims written as UTF-16 tab-separated text, read back in the splittable form."""
-    path = scratch_dir(spark, "claims_tsv")
+    """Claims written as UTF-16 tab-separated text, in two exports with another order of columns, read back."""
     c = fx.claims(spark, sf)
     cells = []
     for header, name, kind in files.schemas.CLAIM_FIELDS:
         cell = _dollars(name) if kind == "money" else _us_date(name) if kind == "date" else F.col(name)
         cells.append(cell.cast("string").alias(header))
-    c.select(*cells).write.options(header=True, sep="\t", encoding="UTF-16LE", lineSep="\n").csv(path)
-    return exports.read_claims(spark, path).drop("row_no")
+    options = {"header": True, "sep": "\t", "encoding": "UTF-16LE", "lineSep": "\n"}
+    old, new = scratch_dir(spark, "claims_tsv"), scratch_dir(spark, "claims_tsv")
+    c.filter("year(service_date) < 1998").select(*cells).write.options(**options).csv(old)
+    c.filter("year(service_date) >= 1998").select(*reversed(cells)).write.options(**options).csv(new)
+    return exports.read_claims(spark, [old, new]).drop("row_no")
 
 
 @query
 def read_deposits(spark, sf):
-    """One deposit file per facility with preamble and subtotal lines, read back."""
+    """One deposit file per facility and year, each with preamble, header and subtotal lines, read back."""
     root = scratch_dir(spark, "deposits_csv")
-    d = fx.deposits(spark, sf)
     cols = files.schemas.DEPOSIT_FIELDS
+    d = fx.deposits(spark, sf).withColumn("yr", F.year("txn_date"))
+    keys = [F.col("facility").alias("file"), F.col("yr")]
     none = F.lit(None).cast("string")
     header = ("Transaction date", "Transaction type", "Num", "Customer", "Vendor", "Memo", "Cleared", "Amount")
     preamble = [("Some Clinic LLC",) + (None,) * 8, (None, "01/01/1990 preamble") + (None,) * 6 + ("1.00",), (None, *header)]
-    top = spark.createDataFrame(
-        [(*line, region) for region in fx.REGIONS for line in preamble],
-        ", ".join(f"{c} string" for c in (*cols, "file")),
-    ).coalesce(1)
+    top = d.select(*keys).distinct().select(
+        "file", "yr",
+        F.posexplode(F.array(*[F.struct(*[F.lit(v).cast("string").alias(c) for c, v in zip(cols, line)]) for line in preamble]))
+        .alias("at", "line"),
+    ).select("line.*", "file", "yr", "at")
     lines = d.select(
         "account", _us_date("txn_date").alias("txn_date"), F.lit("Deposit").alias("txn_type"),
         F.col("row_no").cast("string").alias("num"), none.alias("customer"), none.alias("vendor"), "memo", "cleared",
-        F.format_number("amount", 2).alias("amount"), F.col("facility").alias("file"),
+        F.format_number("amount", 2).alias("amount"), *keys, F.lit(3).alias("at"),
     )
-    subtotals = d.groupBy("facility", "account").agg(F.format_number(F.sum("amount"), 2).alias("amount")).select(
+    subtotals = d.groupBy("facility", "yr", "account").agg(F.format_number(F.sum("amount"), 2).alias("amount")).select(
         F.concat(F.lit("Total for "), "account").alias("account"),
-        *[none.alias(c) for c in cols[1:-1]], "amount", F.col("facility").alias("file"),
+        *[none.alias(c) for c in cols[1:-1]], "amount", *keys, F.lit(4).alias("at"),
     )
-    # one folder per facility; the preamble is the first part file of each
-    top.unionByName(lines).unionByName(subtotals).write.partitionBy("file").csv(root)
-    paths = {region: f"{root}/file={region}" for region in fx.REGIONS}
+    # a deposit export is one file by nature: the transactions of one facility in one year
+    rows = top.unionByName(lines).unionByName(subtotals).repartition("file", "yr")
+    rows.sortWithinPartitions("file", "yr", "at").drop("at").write.partitionBy("file", "yr").csv(root)
+    paths = {region: f"{root}/file={region}/*" for region in fx.REGIONS}
     return exports.read_deposits(spark, paths).select(
         F.col("num").cast("long").alias("row_no"), "txn_date", "amount", "memo", "cleared", "account", "facility"
     )
@@ -220,23 +225,29 @@ def read_deposits(spark, sf):
 
 @query
 def read_pl_long(spark, sf):
-    """P&L sheets written as wide files with preamble, read back to long rows."""
+    """One P&L sheet per facility and year, with preamble; even years list their months backwards. Read back."""
     root = scratch_dir(spark, "pl_csv")
     wide = fx.pl_wide(spark, sf)
-    months = [dt.date(1997, m, 1).strftime("%B %Y") for m in range(1, 13)]
-    names_ = ["label", *fx.PL_MONTHS]
-    top = spark.createDataFrame(
-        [(region, *line) for region in fx.REGIONS
-         for line in ((0, "Some Clinic LLC") + (None,) * 12, (1, "Distribution account", *months))],
-        "facility string, row_no int, " + ", ".join(f"{n} string" for n in names_),
+    keys, cells = ["facility", "yr"], [f"c{i:02d}" for i in range(1, 13)]
+
+    def placed(value: Callable[[int], Column]) -> list[Column]:
+        even = F.col("yr") % 2 == 0
+        return [F.when(even, value(13 - i)).otherwise(value(i)).alias(c) for i, c in enumerate(cells, 1)]
+
+    sheet = wide.select(*keys).distinct()
+    title = sheet.select(
+        *keys, F.lit(-2).alias("row_no"), F.lit("Some Clinic LLC").alias("label"),
+        *[F.lit(None).cast("string").alias(c) for c in cells],
     )
-    sheets = top.unionByName(
-        wide.select("facility", (F.col("row_no") + 10).cast("int").alias("row_no"), *names_)
+    months = sheet.select(
+        *keys, F.lit(-1).alias("row_no"), F.lit("Distribution account").alias("label"),
+        *placed(lambda m: F.date_format(F.make_date("yr", F.lit(m), F.lit(1)), "MMMM yyyy")),
     )
-    # a sheet is one small file by nature: some twenty lines whatever the scale
-    ordered = sheets.repartition("facility").sortWithinPartitions("facility", "row_no")
-    ordered.select("facility", *names_).write.partitionBy("facility").csv(root)
-    paths = {region: f"{root}/facility={region}" for region in fx.REGIONS}
+    body = wide.select(*keys, "row_no", "label", *placed(lambda m: F.col(f"m{m:02d}")))
+    # a sheet is one small file by nature: some hundred lines whatever the scale
+    rows = title.unionByName(months).unionByName(body).repartition(*keys).sortWithinPartitions(*keys, "row_no")
+    rows.drop("row_no").write.partitionBy(*keys).csv(root)
+    paths = {region: f"{root}/facility={region}/*" for region in fx.REGIONS}
     return ledger_sheet.read_pl_long(spark, paths, PATIENT_CATEGORIES)
 
 
@@ -349,7 +360,6 @@ def export_metrics_bundle(spark, sf):
     folder = scratch_dir(spark, "bundle")
     bundle = report.all_metrics(fx.visits(spark, sf))
     written = sinks.export_metrics_bundle(bundle.tables, folder, "20010901_000000")
-    bundle.release()
     counts = None
     for name, path in written.items():
         read = spark.read.json(path) if name.endswith("json") else spark.read.csv(path, header=True)
@@ -609,12 +619,12 @@ def visits_by_period(spark, sf):
 
 @query
 def facility_month_pivot(spark, sf):
-    return monthly.facility_month_pivot(fx.visits(spark, sf), key_lines(spark, sf), FACILITY, PIVOT_MONTHS)
+    return monthly.facility_month_pivot(fx.visits(spark, sf), key_lines(spark, sf), FACILITY)
 
 
 @query
 def combined_month_pivot(spark, sf):
-    return monthly.combined_month_pivot(fx.visits(spark, sf), key_lines(spark, sf), PIVOT_MONTHS)
+    return monthly.combined_month_pivot(fx.visits(spark, sf), key_lines(spark, sf))
 
 
 @query

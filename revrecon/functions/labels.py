@@ -38,22 +38,18 @@ def stage_class(col: str | Column = "visit_stage") -> Column:
     )
 
 
-def facility_normalized(col: str | Column, mapping: Mapping[str, str] | None = None) -> Column:
+def facility_normalized(col: str | Column, mapping: Mapping[str, str]) -> Column:
     """Short facility name; unknown or null -> ``Unknown``. The map is a literal of a few entries."""
-    mapping = rules.FACILITY_MAP if mapping is None else mapping
     table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
     return F.coalesce(F.try_element_at(table, F.trim(_col(col))), F.lit(rules.UNKNOWN_FACILITY))
 
 
-def facility_from_office(
-    col: str | Column, office_rules: Sequence[tuple[Sequence[str], str]] | None = None
-) -> Column:
+def facility_from_office(col: str | Column, office_rules: Sequence[tuple[Sequence[str], str]]) -> Column:
     """First rule with a word contained in the upper-cased office text; else ``Unknown``."""
     office = F.upper(_col(col))
-    result = None
-    for words, facility in office_rules or rules.OFFICE_RULES:
-        hit = reduce(or_, [office.contains(word) for word in words])
-        result = F.when(hit, facility) if result is None else result.when(hit, facility)
+    result = F.when(F.lit(False), F.lit(None).cast("string"))
+    for words, facility in office_rules:
+        result = result.when(reduce(or_, [office.contains(word) for word in words]), facility)
     return result.otherwise(rules.UNKNOWN_FACILITY)
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revrecon.functions.dates import month_key
-from revrecon.functions.labels import facility_from_office
 
 KEYS = ["patient_id", "service_date"]
 _AMOUNTS = ("charges", "patient_payments", "insurance_payments", "total_paid")
@@ -19,7 +18,7 @@ def _money(value: Column, name: str) -> Column:
 
 
 def _common(
-    visits: DataFrame, claims: DataFrame, office_facility: Callable[[str], Column] = facility_from_office
+    visits: DataFrame, claims: DataFrame, office_facility: Callable[[str], Column]
 ) -> DataFrame:
     """Union of both systems on common columns; claims only where the patient is known."""
     zero = F.lit(0)
@@ -49,7 +48,7 @@ def _common(
 
 
 def combined_dedup(
-    visits: DataFrame, claims: DataFrame, office_facility: Callable[[str], Column] = facility_from_office
+    visits: DataFrame, claims: DataFrame, office_facility: Callable[[str], Column]
 ) -> DataFrame:
     """One row per (patient, date): the highest total paid; visits before claims, then file order.
 
@@ -71,7 +70,7 @@ def combined_dedup(
 
 
 def combined_stats(
-    visits: DataFrame, claims: DataFrame, office_facility: Callable[[str], Column] = facility_from_office
+    visits: DataFrame, claims: DataFrame, office_facility: Callable[[str], Column]
 ) -> DataFrame:
     """One row: inputs, matched and unmatched claims, duplicates removed, final rows by source.
 

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revrecon import rules
 from revrecon.functions import labels
 from revrecon.functions.dates import as_date, in_month
 
@@ -32,7 +31,7 @@ def filter_month(df: DataFrame, month: str, column: str = "dos") -> DataFrame:
     return df.filter(in_month(column, month))
 
 
-def claims_facility_filter(claims: DataFrame, offices: Sequence[str] = rules.INCLUDED_OFFICES) -> DataFrame:
+def claims_facility_filter(claims: DataFrame, offices: Sequence[str]) -> DataFrame:
     """Only claims of the listed offices; third-party offices are dropped at the scan."""
     return claims.filter(F.col("office").isin(*offices))
 

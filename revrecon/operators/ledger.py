@@ -154,7 +154,7 @@ LEDGER_RULE = ReconRule(
 )
 
 
-def _visit_rows(visits: DataFrame, facility_map: Mapping[str, str] | None) -> DataFrame:
+def _visit_rows(visits: DataFrame, facility_map: Mapping[str, str]) -> DataFrame:
     return visits.select(
         month_key("dos").alias("month"),
         facility_normalized("facility", facility_map).alias("facility"),
@@ -243,21 +243,21 @@ def _deposit_ledger(deposits: DataFrame) -> DataFrame:
 
 
 def recon_deposits_monthly(
-    visits: DataFrame, deposits: DataFrame, facility_map: Mapping[str, str] | None = None, rule: ReconRule = DEPOSIT_RULE
+    visits: DataFrame, deposits: DataFrame, facility_map: Mapping[str, str], rule: ReconRule = DEPOSIT_RULE
 ) -> DataFrame:
     """Visit collections against (patient) deposits per month and facility."""
     return _monthly(visits, _deposit_ledger(deposits), facility_map, rule)
 
 
 def recon_deposits_totals(
-    visits: DataFrame, deposits: DataFrame, facility_map: Mapping[str, str] | None = None, rule: ReconRule = DEPOSIT_RULE
+    visits: DataFrame, deposits: DataFrame, facility_map: Mapping[str, str], rule: ReconRule = DEPOSIT_RULE
 ) -> DataFrame:
     """The same overall (ALL) and per facility."""
     return _totals(visits, _deposit_ledger(deposits), facility_map, rule)
 
 
 def recon_deposits_flags(
-    visits: DataFrame, deposits: DataFrame, facility_map: Mapping[str, str] | None = None, rule: ReconRule = DEPOSIT_RULE
+    visits: DataFrame, deposits: DataFrame, facility_map: Mapping[str, str], rule: ReconRule = DEPOSIT_RULE
 ) -> DataFrame:
     return recon_flags(recon_deposits_monthly(visits, deposits, facility_map, rule), rule)
 
@@ -280,20 +280,20 @@ def _patient_ledger(pl: DataFrame) -> DataFrame:
 
 
 def recon_pl_monthly(
-    combined: DataFrame, pl: DataFrame, facility_map: Mapping[str, str] | None = None, rule: ReconRule = LEDGER_RULE
+    combined: DataFrame, pl: DataFrame, facility_map: Mapping[str, str], rule: ReconRule = LEDGER_RULE
 ) -> DataFrame:
     """Combined collections against patient revenue of the P&L per month and facility."""
     return _monthly(_combined_visits(combined), _patient_ledger(pl), facility_map, rule).drop("ledger_count")
 
 
 def recon_pl_totals(
-    combined: DataFrame, pl: DataFrame, facility_map: Mapping[str, str] | None = None, rule: ReconRule = LEDGER_RULE
+    combined: DataFrame, pl: DataFrame, facility_map: Mapping[str, str], rule: ReconRule = LEDGER_RULE
 ) -> DataFrame:
     """The same overall (ALL) and per facility."""
     return _totals(_combined_visits(combined), _patient_ledger(pl), facility_map, rule)
 
 
 def recon_pl_flags(
-    combined: DataFrame, pl: DataFrame, facility_map: Mapping[str, str] | None = None, rule: ReconRule = LEDGER_RULE
+    combined: DataFrame, pl: DataFrame, facility_map: Mapping[str, str], rule: ReconRule = LEDGER_RULE
 ) -> DataFrame:
     return recon_flags(recon_pl_monthly(combined, pl, facility_map, rule), rule)

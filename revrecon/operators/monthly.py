@@ -74,21 +74,32 @@ def _metric_rows(visits: DataFrame, key_lines: DataFrame) -> DataFrame:
     return filled.unpivot(["facility", "month"], list(PIVOT_METRICS), "metric", "amount")
 
 
-def _pivot(rows: DataFrame, keys: Sequence[str], months: Sequence[str]) -> DataFrame:
-    wide = rows.filter(F.col("month").isin(*months)).groupBy(*keys).pivot("month", list(months)).agg(F.sum("amount"))
-    return wide.select(*keys, *[F.coalesce(F.col(f"`{m}`"), F.lit(0)).alias(m) for m in months])
+def _pivot(rows: DataFrame, keys: Sequence[str], months: Sequence[str] | None) -> DataFrame:
+    """One column per month; without a list, those of the data: one distinct over rows grouped by month already."""
+    if months is None:
+        wide = rows.filter(F.col("month").isNotNull()).groupBy(*keys).pivot("month").agg(F.sum("amount"))
+    else:
+        listed = rows.filter(F.col("month").isin(*months))
+        wide = listed.groupBy(*keys).pivot("month", list(months)).agg(F.sum("amount"))
+    cells = [c for c in wide.columns if c not in keys]
+    return wide.select(*keys, *[F.coalesce(F.col(f"`{m}`"), F.lit(0)).alias(m) for m in cells])
 
 
 def facility_month_pivot(
-    visits: DataFrame, key_lines: DataFrame, facility: str, months: Sequence[str]
+    visits: DataFrame, key_lines: DataFrame, facility: str, months: Sequence[str] | None = None
 ) -> DataFrame:
-    """Metric rows by month columns for one facility, visits and ledger side by side."""
+    """Metric rows by month columns for one facility, visits and ledger side by side.
+
+    Without ``months``, every month that either side has.
+    """
     of_facility = F.col("facility") == facility
     rows = _metric_rows(visits.filter(of_facility), key_lines.filter(of_facility))
     return _pivot(rows, ["metric"], months)
 
 
-def combined_month_pivot(visits: DataFrame, key_lines: DataFrame, months: Sequence[str]) -> DataFrame:
+def combined_month_pivot(
+    visits: DataFrame, key_lines: DataFrame, months: Sequence[str] | None = None
+) -> DataFrame:
     """The same for every facility, with the sum over facilities as ``COMBINED``."""
     rows = _metric_rows(visits, key_lines)
     totals = (

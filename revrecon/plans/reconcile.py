@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from revrecon.operators import actions, combined, commercial, identity, ledger, matching
 from revrecon.session import scratch_dir
@@ -61,13 +62,18 @@ def ledger_reconciliation(
     patients: DataFrame,
     deposits: DataFrame,
     pl: DataFrame,
+    facility_map: Mapping[str, str],
+    office_facility: Callable[[str], Column],
 ) -> dict[str, DataFrame]:
-    """Month-level tables against deposits and against the P&L."""
+    """Month-level tables against deposits and against the P&L.
+
+    ``facility_map`` shortens facility names, ``office_facility`` gives the facility of an office column.
+    """
     known = prepare_claims(claims, patients)
-    merged = settle(spark, combined.combined_dedup(visits, known), "combined")
+    merged = settle(spark, combined.combined_dedup(visits, known, office_facility), "combined")
     kept = ledger.patient_deposits(ledger.deposits_dedup(deposits))
-    by_deposit = ledger.recon_deposits_monthly(visits, kept)
-    by_pl = ledger.recon_pl_monthly(merged, pl)
+    by_deposit = ledger.recon_deposits_monthly(visits, kept, facility_map)
+    by_pl = ledger.recon_pl_monthly(merged, pl, facility_map)
     return {
         "combined": merged,
         "deposits": kept,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revrecon.operators import metrics as m
+from revrecon.plans.reconcile import settle
 
 
 @dataclass(frozen=True)
@@ -18,19 +19,16 @@ class RevenueMetrics:
     tables: dict[str, DataFrame]
     cube: DataFrame
 
-    def release(self) -> None:
-        self.cube.unpersist()
-
 
 def all_metrics(visits: DataFrame, n_providers: int | None = None) -> RevenueMetrics:
     """Every metric of the report.
 
-    The visits are read once into a cube of group rows (provider x payer type x facility x stage),
-    which is kept because seven tables read it; a lost executor recomputes its part from lineage.
+    The visits are read once into a cube of group rows (provider x payer type x facility x stage).
+    Seven tables read it, so it is written to the shared folder; nothing stays in the cache.
     Distinct patients are not additive and are counted by a pass over that one column.
     """
     m.require_metric_columns(visits)
-    cube = m.metric_cube(visits).persist()
+    cube = settle(visits.sparkSession, m.metric_cube(visits), "metric_cube")
     patients = m.unique_patients(visits).scalar()
     totals = cube.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_rows", "billed", "collected", "written_off")])
     providers = m.provider_performance_of(cube).orderBy(F.desc("collected"), "provider")

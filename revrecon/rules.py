@@ -41,53 +41,18 @@ AGE_BUCKETS = (
 )
 
 # --- Fixed values: facility names -----------------------------------------------------------
-FACILITY_MAP = {
-    "ART Denver": "Denver",
-    "ART Greeley": "Greeley",
-    "Denver": "Denver",
-    "Greeley": "Greeley",
-}
 UNKNOWN_FACILITY = "Unknown"
-# First rule whose words occur in the upper-cased office text wins.
-OFFICE_RULES = (
-    (("CAMPUS", "GREELEY"), "ART Greeley"),
-    (("ACCELERATED", "DENVER"), "ART Denver"),
-)
-# Offices whose claims belong to the clinics; every other office is a third party.
-INCLUDED_OFFICES = (
-    "147076 - ACCELERATED REHAB THERAPY OF NORTHERN CO",
-    "161515 - ART GREELEY",
-    "127384 - ACCELERATED REHAB THERAPY",
-    "161514 - ART DENVER",
-)
 
 # --- Fixed values: ledger -------------------------------------------------------------------
 NON_PATIENT_KEYWORDS = (
     "capital call",
     "transfer",
-    "ginn",
-    "berb",
     "deficit deposit",
     "sublease",
     "loan",
     "owner",
     "contribution",
 )
-PATIENT_REVENUE_CATEGORIES = (
-    "Services",
-    "Cardigan Health",
-    "Commercial Insurance Payments",
-    "Direct Lien",
-    "HSS",
-    "Marrick Medical",
-    "MEDPAY",
-    "Medport",
-    "Patient Payment",
-    "PROVE",
-    "TRIO",
-    "Work Comp Payments",
-    "Zobell Law",
-)
 PL_SECTIONS = {"Income": "Income", "Expenses": "Expense"}
 PL_CLOSING_LABELS = (
     "Cost of Goods Sold",

@@ -11,7 +11,7 @@ from revrecon import schemas
 from revrecon.functions.dates import parse_us_date
 from revrecon.functions.money import parse_money
 from revrecon.operators.lookups import lookup
-from revrecon.sources.files import facility_of_path, line_ordinal, read_delimited, typed
+from revrecon.sources.files import facility_of_path, file_of_row, numbered, read_delimited, typed
 
 
 def read_visits(
@@ -22,10 +22,8 @@ def read_visits(
     allow_empty: bool = False,
     quoted_newlines: bool = False,
 ) -> DataFrame:
-    """Visit export (CSV with header) -> typed visits. A file without a data row is rejected."""
-    raw = read_delimited(spark, path, quoted_newlines=quoted_newlines)
-    if not allow_empty and raw.isEmpty():
-        raise ValueError(f"no data rows in {path}")
+    """Visit exports (CSV with header) -> typed visits. A listed export without a data row is rejected."""
+    raw = read_delimited(spark, path, quoted_newlines=quoted_newlines, allow_empty=allow_empty)
     return typed(raw, schemas.VISIT_FIELDS, missing_money_is_zero, any_date_layout)
 
 
@@ -42,26 +40,28 @@ def read_claims(
 
 
 def read_deposits(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Deposit details, one headerless file per facility -> typed transactions, in one scan.
+    """Deposit details, one or more files per facility -> typed transactions, in one scan.
 
-    Rows count only after the line that names the columns, only with a date-shaped second cell and
-    only with a readable amount. The header positions are one row per facility.
+    Rows count only after the line of their own file that names the columns, only with a date-shaped
+    second cell and only with a readable amount. A file with dated rows and no such line is an error.
+    The header positions are one row per file.
     """
     ddl = ", ".join(f"{name} string" for name in schemas.DEPOSIT_FIELDS)
-    lines = spark.read.schema(ddl).options(header=False, escape='"').csv(list(paths.values())).select(
-        *schemas.DEPOSIT_FIELDS, line_ordinal().alias("row_no"), facility_of_path(paths).alias("facility")
-    )
+    raw = spark.read.schema(ddl).options(header=False, escape='"').csv(list(paths.values()))
+    fields = [F.col(c) for c in schemas.DEPOSIT_FIELDS]
+    lines = numbered(raw, *fields, facility_of_path(paths).alias("facility")).withColumn("file_no", file_of_row())
     cells = F.array(*[F.trim(F.coalesce(F.col(c), F.lit(""))) for c in schemas.DEPOSIT_FIELDS])
     headers = (
         lines.filter(F.array_contains(cells, "Transaction date"))
-        .groupBy("facility")
+        .groupBy("file_no")
         .agg(F.min("row_no").alias("header_row"))
     )
     dated = lines.filter(F.col("txn_date").rlike(r"\d{2}/\d{2}/\d{4}"))
+    missing = F.raise_error(F.concat(F.lit("no header line in a deposit file of "), F.col("facility"))).cast("long")
     return (
-        lookup(dated, headers, ["facility"], "inner")
-        .filter(F.col("row_no") > F.col("header_row"))
-        .drop("header_row")
+        lookup(dated, headers, ["file_no"])
+        .filter(F.col("row_no") > F.coalesce("header_row", missing))
+        .select(*schemas.DEPOSIT_FIELDS, "row_no", "facility")
         .withColumns({"txn_date": parse_us_date("txn_date"), "amount": parse_money("amount")})
         .filter(F.col("amount").isNotNull())
     )
@@ -96,4 +96,4 @@ def read_patient_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The patient master as JSON lines, one patient each: the splittable form for a large master."""
     ddl = "master_id string, patient_name string, date_of_birth string"
     rows = spark.read.schema(ddl).json(path)
-    return rows.select("master_id", "patient_name", "date_of_birth", line_ordinal().alias("row_no"))
+    return numbered(rows, *[F.col(c) for c in ("master_id", "patient_name", "date_of_birth")])

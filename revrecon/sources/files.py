@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,25 +13,49 @@ from revrecon import schemas
 from revrecon.functions.dates import parse_any_date, parse_us_date
 from revrecon.functions.money import parse_money, parse_money_or_zero
 
-_PART_BITS = 42
+_FILE_BITS = 42
+#: Local paths come as file:/x in one place and as file:///x in another.
+_LOCAL = "^file:/+"
+#: File lists up to this length (some 25 MB of paths) are sent to every task, longer ones are joined by shuffle.
+BROADCAST_FILES = 100_000
 
 
-def line_ordinal() -> Column:
-    """File-order row number that needs no shuffle and no single-task numbering.
+def _by_name(path: str) -> str:
+    """Sort key of a path in which numbers count by value: month 2 stands before month 10."""
+    return re.sub(r"\d+", lambda digits: digits[0].zfill(20), path)
 
-    A line takes at least one byte, so within one file ``block start + index inside the task``
-    grows with the line's position and never repeats, however the file is split: full blocks have
-    a task of their own, and files packed into one task stay within one block in total. Part files
-    of one table are ordered by the number in their name (``part-00012``); files without one get a
-    number from their name, which keeps rows of different files apart.
+
+def numbered(lines: DataFrame, *columns: Column, first_file: int = 0) -> DataFrame:
+    """``columns`` of freshly read files and ``row_no``, the place of each row in the order of files and lines.
+
+    Files are ranked by path, numbers by value, which does not depend on when a file was copied or
+    which task wrote it first. A line takes at least one byte, so within one file ``block start +
+    index inside the task`` grows with the line's position and never repeats, however the file is
+    split: full blocks have a task of their own, and files packed into one task stay within one block
+    in total. The number needs no shuffle of the rows.
     """
     index_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    name = F.col("_metadata.file_name")
-    part = F.coalesce(
-        F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"),
-        F.crc32(name.cast("binary")).bitwiseAND(F.lit((1 << 20) - 1)),
+    rows = lines.select(
+        *columns,
+        F.regexp_replace("_metadata.file_path", _LOCAL, "/").alias("_file"),
+        (F.col("_metadata.file_block_start") + index_in_task).alias("_at"),
+    )
+    paths = sorted(lines.inputFiles(), key=_by_name)
+    if len(paths) <= 1:
+        return rows.withColumn("row_no", F.lit(first_file << _FILE_BITS) + F.col("_at")).drop("_file", "_at")
+    ranks = lines.sparkSession.createDataFrame(
+        [(re.sub(_LOCAL, "/", path), rank) for rank, path in enumerate(paths, first_file)], "_file string, _rank long"
     )
-    return F.shiftleft(part, _PART_BITS) + F.col("_metadata.file_block_start") + index_in_task
+    if len(paths) <= BROADCAST_FILES:
+        ranks = F.broadcast(ranks)
+    rank = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file not listed: "), F.col("_file"))).cast("long"))
+    number = F.shiftleft(rank, _FILE_BITS) + F.col("_at")
+    return rows.join(ranks, "_file", "left").withColumn("row_no", number).drop("_file", "_at", "_rank")
+
+
+def file_of_row() -> Column:
+    """The file's rank, from a row number that :func:`numbered` gave."""
+    return F.shiftright("row_no", _FILE_BITS)
 
 
 def facility_of_path(paths: Mapping[str, str]) -> Column:
@@ -53,31 +78,41 @@ def read_delimited(
     sep: str = ",",
     encoding: str = "UTF-8",
     quoted_newlines: bool = False,
+    allow_empty: bool = True,
 ) -> DataFrame:
     """Header file -> one string column per header cell, plus ``row_no``.
 
-    Only the header line is read ahead. ``UTF-16`` exports are read as little-endian with an
-    explicit line separator, which keeps a large file splittable; the byte-order mark and carriage
-    returns are taken off. ``quoted_newlines`` gives up splitting for files whose cells hold line
-    breaks.
+    Each listed path is an export with a header of its own: columns are put together by name, and
+    what an export lacks is null. Its files must agree; one with other columns or another order is
+    an error of the read. Only header lines are read ahead. ``UTF-16`` exports are read as
+    little-endian with an explicit line separator, which keeps a large file splittable; the
+    byte-order mark and carriage returns are taken off. ``quoted_newlines`` gives up splitting for
+    files whose cells hold line breaks. Without ``allow_empty`` every listed export needs a data row.
+    Rows are numbered in the order of the list.
     """
-    reader = spark.read.options(header=True, sep=sep, escape='"')
     wide = encoding.upper() == "UTF-16"
+    options = {"header": True, "sep": sep, "escape": '"', "encoding": encoding}
     if quoted_newlines:
-        reader = reader.option("encoding", encoding).option("multiLine", True)
+        options["multiLine"] = True
     elif wide:
-        reader = reader.option("encoding", "UTF-16LE").option("lineSep", "\n")
-    else:
-        reader = reader.option("encoding", encoding)
-    raw = reader.csv(path)
-    last = raw.columns[-1]
-    columns = []
-    for name in raw.columns:
-        value = F.col(f"`{name}`")
-        if wide and name == last:
-            value = F.regexp_replace(value, r"\r$", "")
-        columns.append(value.alias(name.strip("﻿\r\n ")))
-    return raw.select(*columns, line_ordinal().alias("row_no"))
+        options |= {"encoding": "UTF-16LE", "lineSep": "\n"}
+    exports, n_files = [], 0
+    for one in [path] if isinstance(path, str) else path:
+        raw = spark.read.options(**options).csv(one)
+        files = len(raw.inputFiles())
+        if files > 1:
+            raw = spark.read.options(**options, enforceSchema=False).schema(raw.schema).csv(one)
+        if not allow_empty and raw.isEmpty():
+            raise ValueError(f"no data rows in {one}")
+        columns = []
+        for name in raw.columns:
+            value = F.col(f"`{name}`")
+            if wide and name == raw.columns[-1]:
+                value = F.regexp_replace(value, r"\r$", "")
+            columns.append(value.alias(name.strip("\ufeff\r\n ")))
+        exports.append(numbered(raw, *columns, first_file=n_files))
+        n_files += files
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), exports)
 
 
 def typed(

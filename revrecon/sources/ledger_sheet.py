@@ -1,7 +1,8 @@
 """Profit-and-loss sheets: wide text with section labels -> long rows.
 
-A sheet becomes cells (facility, row_no, label, month, text) without any step on the driver: every
-file brings its own header line and its own months, and all files are read in one scan.
+A sheet becomes cells (facility, sheet, row_no, label, month, text) without any step on the driver:
+every file brings its own header line and its own months, and all files are read in one scan. A
+facility may have many sheets, one per year for instance.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from revrecon import rules
 from revrecon.functions.money import ledger_amount, parse_money
 from revrecon.operators.lookups import lookup
-from revrecon.sources.files import facility_of_path, line_ordinal
+from revrecon.sources.files import facility_of_path, file_of_row, numbered
 
 MONTH_CELL = (
     r"^(January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{4}$"
@@ -31,10 +32,12 @@ def _cells(line: str) -> Column:
 def read_pl_cells(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """P&L files by facility -> cells below the header line, one per row and month column.
 
-    The header line of a file is its first line with three or more ``Month YYYY`` cells.
+    The header line of a file is its first line with three or more ``Month YYYY`` cells; a file
+    without one is an error. ``sheet`` is the file's number.
     """
-    lines = spark.read.text(list(paths.values())).select(
-        _cells("value").alias("cells"), line_ordinal().alias("row_no"), facility_of_path(paths).alias("facility")
+    raw = spark.read.text(list(paths.values()))
+    lines = numbered(raw, _cells("value").alias("cells"), facility_of_path(paths).alias("facility")).withColumn(
+        "sheet", file_of_row()
     )
     months = F.filter(
         F.transform(
@@ -49,37 +52,48 @@ def read_pl_cells(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     headers = (
         lines.withColumn("months", months)
         .filter(F.size("months") >= 3)
-        .groupBy("facility")
+        .groupBy("sheet")
         .agg(F.min("row_no").alias("header_row"), F.min_by("months", "row_no").alias("months"))
     )
+    missing = F.raise_error(F.concat(F.lit("no line of months in a sheet of "), F.col("facility"))).cast("long")
+    keys = ["facility", "sheet", "row_no"]
     return (
-        lookup(lines, headers, ["facility"], "inner")
-        .filter(F.col("row_no") > F.col("header_row"))
-        .select("facility", "row_no", F.get("cells", F.lit(0)).alias("label"), "cells", F.explode("months").alias("m"))
-        .select("facility", "row_no", "label", "m.month", F.get("cells", F.col("m.at")).alias("text"))
+        lookup(lines, headers, ["sheet"])
+        .filter(F.col("row_no") > F.coalesce("header_row", missing))
+        .select(*keys, F.get("cells", F.lit(0)).alias("label"), "cells", F.explode_outer("months").alias("m"))
+        .select(*keys, "label", "m.month", F.get("cells", F.col("m.at")).alias("text"))
     )
 
 
-def pl_cells(sheet: DataFrame, months: Mapping[str, str]) -> DataFrame:
-    """A wide table (facility, row_no, label, one text column per key of ``months``) as cells."""
+def pl_cells(sheets: DataFrame, months: Mapping[str, str], year: str | None = None) -> DataFrame:
+    """A wide table (facility, row_no, label, one text column per key of ``months``) as cells.
+
+    With ``year``, a column of that name tells the sheets of a facility apart, and ``months`` gives the
+    month within it (``01`` to ``12``).
+    """
     keys = F.create_map(*[F.lit(x) for pair in months.items() for x in pair])
-    return sheet.unpivot(["facility", "row_no", "label"], list(months), "cell", "text").select(
-        "facility", "row_no", "label", F.try_element_at(keys, F.col("cell")).alias("month"), "text"
+    month = F.try_element_at(keys, F.col("cell"))
+    if year:
+        month = F.concat(F.col(year).cast("string"), F.lit("-"), month)
+    numbered_sheets = sheets.withColumn("sheet", (F.col(year) if year else F.lit(0)).cast("long"))
+    ids = list(dict.fromkeys(["facility", "sheet", "row_no", "label", *([year] if year else [])]))
+    return numbered_sheets.unpivot(ids, list(months), "cell", "text").select(
+        "facility", "sheet", "row_no", "label", month.alias("month"), "text"
     )
 
 
-def pl_long(cells: DataFrame, patient_categories: Sequence[str] = rules.PATIENT_REVENUE_CATEGORIES) -> DataFrame:
+def pl_long(cells: DataFrame, patient_categories: Sequence[str]) -> DataFrame:
     """Cells -> one row per category and month with an amount other than 0.
 
-    The open section is carried down the sheet by a window. Its partition is one facility's sheet,
+    The open section is carried down the sheet by a window. Its partition is one sheet of one facility,
     that is the length of a chart of accounts, and does not grow with the number of transactions.
     """
     label = F.trim(F.coalesce("label", F.lit("")))
     marker = F.when(label.isin(*rules.PL_CLOSING_LABELS), F.lit("")).when(label.isin(*rules.PL_SECTIONS), label)
-    down = Window.partitionBy("facility").orderBy("row_no")
+    down = Window.partitionBy("facility", "sheet").orderBy("row_no")
     kinds = F.create_map(*[F.lit(x) for pair in rules.PL_SECTIONS.items() for x in pair])
     rows = (
-        cells.select("facility", "row_no", label.alias("category"), marker.alias("marker"), "month", "text")
+        cells.select("facility", "sheet", "row_no", label.alias("category"), marker.alias("marker"), "month", "text")
         .withColumn("type", F.try_element_at(kinds, F.last("marker", ignorenulls=True).over(down)))
         .filter(
             F.col("marker").isNull()
@@ -97,7 +111,7 @@ def pl_long(cells: DataFrame, patient_categories: Sequence[str] = rules.PATIENT_
 def read_pl_long(
     spark: SparkSession,
     paths: Mapping[str, str],
-    patient_categories: Sequence[str] = rules.PATIENT_REVENUE_CATEGORIES,
+    patient_categories: Sequence[str],
 ) -> DataFrame:
     """P&L files by facility -> the long ledger table."""
     return pl_long(read_pl_cells(spark, paths), patient_categories)

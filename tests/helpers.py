@@ -38,7 +38,7 @@ def _table(spark, schema, defaults, rows):
 def visits(spark, *rows):
     defaults = {
         "patient_id": "p1", "patient_name": "Doe, Jane", "dos": "2025-09-01", "visit_stage": "Closed", "provider": "A",
-        "facility": "ART Denver", "payer_type": "Auto", "payer": "X", "referral_source": "R", "visit_type": "COM PT",
+        "facility": "North Clinic", "payer_type": "Auto", "payer": "X", "referral_source": "R", "visit_type": "COM PT",
         "last_billed": 100, "primary_allowed": 40, "primary_not_allowed": 60, "primary_paid": 0, "secondary_paid": 0,
         "patient_paid": 0, "total_paid": 0, "written_off": 0, "current_balance": 0,
     }
@@ -48,7 +48,7 @@ def visits(spark, *rows):
 def claims(spark, *rows):
     defaults = {
         "patient_id": "p1", "patient_name": "JANE DOE", "dob": "1980-01-01", "service_date": "2025-09-01",
-        "office": "161514 - ART DENVER", "charges": 100, "adjustments": 0, "patient_payments": 0,
+        "office": "34 - MAIN OFFICE", "charges": 100, "adjustments": 0, "patient_payments": 0,
         "insurance_payments": 0, "current_balance": 0,
     }
     return _table(spark, CLAIM, defaults, rows)

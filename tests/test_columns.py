@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from revrecon.functions import dates, labels, money, names
 
+OFFICES = ((("CAMPUS", "SOUTH"), "South"), (("MAIN",), "North"))
+
 
 def one(spark, text, column):
     return spark.createDataFrame([(text,)], "t string").select(column.alias("x")).first()["x"]
@@ -78,12 +80,12 @@ def test_dob_text(spark, text, want):
 
 
 def test_facilities_and_stages(spark):
-    assert one(spark, " ART Denver ", labels.facility_normalized("t")) == "Denver"
-    assert one(spark, "Elsewhere", labels.facility_normalized("t")) == "Unknown"
-    assert one(spark, None, labels.facility_normalized("t")) == "Unknown"
-    assert one(spark, "139591 - Campus Clinics", labels.facility_from_office("t")) == "ART Greeley"
-    assert one(spark, "127384 - ACCELERATED REHAB THERAPY", labels.facility_from_office("t")) == "ART Denver"
-    assert one(spark, None, labels.facility_from_office("t")) == "Unknown"
+    assert one(spark, " North Clinic ", labels.facility_normalized("t", {"North Clinic": "North"})) == "North"
+    assert one(spark, "Elsewhere", labels.facility_normalized("t", {"North Clinic": "North"})) == "Unknown"
+    assert one(spark, None, labels.facility_normalized("t", {"North Clinic": "North"})) == "Unknown"
+    assert one(spark, "12 - Campus Clinics", labels.facility_from_office("t", OFFICES)) == "South"
+    assert one(spark, "34 - MAIN OFFICE", labels.facility_from_office("t", OFFICES)) == "North"
+    assert one(spark, None, labels.facility_from_office("t", OFFICES)) == "Unknown"
     assert one(spark, "In Progress", labels.stage_class("t")) == "other"
 
 

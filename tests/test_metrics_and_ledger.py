@@ -6,6 +6,8 @@ from helpers import as_dicts, visits
 from revrecon.operators import filters, ledger, metrics, monthly, quality
 from revrecon.plans import report
 
+FACILITIES = {"North Clinic": "North"}
+
 
 def test_group_metrics_drop_null_keys_but_keep_them_in_totals(spark):
     v = visits(spark, {"total_paid": 30}, {"total_paid": 10, "provider": "B", "primary_allowed": 0}, {"total_paid": 60, "provider": None},
@@ -44,7 +46,7 @@ def test_all_metrics_from_one_cube(spark):
     assert as_dicts(bundle.tables["executive_summary"]) == as_dicts(metrics.executive_summary(v))
     assert [r["provider"] for r in as_dicts(bundle.tables["provider_performance"])] == ["A"]
     table = as_dicts(report.report_table(bundle, date_range="all of it"))
-    bundle.release()
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
     assert {r["section"] for r in table} >= {"executive_summary", "red_flags", "facility_comparison"}
     assert {r["date_range"] for r in table} == {"all of it"}
     with pytest.raises(ValueError, match="total_paid"):
@@ -72,12 +74,12 @@ def test_month_views(spark):
 
 def test_month_pivot_fills_missing_sides(spark):
     v = visits(spark, {"total_paid": 4}, {"facility": "Other", "total_paid": 6})
-    lines = spark.createDataFrame([("ART Denver", "Total for Income", "2025-10", Decimal(7))],
+    lines = spark.createDataFrame([("North Clinic", "Total for Income", "2025-10", Decimal(7))],
                                   "facility string, line_item string, month string, amount decimal(18,2)")
     rows = {(r["facility"], r["metric"]): r for r in as_dicts(monthly.combined_month_pivot(v, lines, ["2025-09", "2025-10"]))}
     assert rows["COMBINED", "collected"]["2025-09"] == 10
-    assert rows["ART Denver", "pl_revenue"]["2025-10"] == 7
-    assert rows["ART Denver", "collected"]["2025-10"] == 0
+    assert rows["North Clinic", "pl_revenue"]["2025-10"] == 7
+    assert rows["North Clinic", "collected"]["2025-10"] == 0
 
 
 def test_filters(spark):
@@ -117,17 +119,17 @@ def deposits(spark, *rows):
 
 
 def test_deposits(spark):
-    d = deposits(spark, ("2025-09-01", 5, "card", "Cleared", "Denver"), ("2025-09-01", 5, "card", "Reconciled", "Denver"),
-                 ("2025-09-01", 5, None, "Cleared", "Denver"), ("2025-09-01", 5, None, "Late", "Denver"),
-                 ("2025-10-02", 9, "Owner LOAN", "Cleared", "Greeley"))
+    d = deposits(spark, ("2025-09-01", 5, "card", "Cleared", "North"), ("2025-09-01", 5, "card", "Reconciled", "North"),
+                 ("2025-09-01", 5, None, "Cleared", "North"), ("2025-09-01", 5, None, "Late", "North"),
+                 ("2025-10-02", 9, "Owner LOAN", "Cleared", "South"))
     clean = ledger.deposits_dedup(d)
     assert sorted(r["cleared"] for r in as_dicts(clean)) == ["Cleared"] * 3
     assert ledger.patient_deposits(clean).count() == 2
     assert as_dicts(ledger.excluded_deposit_stats(clean))[0]["excluded_amount"] == 9
-    months = as_dicts(ledger.deposits_monthly(clean, ["Denver", "Greeley"]))
-    assert [(r["month"], r["Denver"], r["Greeley"], r["total"]) for r in months] == [("2025-09", 10, 0, 10), ("2025-10", 0, 9, 9)]
-    assert {r["facility"]: r["n"] for r in as_dicts(ledger.deposit_stats(clean))} == {"ALL": 3, "Denver": 2, "Greeley": 1}
-    assert ledger.deposits_by_facility(clean, "denver").count() == 2
+    months = as_dicts(ledger.deposits_monthly(clean, ["North", "South"]))
+    assert [(r["month"], r["North"], r["South"], r["total"]) for r in months] == [("2025-09", 10, 0, 10), ("2025-10", 0, 9, 9)]
+    assert {r["facility"]: r["n"] for r in as_dicts(ledger.deposit_stats(clean))} == {"ALL": 3, "North": 2, "South": 1}
+    assert ledger.deposits_by_facility(clean, "north").count() == 2
 
 
 @pytest.mark.parametrize(
@@ -136,20 +138,20 @@ def test_deposits(spark):
 )
 def test_deposit_flags_at_the_edge(spark, paid, banked, flag):
     v = visits(spark, {"total_paid": paid})
-    d = deposits(spark, ("2025-09-05", str(banked), "card", "Cleared", "Denver"))
-    row = as_dicts(ledger.recon_deposits_monthly(v, d))[0]
-    assert (row["flag"], row["facility"]) == (flag, "Denver")
+    d = deposits(spark, ("2025-09-05", str(banked), "card", "Cleared", "North"))
+    row = as_dicts(ledger.recon_deposits_monthly(v, d, FACILITIES))[0]
+    assert (row["flag"], row["facility"]) == (flag, "North")
 
 
 def test_ledger_without_visits_is_flagged(spark):
     ddl = "month string, category string, amount decimal(18,2), facility string, is_patient_revenue boolean, type string"
-    pl = spark.createDataFrame([("2025-09", "Services", Decimal(10), "Denver", True, "Income"),
-                                ("2025-09", "Other", Decimal(99), "Denver", False, "Income")], ddl)
+    pl = spark.createDataFrame([("2025-09", "Services", Decimal(10), "North", True, "Income"),
+                                ("2025-09", "Other", Decimal(99), "North", False, "Income")], ddl)
     merged = visits(spark, {"dos": "2025-08-01", "total_paid": 10}).selectExpr(
         "patient_id", "dos as service_date", "patient_paid as patient_payments", "primary_paid as insurance_payments", "total_paid", "facility")
-    rows = {r["month"]: r for r in as_dicts(ledger.recon_pl_monthly(merged, pl))}
+    rows = {r["month"]: r for r in as_dicts(ledger.recon_pl_monthly(merged, pl, FACILITIES))}
     assert (rows["2025-09"]["discrepancy_pct"], rows["2025-09"]["flag"]) == (100.0, "REVIEW")
-    flags = {r["month"]: r for r in as_dicts(ledger.recon_pl_flags(merged, pl))}
+    flags = {r["month"]: r for r in as_dicts(ledger.recon_pl_flags(merged, pl, FACILITIES))}
     assert (flags["2025-08"]["direction"], flags["2025-08"]["severity"]) == ("visits > ledger", "MEDIUM")
     assert len(flags["2025-09"]["possible_causes"]) == 3
     stats = {r["facility"]: r for r in as_dicts(ledger.pl_stats(pl))}

@@ -4,9 +4,14 @@ from decimal import Decimal
 
 from helpers import as_dicts, claims, visits
 from pyspark.sql import functions as F
+from revrecon.functions.labels import facility_from_office
 from revrecon.operators import combined, identity, ledger, matching, quality
 
 
+def office(column):
+    return facility_from_office(column, ((("MAIN",), "North Clinic"),))
+
+
 def _some(spark):
     v = visits(
         spark, {}, {"total_paid": 9}, {"patient_id": "p2"}, {"patient_id": None, "total_paid": 5},
@@ -33,10 +38,10 @@ def test_every_visit_is_matched_unmatched_or_a_duplicate(spark):
 
 def test_visits_without_an_id_are_not_merged(spark):
     v, c = _some(spark)
-    rows = as_dicts(combined.combined_dedup(v, c))
+    rows = as_dicts(combined.combined_dedup(v, c, office))
     assert sorted(r["total_paid"] for r in rows if r["patient_id"] is None) == [5, 7]
     assert sum(r["total_paid"] for r in rows) == 21
-    stats = as_dicts(combined.combined_stats(v, c))[0]
+    stats = as_dicts(combined.combined_stats(v, c, office))[0]
     assert (stats["final_records"], stats["final_from_visits"]) == (len(rows), sum(r["source"] == "Visits" for r in rows))
     assert stats["combined_records"] - stats["duplicates_removed"] == stats["final_records"]
 

@@ -8,6 +8,10 @@ from revrecon.functions.labels import facility_from_office
 AS_OF = "2025-10-01"
 
 
+def office(column):
+    return facility_from_office(column, ((("MAIN",), "North Clinic"),))
+
+
 def last(spark, *rows):
     return actions.claims_last_by_key(claims(spark, *rows))
 
@@ -108,10 +112,10 @@ def test_combined_prefers_higher_payment_then_visits_then_order(spark):
     c = claims(
         spark, {"patient_payments": 5, "charges": 3}, {"patient_id": "p2", "insurance_payments": 1, "charges": 4}, {"patient_id": None}
     )
-    rows = {r["patient_id"]: r for r in as_dicts(combined.combined_dedup(v, c))}
+    rows = {r["patient_id"]: r for r in as_dicts(combined.combined_dedup(v, c, office))}
     assert (rows["p1"]["charges"], rows["p1"]["source"]) == (1, "Visits")
-    assert (rows["p2"]["charges"], rows["p2"]["source"], rows["p2"]["facility"]) == (4, "Claims", "ART Denver")
-    stats = as_dicts(combined.combined_stats(v, c, facility_from_office))[0]
+    assert (rows["p2"]["charges"], rows["p2"]["source"], rows["p2"]["facility"]) == (4, "Claims", "North Clinic")
+    stats = as_dicts(combined.combined_stats(v, c, office))[0]
     assert (stats["combined_records"], stats["duplicates_removed"], stats["final_records"], stats["claims_unmatched"]) == (5, 3, 2, 1)
 
 

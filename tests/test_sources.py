@@ -42,11 +42,11 @@ def test_quotes_and_line_breaks_in_cells(spark, tmp_path):
 
 def test_deposits_by_path_pattern(spark, tmp_path):
     line = ",Transaction date,Transaction type,Num,Customer,Vendor,Memo,Cleared,Amount\nX,09/01/2025,Deposit,,,,m,C,{}\n"
-    for name in ("denver", "greeley"):
+    for name in ("north", "southern"):
         (tmp_path / name).mkdir()
         (tmp_path / name / "a.csv").write_text(line.format(len(name)))
-    got = exports.read_deposits(spark, {"Denver": f"{tmp_path}/denver/*.csv", "Greeley": f"{tmp_path}/greeley/*.csv"}).collect()
-    assert {(r.facility, int(r.amount)) for r in got} == {("Denver", 6), ("Greeley", 7)}
+    got = exports.read_deposits(spark, {"North": f"{tmp_path}/north/*.csv", "South": f"{tmp_path}/southern/*.csv"}).collect()
+    assert {(r.facility, int(r.amount)) for r in got} == {("North", 5), ("South", 8)}
 
 
 def test_empty_visits_are_rejected(spark, tmp_path):
@@ -99,11 +99,11 @@ def test_deposit_file(spark, tmp_path):
         ",as of 09/03/2025,Deposit,,,,late,Cleared,5\n"
         'Total for Checking,,,,,,,,"2,000.00"\n'
     )
-    rows = exports.read_deposits(spark, {"Denver": str(f)}).orderBy("row_no").collect()
+    rows = exports.read_deposits(spark, {"North": str(f)}).orderBy("row_no").collect()
     assert [(str(r.txn_date), r.amount, r.cleared, r.facility) for r in rows] == [
-        ("2025-09-01", Decimal("1000.00"), "Cleared", "Denver"),
-        ("2025-09-01", Decimal("1000.00"), "Reconciled", "Denver"),
-        ("None", Decimal("5.00"), "Cleared", "Denver"),
+        ("2025-09-01", Decimal("1000.00"), "Cleared", "North"),
+        ("2025-09-01", Decimal("1000.00"), "Reconciled", "North"),
+        ("None", Decimal("5.00"), "Cleared", "North"),
     ]
 
 
@@ -129,7 +129,7 @@ Services,7,7,7,
 def test_pl_sheet(spark, tmp_path):
     f = tmp_path / "pl.csv"
     f.write_text(SHEET)
-    rows = ledger_sheet.read_pl_long(spark, {"Denver": str(f)}).collect()
+    rows = ledger_sheet.read_pl_long(spark, {"North": str(f)}, ["Services"]).collect()
     got = {(r.type, r.category, r.month): (r.amount, r.is_patient_revenue) for r in rows}
     assert got == {
         ("Income", "Services", "2025-09"): (Decimal("1000.00"), True),
@@ -139,7 +139,7 @@ def test_pl_sheet(spark, tmp_path):
         ("Expense", "Contract labor", "2025-10"): (Decimal("30.00"), False),
         ("Expense", "Rent", "2025-09"): (Decimal("5.00"), False),
     }
-    cells = ledger_sheet.read_pl_cells(spark, {"Denver": str(f)})
+    cells = ledger_sheet.read_pl_cells(spark, {"North": str(f)})
     assert {r.month for r in cells.collect()} == {"2025-09", "2025-10", "2025-11"}
     lines = {(r.line_item, r.month): r.amount for r in ledger_sheet.pl_key_lines(cells).collect()}
     assert lines["Net Income", "2025-10"] == Decimal("-30.00")
@@ -220,3 +220,50 @@ def test_exports_read_back(spark, tmp_path):
     assert list(written) == ["full"]
     with pytest.raises(Exception, match="already exists"):
         save_result_sets({"full": df}, str(tmp_path / "run"), "20250901_000000")
+
+
+def test_row_numbers_follow_file_names_and_never_repeat(spark, tmp_path):
+    names = [f"claims_2025_{m}.csv" for m in range(1, 13)] + ["x/part-00000-u-c000.csv", "x/part-00000-u-c001.csv", "y/part-00000-u-c000.csv"]
+    for i, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(f"Key\n{i}a\n{i}b\n")
+    rows = files.read_delimited(spark, [f"{tmp_path}/*.csv", f"{tmp_path}/[xy]/*.csv"]).orderBy("row_no").collect()
+    assert [r.Key for r in rows] == [f"{i}{c}" for i in range(len(names)) for c in "ab"]
+    assert len({r.row_no for r in rows}) == len(rows)
+
+
+def test_exports_with_other_columns(spark, tmp_path):
+    a, b = tmp_path / "a.csv", tmp_path / "b.csv"
+    a.write_text("Patient,Total Paid\nJane,1\n")
+    b.write_text("Total Paid,Provider,Patient\n2,A,Rob\n")
+    rows = exports.read_visits(spark, [str(a), str(b)]).orderBy("row_no").collect()
+    assert [(r.patient_name, r.provider, r.total_paid) for r in rows] == [("Jane", None, 1), ("Rob", "A", 2)]
+    b.write_text("Total Paid,Patient\n2,Rob\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        exports.read_visits(spark, f"{tmp_path}/*.csv").collect()
+    b.write_text("Patient,Total Paid\n")
+    with pytest.raises(ValueError, match="no data rows in .*b.csv"):
+        exports.read_visits(spark, [str(a), str(b)])
+
+
+def test_deposit_header_per_file(spark, tmp_path):
+    (tmp_path / "2024.csv").write_text("Transaction date\nX,09/01/2024,Deposit,,,,m,C,1\n")
+    (tmp_path / "2025.csv").write_text("X,09/01/2025,Deposit,,,,m,C,2\n,Transaction date\nX,09/02/2025,Deposit,,,,m,C,3\n")
+    rows = exports.read_deposits(spark, {"North": f"{tmp_path}/*.csv"}).collect()
+    assert sorted((str(r.txn_date), r.amount) for r in rows) == [("2024-09-01", 1), ("2025-09-02", 3)]
+    (tmp_path / "2026.csv").write_text("X,09/01/2026,Deposit,,,,m,C,4\n")
+    with pytest.raises(Exception, match="no header line"):
+        exports.read_deposits(spark, {"North": f"{tmp_path}/*.csv"}).collect()
+
+
+def test_two_years_of_one_facility(spark, tmp_path):
+    (tmp_path / "2024.csv").write_text("x,January 2024,February 2024,March 2024\nIncome,,,\nServices,1,2,3\n")
+    (tmp_path / "2025.csv").write_text("x,March 2025,February 2025,January 2025\nServices,7,7,7\nExpenses,,,\nRent,4,5,6\n")
+    rows = ledger_sheet.read_pl_long(spark, {"North": f"{tmp_path}/*.csv"}, ["Services"]).collect()
+    assert {(r.type, r.category, r.month): int(r.amount) for r in rows} == {
+        ("Income", "Services", "2024-01"): 1, ("Income", "Services", "2024-02"): 2, ("Income", "Services", "2024-03"): 3,
+        ("Expense", "Rent", "2025-03"): 4, ("Expense", "Rent", "2025-02"): 5, ("Expense", "Rent", "2025-01"): 6,
+    }
+    (tmp_path / "2026.csv").write_text("x,January 2026\nIncome,\n")
+    with pytest.raises(Exception, match="no line of months"):
+        ledger_sheet.read_pl_long(spark, {"North": f"{tmp_path}/*.csv"}, []).collect()
