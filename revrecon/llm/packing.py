@@ -15,7 +15,7 @@ from revrecon.llm.tokens import reader, vocabulary_path
 
 WINDOW = 4096
 #: Ids that a task holds before it packs them: memory stays the same whatever the input.
-HELD = 1 << 22
+HELD = 1 << 20
 
 
 class OpenWindows:
