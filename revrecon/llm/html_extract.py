@@ -24,9 +24,16 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
     "h6 header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
-SILENT = frozenset("head script style noscript template textarea iframe object svg math canvas audio video select button".split())
-RAW = frozenset("script style textarea title noscript iframe".split())
+SILENT = frozenset("head script style template iframe".split())
+RAW = frozenset("script style textarea title iframe".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Inline elements that stand apart from the text around them, elements that part words; elements that a browser
+#: never shows inside the named one (tooltips and descriptions of drawings, sources of formulas).
+APART = frozenset("noscript textarea object canvas audio video select button".split())
+SPACED = frozenset("br text mtd".split())
+UNSEEN = {"title": "svg", "desc": "svg", "metadata": "svg", "annotation": "math", "annotation-xml": "math"}
+#: Elements that may stand in a head; any other one, or text, ends a head that is open.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 #: An open element that the next one ends by itself.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: Words of tags and attributes by which the teacher tells what is not main text.
@@ -59,11 +66,12 @@ class Block:
 def blocks_of(page: str) -> list[Block]:
     """The page's leaf blocks in order: the tags and attribute words above each, its text, its characters in links.
 
-    Comments, markup and the content of scripts, styles, heads and controls are no text. Open elements that a page never
-    closes end with the element around them. A broken tag at the end is text.
+    Comments, markup and what a browser never shows (scripts, styles, heads, templates, frames, ``UNSEEN``) are no text.
+    Open elements that a page never closes end with the element around them; a head ends where text or an element begins
+    that cannot stand in it. A broken tag at the end is text.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...], bool]] = []
     parts: list[str] = []
     linked = silent = links = at = 0
 
@@ -72,12 +80,14 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append(Block(tuple(w for _, words in stack for w in words), text, min(linked, len(text))))
+                out.append(Block(tuple(w for _, words, _ in stack for w in words), text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
     def add(text: str) -> None:
         nonlocal linked
+        if silent and stack[-1][0] == "head" and "<" not in text and text.strip():
+            pop()
         if text and not silent:
             parts.append(text)
             if links:
@@ -85,8 +95,8 @@ def blocks_of(page: str) -> list[Block]:
 
     def pop() -> None:
         nonlocal silent, links
-        tag, _ = stack.pop()
-        silent -= tag in SILENT
+        tag, _, hidden = stack.pop()
+        silent -= hidden
         links -= tag == "a"
 
     position = 0
@@ -96,29 +106,37 @@ def blocks_of(page: str) -> list[Block]:
         if not m[2]:
             continue
         tag = m[2].lower()
-        if tag in BLOCKS or tag in SILENT:
+        if tag in BLOCKS or tag in SILENT or tag in APART:
             flush()
-        elif tag == "br":
+        elif tag in SPACED:
             add(" ")
         if m[1]:
-            if any(t == tag for t, _ in stack):
+            if any(t == tag for t, *_ in stack):
                 while stack[-1][0] != tag:
                     pop()
                 pop()
             continue
+        if silent and stack[-1][0] == "head":
+            if tag not in IN_HEAD:
+                pop()
+            elif tag == "noscript":
+                close = re.compile(r"</noscript\s*>", re.I).search(page, at)
+                at = position = close.end() if close else at
+                continue
         ends = CLOSES.get(tag, ("p",) if tag in BLOCKS else ())
-        while stack and (stack[-1][0] in ends or stack[-1][0] in ("b", "i", "em", "strong", "span", "a", "u", "font") and tag in BLOCKS and any(t in ends for t, _ in stack[-4:])):
+        while stack and (stack[-1][0] in ends or stack[-1][0] in ("b", "i", "em", "strong", "span", "a", "u", "font") and tag in BLOCKS and any(t in ends for t, *_ in stack[-4:])):
             pop()
         if tag in EMPTY or m[3].endswith("/"):
             continue
         words = tuple(f".{w.lower()}" for a in ATTRIBUTE.finditer(m[3]) for w in WORD.findall(a[1] or a[2] or a[3] or ""))
-        stack.append((tag, (tag, *words)))
-        silent += tag in SILENT
+        hidden = tag in SILENT or tag in UNSEEN and any(t == UNSEEN[tag] for t, *_ in stack)
+        stack.append((tag, (tag, *words), hidden))
+        silent += hidden
         links += tag == "a"
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             end = close.start() if close else len(page)
-            if tag == "title":
+            if tag in ("title", "textarea"):
                 add(page[at:end])
             at = position = end
     add(page[at:])

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from revrecon.llm.html_extract import WIDTH, Block, Labeller, blocks_of, describe, main_text, padded
 from revrecon.llm.queries import REGISTRY
 
@@ -26,6 +27,28 @@ def test_blocks():
     assert blocks_of("<li><a>1234</a>")[0].linked == 4
 
 
+def test_head_ends_without_its_end_tag():
+    rest = "<article><p>one</p><p>two</p></article>"
+    for head in ("<title>no</title>", '<meta name=x><script>1</script><title>no</title>', "<noscript><img><p>no</p></noscript><title>no</title>", "<noscript>", "<template><p>no</p></template>"):
+        assert texts(f"<html><head>{head}<body>{rest}") == texts(f"<html><head>{head}{rest}") == ["one", "two"]
+        assert texts(f"<html><head>{head}</head><body>{rest}</body></html>") == ["one", "two"]
+        assert blocks_of(f"<html><head>{head}<body>{rest}")[0].path == ("html", "body", "article", "p")
+    assert texts("<head><title>no</title>one <b>two</b><p>three") == ["one two", "three"]
+    assert texts("<head><title>no</title><a href=/>one</a>") == ["one"]
+    assert texts("<head><meta content='x'><script>1</script>\n<!-- no --></head>\n") == []
+
+
+def test_readable_elements_reach_the_labeller():
+    assert texts("<p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["where x=2 holds"]
+    assert texts("<p>a<math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math>b") == ["axb"]
+    assert texts("<p>a <svg><title>no</title><desc>no</desc><text>b</text><text>c</text><path d=M0 /></svg> d</p>") == ["a b c d"]
+    for tag in ("noscript", "object", "canvas", "video", "button", "textarea"):
+        assert texts(f"<article><p>a <{tag}>b &amp; c</{tag}> d</p></article>") == ["a", "b & c", "d"]
+        assert blocks_of(f"<p>a <{tag}>b</{tag}> d</p>")[1].path == ("p", tag)
+    assert texts("<noscript><p>a</p><p>b</p></noscript>") == ["a", "b"]
+    assert texts("<p>a<template>no</template><iframe>no</iframe><style>no</style></p>") == ["a"]
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     model = Labeller(hidden=3)
@@ -90,6 +113,20 @@ def test_other_layouts_and_odd_pages(spark):
     assert main_text(pages, steps=2).count() == 6
 
 
+def test_pages_without_the_end_of_the_head(spark):
+    """The same pages without </head>, and with a formula in a paragraph, give their whole article."""
+    from revrecon.llm.html_extract import learn
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    model = learn(pages)
+    formula = "<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> for the whole of the year, as was seen before.</p></article>"
+    short = pages.withColumn("html", F.replace(F.replace("html", F.lit("</head>")), F.lit("</article>"), F.lit(formula)))
+    want = {r["page_id"]: article(r["html"].replace("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x=2")) for r in short.collect()}
+    rows = main_text(short, model=model).collect()
+    assert len(rows) == len(want) == pages.count()
+    assert sum(r["text"] == want[r["page_id"]] for r in rows) >= 0.99 * len(rows)
+
+
 def test_description_of_blocks():
     assert describe([]).shape == (0, WIDTH)
     assert np.isfinite(describe([Block((), "x", 0), Block(("p",), "y " * 50_000, 0)])).all()
