@@ -2,11 +2,13 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+from revrecon.llm import quality
 from revrecon.llm.personal_data import KINDS, boost, find_personal_data, threshold
-from revrecon.llm.quality import fit_ranker, quantile_cut, score_quality
+from revrecon.llm.quality import drawn, fit_ranker, quantile_cut, score_quality
 from revrecon.llm.queries import REGISTRY
 
 SF, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
@@ -44,6 +46,21 @@ def test_ranker_orders_pairs():
     assert ((raw > cut) == good).mean() > 0.98
 
 
+def test_fit_uses_every_document_in_little_memory():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(2000, quality.WIDTH))
+    good = x @ rng.normal(size=quality.WIDTH) > 0
+    tracemalloc.start()
+    ranker = fit_ranker(x, good)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    assert (((x - ranker.mean) / ranker.spread @ ranker.weights > 0) == good).mean() > 0.9
+    for size in (3, 10_000, 70_000):
+        times = np.bincount(drawn(np.arange(size), max(size, quality.PAIRS), rng), minlength=size)
+        assert 1 <= times.min() and times.max() <= times.min() + 1
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
