@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 from revrecon.llm import quality
 from revrecon.llm.personal_data import KINDS, boost, find_personal_data, threshold
-from revrecon.llm.quality import drawn, fit_ranker, quantile_cut, score_quality
+from revrecon.llm.quality import drawn, fit_ranker, learn, quantile_cut, score_quality
 from revrecon.llm.queries import REGISTRY
 
 SF, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
@@ -61,6 +61,16 @@ def test_fit_uses_every_document_in_little_memory():
         assert 1 <= times.min() and times.max() <= times.min() + 1
 
 
+def test_repeated_rows_weigh_once_in_the_fit(spark, make_docs):
+    rows = [(k, f"{'Good, plain words' if k % 2 else 'bad bad %% ##'} {k} " * (1 + k % 7)) for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    want = learn(make_docs(rows), labels)
+    got = learn(make_docs(rows + [r for r in rows if r[0] in (3, 4)] * 100), labels)
+    assert np.allclose(got.mean, want.mean) and np.allclose(got.weights, want.weights) and np.isclose(got.shift, want.shift)
+    several = learn(make_docs(rows + [(3, f"other {k}") for k in range(100)]), labels)
+    assert np.isfinite(several.weights).all()
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
