@@ -19,7 +19,7 @@ WORDS, SIMILARITY = 5, 0.8
 RUNS, LEVELS = 16, 4
 #: A bucket up to this size is compared at once; larger ones are split by the next token of their path.
 SMALL = 64
-#: Buckets that are larger after the last level are compared in lots of this size; each run deals them anew.
+#: Buckets that are larger after the last level are dealt into lots of half this size, and each two lots are compared.
 LOT = 8192
 #: Sets in one tile of the exact check, and columns of a matrix in it.
 TILE, COLUMNS = 1024, 4096
@@ -98,7 +98,8 @@ def leaf_buckets(sets: DataFrame) -> DataFrame:
     """bucket, set_id: the leaves of all runs' paths that hold two sets or more.
 
     A run follows one path per set: at each level the set's least token under the level's hash. Sets that took the same
-    tokens so far share a bucket; buckets of over ``SMALL`` sets go to the next level.
+    tokens so far share a bucket; buckets of over ``SMALL`` sets go to the next level. After the last level a bucket of
+    over ``LOT`` sets is given out as a bucket for each two of its lots, so all its pairs still meet.
     """
     runs = F.explode(F.sequence(F.lit(0), F.lit(RUNS - 1)))
     active = sets.select("set_id", "signature", runs.alias("run"))
@@ -109,9 +110,13 @@ def leaf_buckets(sets: DataFrame) -> DataFrame:
         sized = active.groupBy("run", at.alias("at")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
         joined = settle(active.withColumn("at", at).join(sized, ["run", "at"]), "paths")
         done = joined if level == LEVELS else joined.where(F.col("n") <= SMALL)
-        lot = F.pmod(F.xxhash64("set_id", "run"), F.ceil(F.col("n") / LOT))
-        leaves.append(done.select(F.xxhash64(F.lit(level), "run", "at", lot).alias("bucket"), "set_id"))
+        fits = done if level < LEVELS else done.where(F.col("n") <= LOT)
+        leaves.append(fits.select(F.xxhash64(F.lit(level), "run", "at").alias("bucket"), "set_id"))
         active = joined.where(F.col("n") > SMALL).select("set_id", "run", "path")
+    lots = F.ceil(F.col("n") / max(1, LOT // 2)).cast("int")
+    large = joined.where(F.col("n") > LOT).withColumn("lots", lots).withColumn("own", F.pmod(F.xxhash64("set_id", "run"), "lots").cast("int"))
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).where("own <> other")
+    leaves.append(large.select(F.xxhash64(F.lit(LEVELS), "run", "at", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"), "set_id"))
     out = leaves[0]
     for more in leaves[1:]:
         out = out.union(more)

@@ -1,9 +1,11 @@
 """Near copies against all pairs in plain Python."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
+from revrecon.llm import jaccard_join
 from revrecon.llm.components import components, local_roots
 from revrecon.llm.jaccard_join import bucket_links, near_copies, without_near_copies
 from revrecon.llm.queries import REGISTRY
@@ -90,6 +92,24 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_all_pairs_of_an_oversized_bucket_meet_in_every_run(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL", 4)
+    monkeypatch.setattr(jaccard_join, "LOT", 10)
+    rows = [(str(k).encode(), b"same path" * 40) for k in range(37)]
+    sets = spark.createDataFrame([(k, s[: 4 * jaccard_join.FUNCTIONS]) for k, s in rows], "set_id binary, signature binary")
+    buckets = defaultdict(set)
+    for r in jaccard_join.leaf_buckets(sets).collect():
+        assert bytes(r["set_id"]) not in buckets[r["bucket"]]
+        buckets[r["bucket"]].add(bytes(r["set_id"]))
+    assert max(map(len, buckets.values())) < 37
+    met = Counter(p for b in buckets.values() for p in combinations(sorted(b), 2))
+    assert len(met) == 37 * 36 // 2 and min(met.values()) >= jaccard_join.RUNS
+    # documents that share a long passage, in pairs of near copies
+    passage = " ".join(f"w{k}" for k in range(60))
+    docs = [(k, f"{passage} " + " ".join(f"d{k // 2}x{j}" for j in range(45)) + f" e{k}") for k in range(60)]
+    assert found(near_copies(make_docs(docs))) == brute(docs)
+
+
 def test_large_buckets_connect_the_same_sets():
     rng = np.random.default_rng(3)
     centres = rng.integers(0, 256, (5, 64))
