@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: The white space that separates words, in a character class.
 BLANK = "\\x20\\x09-\\x0D"
+#: The folder of a local session that names none.
+_own: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,8 +31,9 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="corpus-"))
+        root = _own[0]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -15,6 +15,7 @@ from revrecon.llm.mixing import OP1_SQL, op1_mixing
 from revrecon.llm.packing import op2_packing
 from revrecon.llm.personal_data import op8_personal_data
 from revrecon.llm.quality import op3_quality
+from revrecon.llm.quality_rules import OP13_SQL, op13_quality_rules
 from revrecon.llm.topk_search import OP5_SQL, op5_topk_search
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,10 +29,12 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_token_output": op9_token_output,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op5_topk_search": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op13_quality_rules": OP13_SQL,
 }
