@@ -221,14 +221,14 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP13_SQL = r"""
 with docs as (select row_number() over () as n, doc_id, coalesce(text, '') as text from documents),
 words as (
-  select n, unnest(w) as word, generate_subscripts(w, 1) as at
+  select n, unnest(w) as word, generate_subscripts(w, 1) as pos
   from (select n, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w from docs)
 ),
-ids as (select n, at, word, lead(word) over o as two, lead(word, 2) over o as three from words window o as (partition by n order by at)),
+ids as (select n, pos, word, lead(word) over o as two, lead(word, 2) over o as three from words window o as (partition by n order by pos)),
 kinds as (
-  select n, at, count(*) over (partition by n, word, two, three) as times from ids where three is not null
+  select n, pos, count(*) over (partition by n, word, two, three) as times from ids where three is not null
 ),
-covered as (select n, count(distinct at + k) as n_repeat_words from kinds, unnest([0, 1, 2]) as s(k) where times > 1 group by n),
+covered as (select n, count(distinct pos + k) as n_repeat_words from kinds, unnest([0, 1, 2]) as s(k) where times > 1 group by n),
 pairs as (select n, max(c) as top from (select n, word, two, count(*) as c from ids where two is not null group by all) group by n),
 counted as (
   select n, count(*) as n_words, sum(length(word)) as word_chars,
