@@ -17,6 +17,7 @@ from revrecon.llm.personal_data import op8_personal_data
 from revrecon.llm.quality import op3_quality
 from revrecon.llm.quality_rules import OP13_SQL, op13_quality_rules
 from revrecon.llm.topk_search import OP5_SQL, op5_topk_search
+from revrecon.llm.whitening import op12_whitening
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
@@ -29,6 +30,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_token_output": op9_token_output,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_whitening": op12_whitening,
     "op13_quality_rules": op13_quality_rules,
 }
 
