@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from revrecon.llm.binary_output import op9_token_output
+from revrecon.llm.conversation_repair import OP11_SQL, op11_conversation_repair
 from revrecon.llm.embedding_dedup import op6_embedding_dedup
 from revrecon.llm.html_extract import op4_html_extract
 from revrecon.llm.jaccard_join import op10_jaccard_join
@@ -30,6 +31,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_token_output": op9_token_output,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_whitening": op12_whitening,
     "op13_quality_rules": op13_quality_rules,
 }
@@ -38,5 +40,6 @@ ORACLES: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op5_topk_search": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op11_conversation_repair": OP11_SQL,
     "op13_quality_rules": OP13_SQL,
 }
