@@ -263,8 +263,13 @@ def put(name: str, reads: str, select: str) -> None:
 V = "fx_visits"
 
 # --- sources ---
+def with_breaks(column: str, when: str = "true") -> str:
+    """The column with line breaks in the rows that the registered query writes so."""
+    return f"case when row_no % 7 = 0 and {when} then 'first, \"line\"' || chr(10) || chr(9) || 'and' || chr(10) || {column} else {column} end as {column}"
+
+
 put("read_visits", V, f"""select patient_id_text as patient_id, patient_name, {text_date('dos')} as dos, visit_stage, provider, visit_type, facility,
-  payer_type, payer, referral_source, {', '.join(f'{dbl(c)} as {c}' for c in ('last_billed', 'primary_allowed', 'primary_not_allowed',
+  payer_type, payer, {with_breaks('referral_source', 'year(dos) >= 1998')}, {', '.join(f'{dbl(c)} as {c}' for c in ('last_billed', 'primary_allowed', 'primary_not_allowed',
   'primary_paid', 'secondary_paid', 'patient_paid', 'total_paid', 'written_off', 'current_balance'))}
   from (select *, cast(patient_id as varchar) as patient_id_text from fx_visits) v""")
 _NUM = "try_cast(trim(replace(replace(money_text, '$', ''), ',', '')) as decimal(18,2))"
@@ -275,10 +280,10 @@ _NUM0 = "coalesce(try_cast(trim(replace(replace(replace(replace(money_text, '$',
 put("typed_currency_zero", "fx_text",
     f"select row_no, {dbl(_NUM0)} as amount, {dbl(f'case when money_text like {chr(39)}(%){chr(39)} then -{_NUM0} else {_NUM0} end')} as signed from fx_text")
 put("read_claims", "fx_claims", f"""select patient_name, {text_date('dob')} as dob, {text_date('service_date')} as service_date,
-  {text_date('first_bill_date')} as first_bill_date, office, {', '.join(f'coalesce({dbl(c)}, 0) as {c}' for c in ('charges', 'adjustments',
+  {text_date('first_bill_date')} as first_bill_date, {with_breaks('office')}, {', '.join(f'coalesce({dbl(c)}, 0) as {c}' for c in ('charges', 'adjustments',
   'patient_payments', 'insurance_payments', 'current_balance'))} from fx_claims""")
 put("read_deposits", "fx_deposits",
-    f"select row_no, {text_date('txn_date')} as txn_date, {dbl('amount')} as amount, memo, cleared, account, facility from fx_deposits")
+    f"select row_no, {text_date('txn_date')} as txn_date, {dbl('amount')} as amount, {with_breaks('memo', 'year(txn_date) % 2 = 0')}, cleared, account, facility from fx_deposits")
 put("read_pl_long", "pl", f"select month, category, {dbl('amount')} as amount, facility, is_patient_revenue, type from pl")
 put("pl_key_lines", "keylines", f"select facility, line_item, month, {dbl('amount')} as amount from keylines")
 put("pl_cell_lookup", "plcells", f"""select facility, cast(replace(cell, '$', '') as double) as amount from plcells

@@ -129,6 +129,11 @@ def key_lines(spark: SparkSession, sf: str) -> DataFrame:
     return ledger_sheet.pl_key_lines(pl_cells(spark, sf))
 
 
+def _broken(col: str) -> Column:
+    """The text of some rows as a cell with line breaks, quotes and the separators."""
+    return F.when(F.col("row_no") % 7 == 0, F.concat(F.lit('first, "line"\n\tand\n'), F.col(col))).otherwise(F.col(col))
+
+
 def _dollars(col: str) -> Column:
     return F.concat(F.lit("$"), F.format_number(col, 2))
 
@@ -141,8 +146,8 @@ def _us_date(col: str) -> Column:
 
 @query
 def read_visits(spark, sf):
-    """Visits written as two exports with currency text and another order of columns, read back."""
-    v = fx.visits(spark, sf)
+    """Visits written as two exports with currency text, another order of columns and cells with line breaks, read back."""
+    v = fx.visits(spark, sf).withColumn("referral_source", _broken("referral_source"))
     headers = {name: header for header, name, _ in files.schemas.VISIT_FIELDS}
     cells = []
     for f in v.schema.fields:
@@ -151,8 +156,10 @@ def read_visits(spark, sf):
             cell = _dollars(f.name) if kind == "decimal" else _us_date(f.name) if kind == "date" else F.col(f.name)
             cells.append(cell.cast("string").alias(headers[f.name]))
     old, new = scratch_dir(spark, "visits_csv"), scratch_dir(spark, "visits_csv")
-    v.filter("year(dos) < 1998").select(*cells).write.option("header", True).csv(old)
-    v.filter("year(dos) >= 1998").select(*reversed(cells)).write.option("header", True).csv(new)
+    # the older export keeps to one line per record
+    plain = v.withColumn("referral_source", F.regexp_replace("referral_source", r"(?s)^.*\n", ""))
+    plain.filter("year(dos) < 1998").select(*cells).write.options(header=True, escape='"').csv(old)
+    v.filter("year(dos) >= 1998").select(*reversed(cells)).write.options(header=True, escape='"').csv(new)
     return exports.read_visits(spark, [old, new]).drop("row_no")
 
 
@@ -177,13 +184,13 @@ def typed_currency_zero(spark, sf):
 
 @query
 def read_claims(spark, sf):
-    """Claims written as UTF-16 tab-separated text, in two exports with another order of columns, read back."""
-    c = fx.claims(spark, sf)
+    """Claims written as UTF-16 tab-separated text with line breaks in cells, in two exports with another order of columns, read back."""
+    c = fx.claims(spark, sf).withColumn("office", _broken("office"))
     cells = []
     for header, name, kind in files.schemas.CLAIM_FIELDS:
         cell = _dollars(name) if kind == "money" else _us_date(name) if kind == "date" else F.col(name)
         cells.append(cell.cast("string").alias(header))
-    options = {"header": True, "sep": "\t", "encoding": "UTF-16LE", "lineSep": "\n"}
+    options = {"header": True, "sep": "\t", "encoding": "UTF-16LE", "lineSep": "\n", "escape": '"'}
     old, new = scratch_dir(spark, "claims_tsv"), scratch_dir(spark, "claims_tsv")
     c.filter("year(service_date) < 1998").select(*cells).write.options(**options).csv(old)
     c.filter("year(service_date) >= 1998").select(*reversed(cells)).write.options(**options).csv(new)
@@ -192,10 +199,10 @@ def read_claims(spark, sf):
 
 @query
 def read_deposits(spark, sf):
-    """One deposit file per facility and year, each with preamble, header and subtotal lines, read back."""
+    """One deposit file per facility and year, each with preamble, header and subtotal lines, some memos over several lines, read back."""
     root = scratch_dir(spark, "deposits_csv")
     cols = files.schemas.DEPOSIT_FIELDS
-    d = fx.deposits(spark, sf).withColumn("yr", F.year("txn_date"))
+    d = fx.deposits(spark, sf).withColumn("yr", F.year("txn_date")).withColumn("memo", F.when(F.col("yr") % 2 == 0, _broken("memo")).otherwise(F.col("memo")))
     keys = [F.col("facility").alias("file"), F.col("yr")]
     none = F.lit(None).cast("string")
     header = ("Transaction date", "Transaction type", "Num", "Customer", "Vendor", "Memo", "Cleared", "Amount")
@@ -216,7 +223,7 @@ def read_deposits(spark, sf):
     )
     # a deposit export is one file by nature: the transactions of one facility in one year
     rows = top.unionByName(lines).unionByName(subtotals).repartition("file", "yr")
-    rows.sortWithinPartitions("file", "yr", "at").drop("at").write.partitionBy("file", "yr").csv(root)
+    rows.sortWithinPartitions("file", "yr", "at").drop("at").write.option("escape", '"').partitionBy("file", "yr").csv(root)
     paths = {region: f"{root}/file={region}/*" for region in fx.REGIONS}
     return exports.read_deposits(spark, paths).select(
         F.col("num").cast("long").alias("row_no"), "txn_date", "amount", "memo", "cleared", "account", "facility"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from revrecon import schemas
 from revrecon.functions.dates import parse_us_date
 from revrecon.functions.money import parse_money
 from revrecon.operators.lookups import lookup
-from revrecon.sources.files import facility_of_path, file_of_row, numbered, read_delimited, typed
+from revrecon.sources.files import facility_of_path, file_of_row, files_with_open_cells, numbered, read_delimited, typed, whole_and_split
 
 
 def read_visits(
@@ -20,7 +21,7 @@ def read_visits(
     missing_money_is_zero: bool = False,
     any_date_layout: bool = False,
     allow_empty: bool = False,
-    quoted_newlines: bool = False,
+    quoted_newlines: bool | None = None,
 ) -> DataFrame:
     """Visit exports (CSV with header) -> typed visits. A listed export without a data row is rejected."""
     raw = read_delimited(spark, path, quoted_newlines=quoted_newlines, allow_empty=allow_empty)
@@ -32,24 +33,30 @@ def read_claims(
     path: str | list[str],
     encoding: str = "UTF-16",
     any_date_layout: bool = True,
-    quoted_newlines: bool = False,
+    quoted_newlines: bool | None = None,
 ) -> DataFrame:
     """Claim export (tab-separated, UTF-16, header) -> typed claims; missing amounts are 0."""
     raw = read_delimited(spark, path, sep="\t", encoding=encoding, quoted_newlines=quoted_newlines)
     return typed(raw, schemas.CLAIM_FIELDS, True, any_date_layout)
 
 
-def read_deposits(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Deposit details, one or more files per facility -> typed transactions, in one scan.
+def read_deposits(spark: SparkSession, paths: Mapping[str, str], quoted_newlines: bool | None = None) -> DataFrame:
+    """Deposit details, one or more files per facility -> typed transactions.
 
-    Rows count only after the line of their own file that names the columns, only with a date-shaped
+    Files with line breaks in quoted cells are found and read whole, as :func:`read_delimited` does. Rows count only after the line of their own file that names the columns, only with a date-shaped
     second cell and only with a readable amount. A file with dated rows and no such line is an error.
     The header positions are one row per file.
     """
     ddl = ", ".join(f"{name} string" for name in schemas.DEPOSIT_FIELDS)
-    raw = spark.read.schema(ddl).options(header=False, escape='"').csv(list(paths.values()))
+    files = list(paths.values())
+    open_files = files_with_open_cells(spark, files) if quoted_newlines is None else None if quoted_newlines else []
+
+    def read(whole: bool) -> DataFrame:
+        return spark.read.schema(ddl).options(header=False, escape='"', multiLine=whole).csv(files)
+
     fields = [F.col(c) for c in schemas.DEPOSIT_FIELDS]
-    lines = numbered(raw, *fields, facility_of_path(paths).alias("facility")).withColumn("file_no", file_of_row())
+    scans = [numbered(raw, *fields, facility_of_path(paths).alias("facility")) for raw in whole_and_split(read, open_files)]
+    lines = reduce(DataFrame.unionByName, scans).withColumn("file_no", file_of_row())
     cells = F.array(*[F.trim(F.coalesce(F.col(c), F.lit(""))) for c in schemas.DEPOSIT_FIELDS])
     headers = (
         lines.filter(F.array_contains(cells, "Transaction date"))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revrecon import schemas
 from revrecon.functions.dates import parse_any_date, parse_us_date
@@ -72,12 +73,51 @@ def facility_of_path(paths: Mapping[str, str]) -> Column:
     return result.otherwise(F.raise_error(F.concat(F.lit("no facility for "), file_path)).cast("string"))
 
 
+def _open_cell(sep: str) -> str:
+    """Pattern of a line that ends inside a quoted cell, if it began outside one.
+
+    The first line of a record that goes on does begin outside, so a file holds such a record exactly if one of its
+    lines matches. Quotes inside a plain cell (5" pipe) open nothing.
+    """
+    other, rest = f"[^{re.escape(sep)}]*+", r'[^"]*+(?:""[^"]*+)*+'
+    cell = f'"{rest}"{other}|[^"{re.escape(sep)}]{other}|'
+    return rf'\A(?:(?:{cell}){re.escape(sep)})*+"{rest}\z'
+
+
+def files_with_open_cells(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8") -> list[str]:
+    """The files (as ``_metadata.file_path`` names them) in which a quoted cell holds a line break.
+
+    One pass over the lines, in splits of any size. What comes back is a list of files, never of lines.
+    """
+    if encoding.upper() == "UTF-16":
+        # one column per line: no text holds the non-character that is set as separator
+        options = {"encoding": "UTF-16LE", "lineSep": "\n", "sep": "\uffff", "quote": "", "header": False}
+        lines = spark.read.options(**options).schema("value string").csv(path)
+    else:
+        lines = spark.read.text(path)
+    found = lines.filter(F.col("value").contains('"') & F.col("value").rlike(_open_cell(sep)))
+    return [r[0] for r in found.select("_metadata.file_path").distinct().collect()]
+
+
+def whole_and_split(read: Callable[[bool], DataFrame], open_files: Sequence[str] | None) -> list[DataFrame]:
+    """The files of ``read(whole)`` in two scans: those of the list one by one as wholes, the others in splits.
+
+    Files are chosen by their path before they are opened, so each is read once. ``None`` reads all as wholes.
+    """
+    if open_files is None:
+        return [read(True)]
+    if not open_files:
+        return [read(False)]
+    path = F.col("_metadata.file_path")
+    return [read(False).filter(~path.isin(*open_files)), read(True).filter(path.isin(*open_files))]
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
     sep: str = ",",
     encoding: str = "UTF-8",
-    quoted_newlines: bool = False,
+    quoted_newlines: bool | None = None,
     allow_empty: bool = True,
 ) -> DataFrame:
     """Header file -> one string column per header cell, plus ``row_no``.
@@ -86,32 +126,41 @@ def read_delimited(
     what an export lacks is null. Its files must agree; one with other columns or another order is
     an error of the read. Only header lines are read ahead. ``UTF-16`` exports are read as
     little-endian with an explicit line separator, which keeps a large file splittable; the
-    byte-order mark and carriage returns are taken off. ``quoted_newlines`` gives up splitting for
-    files whose cells hold line breaks. Without ``allow_empty`` every listed export needs a data row.
+    byte-order mark and carriage returns are taken off. Cells may hold line breaks: a pass over the
+    lines finds the files with such cells, which are then read whole, each by one task, while all
+    others stay splittable. ``quoted_newlines`` saves that pass: True reads all files whole, False
+    promises that there are none. Without ``allow_empty`` every listed export needs a data row.
     Rows are numbered in the order of the list.
     """
     wide = encoding.upper() == "UTF-16"
-    options = {"header": True, "sep": sep, "escape": '"', "encoding": encoding}
-    if quoted_newlines:
-        options["multiLine"] = True
-    elif wide:
-        options |= {"encoding": "UTF-16LE", "lineSep": "\n"}
+    options = {"header": True, "sep": sep, "escape": '"', "encoding": "UTF-16LE" if wide else encoding}
+    split, whole = options | ({"lineSep": "\n"} if wide else {}), options | {"multiLine": True}
+    paths = [path] if isinstance(path, str) else path
+    open_files = files_with_open_cells(spark, paths, sep, encoding) if quoted_newlines is None else None if quoted_newlines else []
     exports, n_files = [], 0
-    for one in [path] if isinstance(path, str) else path:
-        raw = spark.read.options(**options).csv(one)
-        files = len(raw.inputFiles())
-        if files > 1:
-            raw = spark.read.options(**options, enforceSchema=False).schema(raw.schema).csv(one)
-        if not allow_empty and raw.isEmpty():
+    for one in paths:
+        first = spark.read.options(**(whole if open_files is None else split)).csv(one)
+        here = {re.sub(_LOCAL, "/", name) for name in first.inputFiles()}
+        if not allow_empty and first.isEmpty():
             raise ValueError(f"no data rows in {one}")
-        columns = []
-        for name in raw.columns:
-            value = F.col(f"`{name}`")
-            if wide and name == raw.columns[-1]:
-                value = F.regexp_replace(value, r"\r$", "")
-            columns.append(value.alias(name.strip("\ufeff\r\n ")))
-        exports.append(numbered(raw, *columns, first_file=n_files))
-        n_files += files
+
+        names = first.columns
+
+        def read(as_whole: bool) -> DataFrame:
+            # line by line, the carriage return of a wide file is part of its last header cell
+            header = [*names[:-1], names[-1].rstrip("\r")] if as_whole else names  # noqa: B023 - called in this turn only
+            reader = spark.read.options(**(whole if as_whole else split)).options(enforceSchema=len(here) < 2)  # noqa: B023
+            return reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(one)  # noqa: B023
+
+        def cells(raw: DataFrame) -> list[Column]:
+            ends = [F.col(f"`{c}`") for c in raw.columns]
+            if wide:
+                ends[-1] = F.regexp_replace(ends[-1], r"\r$", "")
+            return [value.alias(name.strip("\ufeff\r\n ")) for value, name in zip(ends, raw.columns)]
+
+        own = None if open_files is None else [name for name in open_files if re.sub(_LOCAL, "/", name) in here]
+        exports += [numbered(raw, *cells(raw), first_file=n_files) for raw in whole_and_split(read, own)]
+        n_files += len(here)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), exports)
 
 

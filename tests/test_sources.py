@@ -267,3 +267,84 @@ def test_two_years_of_one_facility(spark, tmp_path):
     (tmp_path / "2026.csv").write_text("x,January 2026\nIncome,\n")
     with pytest.raises(Exception, match="no line of months"):
         ledger_sheet.read_pl_long(spark, {"North": f"{tmp_path}/*.csv"}, []).collect()
+
+
+@pytest.mark.parametrize(
+    "line, is_open",
+    [
+        ('a,b,c', False), ('"a",b', False), ('"a', True), ('a,"b', True), ('a,"b ""c', True), ('a,"b ""c"', False), ('a,"b""', True),
+        ('5" pipe,b', False), ('5" pipe,"note', True), ('"a","b","c d', True), ('"a"x,"b', True), ('"a"x,b"', False), ('', False), ('"', True),
+        ('""', False), ('"""', True), (',,"', True), ('a, "b', False), ('"a,b', True), ('"a,b",c', False), ('"' + 'x' * 200_000, True),
+        ('a,' * 3000 + '"b', True),
+    ],
+)
+def test_lines_that_end_inside_a_cell(spark, line, is_open):
+    pattern = files._open_cell(",")
+    assert spark.createDataFrame([(line,)], "value string").select(F.col("value").rlike(pattern)).first()[0] is is_open
+
+
+def test_line_breaks_in_cells_are_found(spark, tmp_path):
+    folder = tmp_path / "visits export [1]"
+    folder.mkdir()
+    head = "Patient,Provider,Total Paid\n"
+    (folder / "v1.csv").write_text(head + '"Roe,\nRob ""X""\n\nend",A,1\nplain,5" b,2\n')
+    (folder / "v2.csv").write_text(head + "".join(f'P{i},"B, ""{i}""",3\n' for i in range(3000)))
+    (folder / "v10.csv").write_text(head + 'x,"first\nsecond",4\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        path = str(folder).replace("[", "\\[").replace("]", "\\]")
+        visits = exports.read_visits(spark, path)
+        rows = visits.orderBy("row_no").collect()
+        n_tasks = visits.rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert n_tasks > 5  # the long file without such cells is still split
+    assert [r.patient_name for r in rows[:2]] == ['Roe,\nRob "X"\n\nend', "plain"] and rows[1].provider == '5" b'
+    assert [r.patient_name for r in rows[2:-1]] == [f"P{i}" for i in range(3000)]
+    assert (rows[-1].patient_name, rows[-1].provider, rows[-1].total_paid) == ("x", "first\nsecond", Decimal("4.00"))
+    assert len({r.row_no for r in rows}) == len(rows) == 3003
+
+
+def test_only_files_with_open_cells_are_read_whole(spark, tmp_path):
+    for name, cell in (("a", '"one\ntwo"'), ("b", "one")):
+        (tmp_path / f"{name}.csv").write_text(f"Patient,Provider\n{cell},{name}\n")
+    found = files.files_with_open_cells(spark, str(tmp_path))
+    assert [f.rsplit("/", 1)[1] for f in found] == ["a.csv"]
+    reads = []
+
+    def read(whole):
+        reads.append(whole)
+        return spark.read.options(header=True, multiLine=whole).csv(str(tmp_path))
+
+    split, whole = files.whole_and_split(read, found)
+    assert reads == [False, True]
+    assert [r.Provider for r in split.collect()] == ["b"] and [r.Patient for r in whole.collect()] == ["one\ntwo"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")  # a task per file
+    try:
+        counts = [df.rdd.getNumPartitions() for df in (read(False), split, whole)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert counts == [2, 1, 1]  # the other file is not opened
+
+
+def test_line_breaks_in_claims_and_deposits(spark, tmp_path):
+    folder = tmp_path / "claims"
+    folder.mkdir()
+    head, last = "Patient Name (First Last)\tService Date\tOffice Key\tCharges\r\n", 'Rob Roe\t9/2/2025\t5" y\t2\r\n'
+    (folder / "a.tsv").write_bytes((head + '"Jané\r\nDoe"\t9/1/2025\tx\t$1.00\r\n' + last).encode("utf-16"))
+    (folder / "b.tsv").write_bytes((head + last).encode("utf-16"))
+    for path, n in ((folder / "a.tsv", 2), (folder, 3)):
+        rows = exports.read_claims(spark, str(path)).orderBy("row_no").collect()
+        got = [(r.patient_name.replace("\r", ""), r.charges) for r in rows]
+        assert got == [("Jané\nDoe", Decimal("1.00")), ("Rob Roe", Decimal("2.00")), ("Rob Roe", Decimal("2.00"))][:n]
+    g = tmp_path / "deposits.csv"
+    g.write_text(
+        ",Transaction date,Transaction type,Num,Customer,Vendor,Memo,Cleared,Amount\n"
+        ',09/01/2025,Deposit,,,,"card\nof two ""lines""",Cleared,"1,000.00"\n'
+        ",09/02/2025,Deposit,,,,m,Cleared,5\n"
+    )
+    plain = tmp_path / "plain.csv"
+    plain.write_text(",Transaction date,Transaction type,Num,Customer,Vendor,Memo,Cleared,Amount\nX,09/03/2025,Deposit,,,,n,C,7\n")
+    rows = exports.read_deposits(spark, {"North": str(g), "South": str(plain)}).orderBy("row_no").collect()
+    assert [(r.memo, r.amount, r.facility) for r in rows] == [
+        ('card\nof two "lines"', Decimal("1000.00"), "North"), ("m", Decimal("5.00"), "North"), ("n", Decimal("7.00"), "South")]
