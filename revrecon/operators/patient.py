@@ -12,6 +12,7 @@ from revrecon.functions.dates import as_date, in_month, month_label
 from revrecon.functions.money import money_sum
 from revrecon.operators.actions import claims_last_by_key, with_claim
 from revrecon.operators.lookups import lookup
+from revrecon.sources.versions import Appended, FileTable
 
 
 def patient_history(visits: DataFrame, claims: DataFrame, names_by_id: DataFrame, patient_id) -> DataFrame:
@@ -93,3 +94,18 @@ def unbilled_append_counts(tracked: DataFrame, unbilled: DataFrame) -> DataFrame
         F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("added"),
         F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("skipped"),
     )
+
+
+def append_unbilled(tracker: FileTable, unbilled: DataFrame, run_date: str | dt.date, run_id: str | None = None) -> Appended:
+    """Adds the unbilled rows that the tracking table lacks, once per run (by default one run a day).
+
+    Rows are compared with the table as it is when the run commits, so a run that is started again, or two runs at
+    once, add a visit once. Rows without patient or date match nothing and are added by every run that brings them.
+    """
+    stamp = dt.date.fromisoformat(str(run_date))
+
+    def new_rows(tracked: DataFrame | None) -> DataFrame:
+        known = unbilled.limit(0) if tracked is None else tracked
+        return append_new_unbilled(known, unbilled, run_date)
+
+    return tracker.append(run_id or f"unbilled-{stamp}", new_rows, dt.datetime.combine(stamp, dt.time()))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revrecon.functions.money import as_double
+from revrecon.sinks.runs import Output, read_run, save_run
 
 
 def as_table(spark: SparkSession, data: DataFrame | Mapping | list) -> DataFrame:
@@ -58,26 +59,52 @@ _BUNDLE = {
 }
 
 
+def _as_csv(df: DataFrame, path: str) -> DataFrame:
+    export_csv(df, path)
+    return _flat(df)
+
+
+def _as_json(df: DataFrame, path: str) -> DataFrame:
+    export_json(df, path)
+    return as_double(df)
+
+
+def _as_parquet(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("error").parquet(path)
+    return df
+
+
+_WRITERS = {"csv": _as_csv, "json": _as_json, "parquet": _as_parquet}
+
+
 def export_metrics_bundle(metrics: Mapping[str, DataFrame], folder: str, stamp: str) -> dict[str, str]:
-    """The six metric outputs of a run below one ``run_ts=`` folder."""
-    written = {}
-    for name, (file_name, kind) in _BUNDLE.items():
-        if name in metrics:
-            write = export_json if kind == "json" else export_csv
-            written[f"{file_name}_{kind}"] = write(metrics[name], f"{folder}/{file_name}/run_ts={stamp}")
-    return written
+    """The six metric outputs of a run, valid together: see :func:`revrecon.sinks.runs.save_run`."""
+    outputs = {
+        f"{file_name}_{kind}": Output(metrics[name], kind, _WRITERS[kind])
+        for name, (file_name, kind) in _BUNDLE.items()
+        if name in metrics
+    }
+    if not outputs:
+        return {}
+    return save_run(next(iter(outputs.values())).table.sparkSession, outputs, folder, stamp)
+
+
+def read_metrics_bundle(spark: SparkSession, folder: str, stamp: str | None = None) -> dict[str, DataFrame]:
+    """The metric tables of a complete run, by default the last."""
+    names = {f"{file_name}_{kind}": name for name, (file_name, kind) in _BUNDLE.items()}
+    return {names[output]: df for output, df in read_run(spark, folder, stamp).items() if output in names}
 
 
 def save_result_sets(
     results: Mapping[str, DataFrame], folder: str, stamp: str, skip_empty: Iterable[str] = ()
 ) -> dict[str, str]:
-    """Named results as Parquet below ``name/run_ts=stamp``; listed names are not saved when empty."""
+    """Named results of a run as Parquet, valid together; listed names are not saved when empty."""
     skippable = set(skip_empty)
-    written = {}
-    for name, df in results.items():
-        if name in skippable and df.isEmpty():
-            continue
-        path = f"{folder}/{name}/run_ts={stamp}"
-        df.write.mode("error").parquet(path)
-        written[name] = path
-    return written
+    outputs = {
+        name: Output(df, "parquet", _as_parquet)
+        for name, df in results.items()
+        if not (name in skippable and df.isEmpty())
+    }
+    if not outputs:
+        return {}
+    return save_run(next(iter(outputs.values())).table.sparkSession, outputs, folder, stamp)

@@ -14,14 +14,14 @@ from revrecon import schemas
 from revrecon.functions.dates import parse_any_date, parse_us_date
 from revrecon.functions.money import parse_money, parse_money_or_zero
 
-_FILE_BITS = 42
+FILE_BITS = 42
 #: Local paths come as file:/x in one place and as file:///x in another.
 _LOCAL = "^file:/+"
 #: File lists up to this length (some 25 MB of paths) are sent to every task, longer ones are joined by shuffle.
 BROADCAST_FILES = 100_000
 
 
-def _by_name(path: str) -> str:
+def by_name(path: str) -> str:
     """Sort key of a path in which numbers count by value: month 2 stands before month 10."""
     return re.sub(r"\d+", lambda digits: digits[0].zfill(20), path)
 
@@ -41,22 +41,22 @@ def numbered(lines: DataFrame, *columns: Column, first_file: int = 0) -> DataFra
         F.regexp_replace("_metadata.file_path", _LOCAL, "/").alias("_file"),
         (F.col("_metadata.file_block_start") + index_in_task).alias("_at"),
     )
-    paths = sorted(lines.inputFiles(), key=_by_name)
+    paths = sorted(lines.inputFiles(), key=by_name)
     if len(paths) <= 1:
-        return rows.withColumn("row_no", F.lit(first_file << _FILE_BITS) + F.col("_at")).drop("_file", "_at")
+        return rows.withColumn("row_no", F.lit(first_file << FILE_BITS) + F.col("_at")).drop("_file", "_at")
     ranks = lines.sparkSession.createDataFrame(
         [(re.sub(_LOCAL, "/", path), rank) for rank, path in enumerate(paths, first_file)], "_file string, _rank long"
     )
     if len(paths) <= BROADCAST_FILES:
         ranks = F.broadcast(ranks)
     rank = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file not listed: "), F.col("_file"))).cast("long"))
-    number = F.shiftleft(rank, _FILE_BITS) + F.col("_at")
+    number = F.shiftleft(rank, FILE_BITS) + F.col("_at")
     return rows.join(ranks, "_file", "left").withColumn("row_no", number).drop("_file", "_at", "_rank")
 
 
 def file_of_row() -> Column:
     """The file's rank, from a row number that :func:`numbered` gave."""
-    return F.shiftright("row_no", _FILE_BITS)
+    return F.shiftright("row_no", FILE_BITS)
 
 
 def facility_of_path(paths: Mapping[str, str]) -> Column:
