@@ -294,6 +294,8 @@ put("changed_sources", "listing log", """select file_name as table_name, prefix
   from listing where not exists (select 1 from log where table_name = file_name and log.modified = listing.modified
     and loaded_at = (select max(loaded_at) from log l2 where l2.table_name = file_name))""")
 put("refresh_table", V, f"select row_no, patient_id, {text_date('dos')} as dos, {dbl('total_paid')} as total_paid from fx_visits")
+put("refresh_changed_files", V, f"""select cast(patient_id as varchar) as patient_id, {text_date('dos')} as dos, visit_stage, provider,
+  {dbl('case when year(dos) = 1997 then total_paid + 1 else total_paid end')} as total_paid, cast(year(dos) as varchar) as yr from fx_visits""")
 put("cache_status", "log", """select table_name, source_id, strftime(modified, '%Y-%m-%d %H:%M:%S') as modified, strftime(loaded_at, '%Y-%m-%d %H:%M:%S') as loaded_at
   from log qualify row_number() over (partition by table_name order by loaded_at desc) = 1 order by table_name""")
 put("latest_snapshot", "listing", """select prefix, file_name, cast(modified as varchar) as modified from listing
@@ -409,13 +411,11 @@ def report(source: str, providers: int | None, tag: str) -> str:
 STEPS["in_range"] = (("fx_visits",), "select * from fx_visits where dos between date '1997-01-01' and date '1998-12-31'")
 put("all_metrics", V, report("fx_visits", None, "all"))
 put("report_table", "in_range", report("in_range", 5, "1997-01-01 to 1998-12-31"))
-put("export_metrics_bundle", V, " union all ".join(
-    f"select '{out}' as output, count(*) as n from ({text}) t" for out, text in (
-        ("summary_json", summary("fx_visits")), ("providers_csv", _PROVIDER), ("insurance_csv", _PAYER), ("facilities_csv", _FACILITY),
-        ("stages_csv", stages("fx_visits")), ("red_flags_json", flags("fx_visits", 70.0, 15.0)))))
-put("save_result_sets", "fx_visits unb", f"""select 'needs_attention' as result, '20010901_000000' as run_ts, count(*) as n from fx_visits
-    where visit_stage = 'Review' and date '{AS_OF}' - dos > 14 having count(*) > 0
-  union all select 'unbilled', '20010901_000000', count(*) from unb having count(*) > 0""")
+put("export_metrics_bundle", V, f"""select section, key, measure, value from ({report("fx_visits", None, "all")}) r
+  where section <> 'collection_pipeline'""")
+put("save_result_sets", "fx_visits unb", f"""select 'needs_attention' as result, '20010901_000000' as run_ts, patient_id, {text_date('dos')} as dos, provider, facility
+    from fx_visits where visit_stage = 'Review' and date '{AS_OF}' - dos > 14
+  union all select 'unbilled', '20010901_000000', patient_id, {text_date('dos')}, provider, facility from unb""")
 
 # --- filters ---
 put("filter_date_range", V, f"""select row_no, patient_id, {text_date('dos')} as dos, {dbl('total_paid')} as total_paid from fx_visits
@@ -679,6 +679,11 @@ put("patient_header", V, f"""select patient_id, (select payer from fx_visits b w
 put("unbilled_visits", "unb", f"select {_KEY}, visit_stage, provider, facility from unb")
 _SEEN = "exists (select 1 from fx_visits t where t.row_no % 2 = 0 and t.patient_id = u.patient_id and t.dos = u.dos)"
 put("append_new_unbilled", "unb fx_visits", f"""select '{AS_OF}' as run_date, strftime(dos, '%B %Y') as month_label, {_KEY}, visit_stage, provider, facility from unb u where not {_SEEN}""")
+_TRACKED = f"strftime(dos, '%B %Y') as month_label, {_KEY}, visit_stage, provider, facility from"
+_MISSING = "not exists (select 1 from fx_visits t where t.row_no % 2 = 0 and year(t.dos) = 1997 and t.patient_id = u.patient_id and t.dos = u.dos)"
+put("unbilled_tracker", V, f"""select '2001-08-01' as run_date, {_TRACKED} fx_visits where row_no % 2 = 0 and year(dos) = 1997
+  union all select case {month('dos')} when '{MONTH}' then '{AS_OF}' else '2001-10-01' end, {_TRACKED} fx_visits u
+  where {month('dos')} in ('{MONTH}', '1997-07') and visit_stage in {BILLING} and last_billed is null and {_MISSING}""")
 put("unbilled_append_counts", "unb fx_visits", f"select count(*) filter (where not {_SEEN}) as added, count(*) filter (where {_SEEN}) as skipped from unb u")
 
 # --- ledger ---

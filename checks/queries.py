@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +28,10 @@ from revrecon.operators import (
 )
 from revrecon.plans import reconcile, report
 from revrecon.session import scratch_dir
+from revrecon.sinks import runs
 from revrecon.sinks import tables as sinks
 from revrecon.sources import catalog, exports, files, ledger_sheet
+from revrecon.sources.versions import FileTable
 
 AS_OF = "2001-09-01"
 MONTH = "1997-06"
@@ -315,6 +317,34 @@ def refresh_table(spark, sf):
     return catalog.read_table(spark, warehouse, "visits").select("row_no", "patient_id", "dos", "total_paid")
 
 
+@query
+def refresh_changed_files(spark, sf):
+    """Yearly exports in files, loaded; then one year is delivered anew and only its files are loaded again."""
+    landing, table = scratch_dir(spark, "landing"), FileTable(spark, scratch_dir(spark, "file_table"))
+    v = fx.visits(spark, sf).withColumn("yr", F.year("dos"))
+    headers = {name: header for header, name, _ in files.schemas.VISIT_FIELDS}
+
+    def deliver(rows: DataFrame) -> None:
+        cells = [F.col("patient_id"), _us_date("dos"), F.col("visit_stage"), F.col("provider"), _dollars("total_paid")]
+        names = ["patient_id", "dos", "visit_stage", "provider", "total_paid"]
+        named = [c.cast("string").alias(headers[n]) for c, n in zip(cells, names)]
+        dealt = rows.select(*named, "yr", (F.col("row_no") % 2).alias("half")).repartition("yr", "half").drop("half")
+        dealt.write.mode("overwrite").options(header=True, escape='"', partitionOverwriteMode="dynamic").partitionBy("yr").csv(landing)
+
+    def load(names: list[str]) -> DataFrame:
+        return exports.read_visits(spark, names, allow_empty=True)
+
+    deliver(v)
+    first = table.refresh(catalog.list_files(spark, landing).filter("file_name like '%.csv'"), load)
+    deliver(v.filter("yr = 1997").withColumn("total_paid", F.col("total_paid") + 1))
+    listing = catalog.list_files(spark, landing).filter("file_name like '%.csv'")
+    second = table.refresh(listing, load, drop_missing=True)
+    year = listing.filter(F.col("source_id").contains("yr=1997")).count()
+    if (first.version, second.version, second.loaded, second.kept) != (1, 2, year, listing.count() - year):
+        raise AssertionError(f"only the files of 1997 have changed: {first}, {second}")
+    return table.read().select("patient_id", "dos", "visit_stage", "provider", "total_paid", F.regexp_extract("source_id", r"yr=(\d+)", 1).alias("yr"))
+
+
 @query
 def cache_status(spark, sf):
     return catalog.cache_status(_load_log(spark, sf))
@@ -363,16 +393,12 @@ def export_json(spark, sf):
 
 @query
 def export_metrics_bundle(spark, sf):
-    """The bundle of a run, read back as rows per output."""
+    """The bundle of a run, read back through its manifest, every measure of every output."""
     folder = scratch_dir(spark, "bundle")
     bundle = report.all_metrics(fx.visits(spark, sf))
-    written = sinks.export_metrics_bundle(bundle.tables, folder, "20010901_000000")
-    counts = None
-    for name, path in written.items():
-        read = spark.read.json(path) if name.endswith("json") else spark.read.csv(path, header=True)
-        one = read.agg(F.count("*").alias("n")).select(F.lit(name).alias("output"), "n")
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+    sinks.export_metrics_bundle(bundle.tables, folder, "20010901_000000")
+    back = sinks.read_metrics_bundle(spark, folder)
+    return report.report_table(report.RevenueMetrics(back, bundle.cube), list(back)).drop("date_range")
 
 
 @query
@@ -383,7 +409,7 @@ def report_table(spark, sf):
 
 @query
 def save_result_sets(spark, sf):
-    """Two action lists of a run, saved by run and read back; an empty list leaves no folder."""
+    """Two action lists of a run, saved by run and read back with their rows; an empty list leaves no folder."""
     folder = scratch_dir(spark, "run")
     v = fx.visits(spark, sf)
     results = {
@@ -391,14 +417,14 @@ def save_result_sets(spark, sf):
         "unbilled": patient.unbilled_visits(v, MONTH),
         "mismatched": v.limit(0),
     }
-    written = sinks.save_result_sets(results, folder, "20010901_000000", skip_empty=["mismatched"])
-    counts = [
-        spark.read.parquet(f"{folder}/{name}").groupBy("run_ts").agg(F.count("*").alias("n")).select(
-            F.lit(name).alias("result"), F.col("run_ts").cast("string").alias("run_ts"), "n"
-        )
-        for name in written
-    ]
-    return counts[0].unionByName(counts[1])
+    sinks.save_result_sets(results, folder, "20010901_000000", skip_empty=["mismatched"])
+    run = runs.complete_runs(spark, folder)[-1]
+    back = runs.read_run(spark, folder, run)
+    if "mismatched" in back:
+        raise AssertionError("an empty list is not saved")
+    shared = ["patient_id", "dos", "provider", "facility"]
+    rows = [df.select(F.lit(name).alias("result"), F.lit(run).alias("run_ts"), *shared) for name, df in sorted(back.items())]
+    return reduce(DataFrame.unionByName, rows)
 
 
 # --- filters and derived columns --------------------------------------------------------------
@@ -918,6 +944,18 @@ def append_new_unbilled(spark, sf):
     return patient.append_new_unbilled(_tracked(v), patient.unbilled_visits(v, MONTH), AS_OF)
 
 
+@query
+def unbilled_tracker(spark, sf):
+    """The tracking table after runs of two months, one of them started twice."""
+    v = fx.visits(spark, sf)
+    tracker = FileTable(spark, scratch_dir(spark, "tracker"))
+    known = v.filter("row_no % 2 = 0").select("patient_id", "dos", "visit_stage", "provider", "facility")
+    patient.append_unbilled(tracker, known.filter(F.year("dos") == 1997), "2001-08-01", "start")
+    for month, day in ((MONTH, AS_OF), (MONTH, AS_OF), ("1997-07", "2001-10-01")):
+        patient.append_unbilled(tracker, patient.unbilled_visits(v, month), day)
+    return tracker.read().drop("source_id")
+
+
 @query
 def unbilled_append_counts(spark, sf):
     v = fx.visits(spark, sf)
