@@ -504,8 +504,10 @@ _STAT_NUM = ("count({c}) as n, cast(min({c}) as double) as min_value, cast(max({
              + ", ".join(rnd(f"quantile_cont(cast({{c}} as double), {q})") + f" as p{int(q * 100)}" for q in (0.25, 0.5, 0.75)))
 _STAT_TEXT = "cast(null as bigint) as n, " + ", ".join(f"cast(null as double) as {x}" for x in ("min_value", "max_value", "mean", "std", "p25", "p50", "p75"))
 put("summary_stats", V, " union all ".join(
-    [_STAT.format(c="visit_stage", rest=_STAT_TEXT)]
-    + [_STAT.format(c=c, rest=_STAT_NUM.replace("{c}", c)) for c in ("last_billed", "primary_allowed", "total_paid", "written_off")]))
+    [_STAT.format(c=c, rest=_STAT_TEXT) for c in ("patient_name", "dos", "visit_stage", "provider", "facility", "payer_type", "payer",
+                                                 "referral_source", "visit_type")]
+    + [_STAT.format(c=c, rest=_STAT_NUM.replace("{c}", c)) for c in ("row_no", "patient_id", "last_billed", "primary_allowed", "primary_not_allowed",
+       "primary_paid", "secondary_paid", "patient_paid", "total_paid", "written_off", "current_balance")]))
 
 # --- metrics by stage, facility, month ---
 put("overview_kpis", V, f"""select count(*) as total_visits, {dbl(zsum('last_billed'))} as total_charged, {dbl(zsum('total_paid'))} as total_collected,

@@ -561,9 +561,7 @@ def validation_summary(spark, sf):
 
 @query
 def summary_stats(spark, sf):
-    stats = quality.summary_stats(
-        fx.visits(spark, sf).select("visit_stage", "last_billed", "primary_allowed", "total_paid", "written_off")
-    )
+    stats = quality.summary_stats(fx.visits(spark, sf))
     rounded = [money.round_half_away(F.col(c)).alias(c) for c in ("mean", "std", "p25", "p50", "p75")]
     return stats.select("column_name", "total_rows", "null_count", "n", "min_value", "max_value", *rounded)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from revrecon import rules, schemas
 from revrecon.functions.dates import as_date, days_since, parse_any_date
+from revrecon.session import settle
 
 
 def _is_text(df: DataFrame, column: str) -> bool:
@@ -222,62 +223,92 @@ def validation_summary(
 
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 _BUCKETS_PER_DOUBLING = 256
+#: Parts that a bucket with several values is cut into by one more pass.
+_PARTS = 4096
 
 
-def exact_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact quartiles with linear interpolation, (column_name, p25, p50, p75).
+def _narrowed(totals: DataFrame, wanted: list[tuple[str, float, int]]) -> list:
+    """The buckets that hold the wanted ranks: (column_name, within, rank, before, n, lo, hi), one row per rank.
 
-    Values are counted first (combined inside each task), then placed in order-preserving buckets
-    of about 0.3 % width. Only bucket totals, a bounded table, are summed up in order; the search
-    inside a bucket sees that bucket's distinct values alone. No column passes through one task.
+    ``totals`` has one row per column, range and bucket, however long the table is; only these are put in order.
     """
-    values = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], list(columns), "column_name", "value")
-        .filter(F.col("value").isNotNull())
-    )
-    magnitude = F.floor(F.log2(F.lit(1.0) + F.abs("value")) * _BUCKETS_PER_DOUBLING)
-    counted = (
-        values.groupBy("column_name", "value")
-        .agg(F.count("*").alias("n"))
-        .withColumn("bucket", F.when(F.col("value") < 0, -magnitude - 1).otherwise(magnitude))
-    )
-    in_order = Window.partitionBy("column_name").orderBy("bucket")
-    totals = (
-        counted.groupBy("column_name", "bucket")
-        .agg(F.sum("n").alias("in_bucket"))
-        .withColumn("before", F.sum("in_bucket").over(in_order) - F.col("in_bucket"))
-        .withColumn("total", F.sum("in_bucket").over(Window.partitionBy("column_name")))
-    )
-    inside = Window.partitionBy("column_name", "bucket").orderBy("value")
-    ranked = (
-        counted.join(totals, ["column_name", "bucket"])
-        .withColumn("last_rank", F.col("before") + F.sum("n").over(inside) - 1)
-        .withColumn("first_rank", F.col("last_rank") - F.col("n") + 1)
+    spark = totals.sparkSession
+    down = Window.partitionBy("column_name", "within").orderBy("bucket")
+    placed = totals.withColumn("before", F.sum("n").over(down) - F.col("n"))
+    ranks = spark.createDataFrame(wanted, "column_name string, within double, rank long")
+    hit = placed.join(F.broadcast(ranks), ["column_name", "within"])  # at most six ranks of each column
+    inside = (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n"))
+    return hit.filter(inside).select("column_name", "within", "rank", "before", "n", "lo", "hi").collect()
+
+
+def _values(df: DataFrame, columns: Sequence[str], bucket: Callable[[str, Column], tuple[Column, Column]]) -> DataFrame:
+    """Counts, least and greatest value per column, range and bucket; values without a bucket are left out."""
+    pairs = []
+    for name in columns:
+        value = F.col(f"`{name}`").cast("double")
+        within, at = bucket(name, value)
+        some = value.isNotNull() & ~F.isnan(value) & at.isNotNull()
+        pairs.append(F.when(some, F.struct(F.lit(name).alias("column_name"), within.alias("within"), at.alias("bucket"), value.alias("value"))))
+    rows = df.select(F.explode(F.array(*pairs)).alias("v")).filter(F.col("v").isNotNull()).select("v.*")
+    return rows.groupBy("column_name", "within", "bucket").agg(
+        F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
     )
 
-    def at_rank(rank: Column) -> Column:
-        return F.max(F.when((F.col("first_rank") <= rank) & (rank <= F.col("last_rank")), F.col("value")))
 
-    picks = []
-    for name, q in _QUARTILES.items():
-        position = F.lit(q) * (F.col("total") - 1)
-        picks += [
-            at_rank(F.floor(position)).alias(f"{name}_lo"),
-            at_rank(F.ceil(position)).alias(f"{name}_hi"),
-            F.max(position - F.floor(position)).alias(f"{name}_part"),
-        ]
-    return (
-        ranked.groupBy("column_name")
-        .agg(*picks)
-        .select(
-            "column_name",
-            *[
-                (F.col(f"{q}_lo") + (F.col(f"{q}_hi") - F.col(f"{q}_lo")) * F.col(f"{q}_part")).alias(q)
-                for q in _QUARTILES
-            ],
-        )
-    )
+def exact_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact quartiles with linear interpolation, (column_name, p25, p50, p75), by selection.
+
+    A first pass counts the values of order-preserving buckets of about 0.3 % width; only the buckets that hold a wanted
+    rank are looked at again. Each further pass cuts those into ``_PARTS`` parts and counts these, until every rank
+    lies in a bucket of one value: one more pass for amounts in cents, at most six for any doubles. No pass shuffles
+    more than its buckets, no values are ranked, and six numbers a column reach the driver. Null and NaN do not count; a
+    column without values has no row.
+    """
+    spark, columns = df.sparkSession, list(columns)
+    ddl = "column_name string, " + ", ".join(f"{q} double" for q in _QUARTILES)
+    if not columns:
+        return spark.createDataFrame([], ddl)
+
+    def by_magnitude(name: str, value: Column) -> tuple[Column, Column]:
+        magnitude = F.floor(F.log2(F.lit(1.0) + F.abs(value)) * _BUCKETS_PER_DOUBLING)
+        return F.lit(0.0), F.when(value < 0, -magnitude - 1).otherwise(magnitude)
+
+    # read twice: for the sizes and for the ranks
+    totals = settle(spark, _values(df, columns, by_magnitude), "bucket_totals")
+    sizes = {r[0]: r[1] for r in totals.groupBy("column_name").agg(F.sum("n")).collect()}
+    ends = {c: {q: (share * (n - 1) // 1, -(-share * (n - 1) // 1)) for q, share in _QUARTILES.items()} for c, n in sizes.items()}
+    wanted = sorted({(c, 0.0, int(rank)) for c, qs in ends.items() for pair in qs.values() for rank in pair})
+    found, base = {}, {(c, 0.0): 0 for c in sizes}
+    while wanted:
+        hits, wanted, ranges = _narrowed(totals, wanted), [], {}
+        for r in hits:
+            rank = base[r.column_name, r.within] + r.rank
+            if r.lo == r.hi:
+                found[r.column_name, rank] = r.lo
+            else:
+                wanted.append((r.column_name, r.lo, r.rank - r.before))
+                ranges.setdefault(r.column_name, {})[r.lo] = (r.hi, base[r.column_name, r.within] + r.before)
+        if wanted:
+            base = {(c, lo): before for c, own in ranges.items() for lo, (_, before) in own.items()}
+
+            def by_part(name: str, value: Column) -> tuple[Column, Column]:
+                within, at = F.lit(None).cast("double"), F.lit(None).cast("long")
+                for lo, (hi, _) in ranges[name].items():  # noqa: B023 - used up in this turn
+                    inside = (value >= lo) & (value <= hi)
+                    part = F.least(F.floor((value - lo) / (hi - lo) * _PARTS), F.lit(_PARTS - 1))
+                    within, at = F.when(inside, lo).otherwise(within), F.when(inside, part).otherwise(at)
+                return within, at
+
+            totals = _values(df, list(ranges), by_part)
+            wanted = sorted(set(wanted))
+    rows = []
+    for c, n in sizes.items():
+        row = [c]
+        for q, (low, high) in ends[c].items():
+            a, b = found[c, int(low)], found[c, int(high)]
+            row.append(a + (b - a) * (_QUARTILES[q] * (n - 1) - low) if a != b else a)
+        rows.append(tuple(row))
+    return spark.createDataFrame(rows, ddl)
 
 
 def summary_stats(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from revrecon.operators import actions, combined, commercial, identity, ledger, matching
-from revrecon.session import scratch_dir
+from revrecon.session import settle
 from revrecon.sinks.tables import save_result_sets
 
 ACTION_LISTS = ("needs_attention", "outstanding_ar", "needs_posting", "mismatched")
@@ -19,16 +19,6 @@ def prepare_claims(claims: DataFrame, patients: DataFrame) -> DataFrame:
     return identity.claims_patient_match(claims, identity.patient_names(patients))
 
 
-def settle(spark: SparkSession, df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """Write an intermediate table to the shared folder and read it back.
-
-    Results that several outputs read are computed once; the written table survives lost executors.
-    """
-    path = f"{folder.rstrip('/')}/{name}" if folder else scratch_dir(spark, name)
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
-
-
 def billing_reconciliation(
     spark: SparkSession, visits: DataFrame, claims: DataFrame, patients: DataFrame, as_of: str | dt.date
 ) -> dict[str, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revrecon.operators import metrics as m
-from revrecon.plans.reconcile import settle
+from revrecon.session import settle
 
 
 @dataclass(frozen=True)

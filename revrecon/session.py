@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: The folder of a local session that names none.
+_own: list[str] = []
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -46,5 +49,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="revrecon-")
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="revrecon-"))
+        root = _own[0]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(spark: SparkSession, df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    Results that several outputs read are computed once; the written table survives lost executors.
+    """
+    path = f"{folder.rstrip('/')}/{name}" if folder else scratch_dir(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,8 +1,10 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
 from helpers import as_dicts, visits
+from pyspark.sql import functions as F
 from revrecon.operators import filters, ledger, metrics, monthly, quality
 from revrecon.plans import report
 
@@ -156,3 +158,42 @@ def test_ledger_without_visits_is_flagged(spark):
     assert len(flags["2025-09"]["possible_causes"]) == 3
     stats = {r["facility"]: r for r in as_dicts(ledger.pl_stats(pl))}
     assert (stats["ALL"]["total_income"], stats["ALL"]["non_patient_revenue"]) == (109, 99)
+
+
+@pytest.mark.parametrize("kind", ["cents", "doubles", "ties", "wide", "tiny", "one"])
+def test_quartiles_by_selection_against_all_values(spark, kind):
+    rng = random.Random(8)
+    values = {
+        "cents": [rng.randint(-500_000, 500_000) / 100 for _ in range(4001)],
+        "doubles": [1000 + rng.random() for _ in range(3002)],
+        "ties": [rng.choice([0.0, 1.0, 1.0, 5.5]) for _ in range(999)],
+        "wide": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(1500)],
+        "tiny": [1.0 + i * 2.0**-52 for i in range(3000)],
+        "one": [7.25],
+    }[kind]
+    rows = [(v, None, -v) for v in values] + [(None, None, float("nan"))]
+    df = spark.createDataFrame(rows, "a double, empty double, `b.c` double").repartition(5)
+    got = {r.column_name: (r.p25, r.p50, r.p75) for r in quality.exact_quartiles(df, ["a", "empty", "b.c"]).collect()}
+
+    def want(numbers):
+        numbers, out = sorted(numbers), []
+        for share in (0.25, 0.5, 0.75):
+            at = share * (len(numbers) - 1)
+            low = numbers[int(at)]
+            high = numbers[min(int(at) + (at > int(at)), len(numbers) - 1)]
+            out.append(low if low == high else low + (high - low) * (at - int(at)))
+        return tuple(out)
+
+    assert got == {"a": want(values), "b.c": want([-v for v in values])}
+    assert quality.exact_quartiles(df, []).collect() == []
+
+
+def test_quartiles_shuffle_buckets_only(spark, monkeypatch):
+    made = []
+    inner = quality._values
+    monkeypatch.setattr(quality, "_values", lambda *a: made.append(inner(*a)) or made[-1])
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003 / 100).alias("m"))
+    row = quality.exact_quartiles(df, ["m"]).first()
+    assert len(made) == 2 and row.p50 is not None
+    first, second = (t.count() for t in made)
+    assert first < 4000 and second <= 6 * quality._PARTS
