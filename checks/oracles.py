@@ -528,6 +528,8 @@ put("visit_monthly_summary", V, f"""select {month('dos')} as month, facility, mi
    count(*) filter (where {_UNB}) as unbilled, count(*) filter (where visit_stage in {CANCELED}) as cancelled, count(*) filter (where visit_stage = 'No Show') as no_show,
    {dbl(f'round({zsum("last_billed", _IN)}, 0)')} as gross_charges, {dbl(f'round({zsum("total_paid")}, 0)')} as collected,
    {dbl(f'round({zsum("primary_allowed", _IN)}, 0)')} as primary_allowed from fx_visits group by 1, 2""")
+_PAID_MORE = zsum("total_paid + case when year(dos) = 1997 then 1 else 0 end")
+ORACLES["monthly_after_change"] = ORACLES["visit_monthly_summary"].replace(zsum("total_paid"), _PAID_MORE)
 _PERIOD = f"""count(*) filter (where {_IN}) as checked_in, count(*) filter (where {_UNB}) as unbilled, {dbl(zsum('last_billed', _IN))} as billed, {dbl(zsum('total_paid'))} as collected"""
 put("visits_by_period", V, f"select {month('dos')} as month, {_PERIOD} from fx_visits where facility = '{FACILITY}' group by 1")
 _LINES = {"pl_revenue": "Total for Income", "pl_expenses": "Total for Expenses", "net_income": "Net Income"}

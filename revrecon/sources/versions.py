@@ -102,9 +102,9 @@ class FileTable:
             rows = load(names)
             self._store(rows, file_of_row() if source_of_row is None else source_of_row, name)
             schema = _widened(schema, rows.schema)
-        numbers = self.spark.createDataFrame([(s, i) for i, s in enumerate(names)], "source_id string, source_no long")
+        numbers = self._placed(names, name)
         latest = listing.groupBy("source_id").agg(F.max(F.struct("modified", "size")).alias("s"))
-        fresh = latest.join(numbers, "source_id").select("source_id", "s.modified", "s.size", F.lit(name).alias("place"), "source_no")
+        fresh = latest.join(numbers, "source_id").select("source_id", "s.modified", "s.size", "place", "source_no")
         kept = before.join(numbers.select("source_id"), "source_id", "left_anti")
         if drop_missing:
             kept = kept.join(here, "source_id", "left_semi")
@@ -114,6 +114,29 @@ class FileTable:
         replaced = before.join(numbers, "source_id", "left_semi").count()
         return Refreshed(version, len(names), n_before - replaced - gone, gone)
 
+    def _placed(self, names: Sequence[str], name: str) -> DataFrame:
+        """source_id, place, source_no of the sources of a load; one without rows has no place."""
+        with_rows = {part for part, _ in self.log.folder.names(_DATA, name)} if names else set()
+        rows = [(s, name if f"_source={i}" in with_rows else None, i) for i, s in enumerate(names)]
+        return self.spark.createDataFrame(rows, "source_id string, place string, source_no long")
+
+    def replace(self, base: int, names: Sequence[str], rows: DataFrame, source_of_row: Column, at: dt.datetime, note: dict) -> int | None:
+        """A version in which the rows of the named parts are ``rows`` and all others are as in ``base``.
+
+        ``source_of_row`` is a row's place among ``names``; a part without rows goes. ``note`` becomes part of the commit.
+        None if another writer has made a version on the same base.
+        """
+        schema, name = self._schema(base) if base else None, new_name("load")
+        fresh = self.spark.createDataFrame([], MANIFEST_DDL)
+        if names:
+            self._store(rows, source_of_row, name)
+            placed = self._placed(names, name).where("place is not null")
+            fresh = placed.select("source_id", F.lit(at).alias("modified"), F.lit(0).cast("long").alias("size"), "place", "source_no")
+            schema = _widened(schema, rows.schema)
+        named = self.spark.createDataFrame([(n,) for n in names], "source_id string")
+        kept = self.manifest(base or None).join(named, "source_id", "left_anti")
+        return self._commit(base, kept.unionByName(fresh), schema, note)
+
     def _store(self, rows: DataFrame, source: Column, name: str) -> None:
         rows.withColumn("_source", source.cast("long")).write.partitionBy("_source").parquet(self.log.folder.path(_DATA, name))
 
@@ -142,7 +165,7 @@ class FileTable:
             added, name = rows(self.read(base) if schema else None), new_name("load")
             self._store(added, F.lit(0), name)
             n = self.spark.read.schema(added.schema).parquet(self.log.folder.path(_DATA, name)).count()
-            own = self.spark.createDataFrame([(run_id, at, n, name, 0)], MANIFEST_DDL)
+            own = self._placed([run_id], name).select("source_id", F.lit(at).alias("modified"), F.lit(n).cast("long").alias("size"), "place", "source_no")
             version = self._commit(base, before.unionByName(own), _widened(schema, added.schema), {"run": run_id, "rows": n})
             if version is not None:
                 return Appended(version, n, False)
@@ -176,10 +199,8 @@ class FileTable:
 
     def _rows(self, manifest: DataFrame, schema: T.StructType) -> DataFrame:
         folder, held = self.log.folder, manifest.select("source_id", "place", "source_no").collect()
-        loads = {place: {n for n, _ in folder.names(_DATA, place)} for place in {r.place for r in held}}
         ranked = sorted(held, key=lambda r: by_name(r.source_id))
-        # a source without rows has no folder
-        live = [(i, r.source_id, f"{r.place}/_source={r.source_no}") for i, r in enumerate(ranked) if f"_source={r.source_no}" in loads[r.place]]
+        live = [(i, r.source_id, f"{r.place}/_source={r.source_no}") for i, r in enumerate(ranked) if r.place is not None]
         if not live:
             return self.spark.createDataFrame([], schema).withColumn("source_id", F.lit(None).cast("string"))
         rows = self.spark.read.schema(schema).parquet(*[folder.path(_DATA, part) for _, _, part in live])
@@ -203,7 +224,8 @@ class FileTable:
     def clean(self, keep: int = 2, grace: dt.timedelta = dt.timedelta(days=1), now: float | None = None) -> list[str]:
         """Removes the folders of loads and manifests that none of the last ``keep`` versions names; returns them.
 
-        A folder younger than ``grace`` stays: its writer may not have committed yet. Within a load that is still named,
+        A version that was cleaned can no longer be read; what is derived from versions (monthly tables) should have caught
+        up before. A folder younger than ``grace`` stays: its writer may not have committed yet. Within a load that is still named,
         the folders of sources that were loaded again go too. Commit files stay.
         """
         folder, now = self.log.folder, time.time() if now is None else now
@@ -211,7 +233,7 @@ class FileTable:
         commits = [c for c in map(self.log.read, versions) if c]
         lists = {c.facts["manifest"] for c in commits}
         manifests = [self.manifest(c.version).select("place", "source_no") for c in commits]
-        live = {(r.place, f"_source={r.source_no}") for r in reduce(DataFrame.union, manifests).distinct().collect()} if manifests else set()
+        live = {(r.place, f"_source={r.source_no}") for r in reduce(DataFrame.union, manifests).distinct().collect() if r.place} if manifests else set()
         removed = []
         for kind, names in ((_LISTS, lists), (_DATA, {place for place, _ in live})):
             for name, _ in folder.names(kind):

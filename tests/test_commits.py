@@ -219,3 +219,70 @@ def test_a_metrics_bundle_reads_back_as_it_was(spark, tmp_path):
         want = tables[name].select(*[F.col(c).cast("double") if tables[name].schema[c].dataType.typeName() == "decimal" else F.col(c) for c in numbers])
         have = df.select(*[F.col(c).cast("double") if df.schema[c].dataType.typeName() == "decimal" else F.col(c) for c in numbers])
         assert sorted(map(str, have.collect())) == sorted(map(str, want.collect()))
+
+
+def monthly_of(spark, tmp_path):
+    from revrecon.functions.dates import month_key
+    from revrecon.plans.incremental import refresh_months
+
+    facts, monthly, derived = FileTable(spark, str(tmp_path / "facts")), FileTable(spark, str(tmp_path / "monthly")), []
+
+    def derive(rows):
+        derived.append(sorted({str(r.dos)[:7] for r in rows.select("dos").distinct().collect()}))
+        return rows.groupBy(month_key("dos").alias("month")).agg(F.count("*").alias("n"), F.sum("total_paid").alias("paid"))
+
+    def refresh():
+        return refresh_months(facts, monthly, derive)
+
+    def held():
+        return sorted((str(r.month), r.n, int(r.paid)) for r in monthly.read().collect())
+
+    return facts, monthly, derived, refresh, held
+
+
+def dated(folder, name, *rows):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("DOS,Patient,Total Paid\n" + "".join(f"{d},p,{n}\n" for d, n in rows))
+
+
+def test_only_touched_months_are_derived_again(spark, tmp_path):
+    land = tmp_path / "in"
+    facts, monthly, derived, refresh, held = monthly_of(spark, tmp_path)
+    dated(land, "a.csv", ("01/05/2025", 1), ("02/05/2025", 2))
+    dated(land, "b.csv", ("02/06/2025", 4), ("03/05/2025", 8), ("", 16))
+    facts.refresh(listing(spark, land), load(spark))
+    assert refresh().months == ("2025-01", "2025-02", "2025-03", "undated")
+    assert held() == [("2025-01", 1, 1), ("2025-02", 2, 6), ("2025-03", 1, 8), ("None", 1, 16)]
+    assert refresh().months == () and len(derived) == 1
+
+    dated(land, "a.csv", ("02/05/2025", 3), ("12/31/2025", 5))  # January goes, December comes
+    facts.refresh(listing(spark, land), load(spark))
+    before = {r.source_id: r.place for r in monthly.manifest().collect()}
+    done = refresh()
+    assert done.months == ("2025-01", "2025-02", "2025-12") and done.facts_version == 2
+    assert derived[1] == ["2025-02", "2025-12"]
+    assert held() == [("2025-02", 2, 7), ("2025-03", 1, 8), ("2025-12", 1, 5), ("None", 1, 16)]
+    after = {r.source_id: r.place for r in monthly.manifest().collect()}
+    assert {m for m in after if after[m] == before.get(m)} == {"2025-03", "undated"}
+
+    dated(land, "c.csv", ("03/09/2025", 1))
+    (land / "b.csv").unlink()
+    facts.refresh(listing(spark, land), load(spark), drop_missing=True)
+    assert refresh().months == ("2025-02", "2025-03", "undated")
+    assert held() == [("2025-02", 1, 3), ("2025-03", 1, 1), ("2025-12", 1, 5)]
+
+
+def test_a_monthly_run_that_dies_is_run_again(spark, tmp_path, monkeypatch):
+    land = tmp_path / "in"
+    facts, monthly, derived, refresh, held = monthly_of(spark, tmp_path)
+    dated(land, "a.csv", ("01/05/2025", 1))
+    facts.refresh(listing(spark, land), load(spark))
+    refresh()
+    dated(land, "a.csv", ("01/05/2025", 9), ("01/06/2025", 1))
+    facts.refresh(listing(spark, land), load(spark))
+    monkeypatch.setattr(CommitLog, "commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+    with pytest.raises(KeyboardInterrupt):
+        refresh()
+    monkeypatch.undo()
+    assert held() == [("2025-01", 1, 1)]
+    assert refresh().months == ("2025-01",) and held() == [("2025-01", 2, 10)]
