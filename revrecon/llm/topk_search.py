@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -16,8 +17,24 @@ from revrecon.llm.vectors import matrix, packed
 SHARD, LEAF, BLOCK, LANE = 8192, 128, 512, 16
 #: Leaves that a query visits between two updates of its kth score.
 STRIDE = 4
-#: Components are held within this bound, so that sums of products are exact in 64 bits.
-BOUND = float(1 << 25)
+#: Sums of products below this size are exact in double precision; larger ones are taken in 64-bit integers.
+EXACT = 1 << 53
+
+
+def limit(width: int) -> int:
+    """The largest component for which no product of two vectors of that width can leave 64 bits."""
+    return isqrt(((1 << 63) - 1) // width)
+
+
+def numbers_of(kind: str, data: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(data, kind).reshape(-1, width)
+
+
+def fitting(points: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both in the type in which their products are exact."""
+    largest = int(np.abs(points).max(initial=0)) * int(np.abs(queries).max(initial=0)) * points.shape[1]
+    kind = np.float64 if largest < EXACT else np.int64
+    return points.astype(kind), queries.astype(kind)
 
 
 class Tree:
@@ -51,11 +68,11 @@ class Best:
 
     def __init__(self, n: int, k: int):
         self.n, self.k = n, k
-        self.query, self.score, self.id, self.row = (np.zeros(0, t) for t in (np.int64, np.float64, np.int64, np.int64))
-        self.kth = np.full(n, -np.inf)
+        self.query, self.score, self.id = (np.zeros(0, np.int64) for _ in range(3))
+        self.kth = np.full(n, np.iinfo(np.int64).min)
 
     def add(self, query: np.ndarray, score: np.ndarray, id_: np.ndarray) -> None:
-        q, s, i = (np.concatenate(p) for p in ((self.query, query), (self.score, score), (self.id, id_)))
+        q, s, i = (np.concatenate(p) for p in ((self.query, query), (self.score, score.astype(np.int64)), (self.id, id_)))
         order = np.lexsort((i, -s, q))
         q, s, i = q[order], s[order], i[order]
         place = np.arange(len(q)) - np.searchsorted(q, q)
@@ -107,7 +124,8 @@ def top_products(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     merged at the end.
 
     Null vectors and those that hold null or non-finite components take no part. Shorter vectors count as padded with
-    zeros. Floors beyond 2**25 are held there. Rows are told apart by their place, so rows with equal vec_id are
+    zeros. Scores are exact integers. Floors beyond :func:`limit` (3.8e8 at 64 dimensions), where a score could leave 64
+    bits, are held there. Rows are told apart by their place, so rows with equal vec_id are
     candidates of each other and each a query. A null vec_id is no query and comes last among ties.
     """
     rows = vectors.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), "embedding")
@@ -117,17 +135,15 @@ def top_products(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     lanes = -(-shards // LANE)
     no_id = np.iinfo(np.int64).max
 
-    def numbers(values) -> np.ndarray:
-        return np.clip(np.floor(64 * matrix(values, width)), -BOUND, BOUND)
-
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = pdf["vec_id"].fillna(no_id).to_numpy(np.int64)
-        return pd.DataFrame(
-            [(int(pdf["part"].iloc[0]), ids.tobytes(), pdf["row"].to_numpy(np.int64).tobytes(), numbers(pdf["v"]).astype("<i4").tobytes())],
-            columns=["part", "ids", "rows", "points"],
-        )
+        with np.errstate(over="ignore"):
+            points = np.clip(np.floor(64 * matrix(pdf["v"], width)), -limit(width), limit(width)).astype("<i8")
+        kind = "<i4" if np.abs(points).max() < 1 << 31 else "<i8"
+        rows = pdf["row"].to_numpy(np.int64).tobytes()
+        return pd.DataFrame([(int(pdf["part"].iloc[0]), ids.tobytes(), rows, kind, points.astype(kind).tobytes())], columns=["part", "ids", "rows", "kind", "points"])
 
-    shape = "part int, ids binary, rows binary, points binary"
+    shape = "part int, ids binary, rows binary, kind string, points binary"
     filled = held.withColumn("vec_id", F.coalesce("vec_id", F.lit(no_id)))
     corpus = settle(filled.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")).groupBy("part").applyInPandas(pack, shape), "shards")
     asked = filled.where((F.col("vec_id") % every == 0) & (F.col("vec_id") != no_id))
@@ -142,19 +158,19 @@ def top_products(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
         def result() -> pd.DataFrame:
             own_rows, own_ids = ids
             return pd.DataFrame(
-                {"query_row": own_rows[best.query], "query_id": own_ids[best.query], "vec_id": best.id, "score": best.score.astype(np.int64)}
+                {"query_row": own_rows[best.query], "query_id": own_ids[best.query], "vec_id": best.id, "score": best.score}
             )
 
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                points = np.frombuffer(r.q_points, "<i4").reshape(-1, width).astype(np.float64)
                 own = np.frombuffer(r.q_rows, np.int64)
                 if now != (r.q_part, r.lane):
                     if best is not None:
                         yield result()
                     now, best, ids = (r.q_part, r.lane), Best(len(own), k), (own, np.frombuffer(r.q_ids, np.int64))
-                tree = Tree(np.frombuffer(r.points, "<i4").reshape(-1, width).astype(np.float64))
-                visit(tree, np.frombuffer(r.ids, np.int64), np.frombuffer(r.rows, np.int64), points, own, best)
+                points, wanted = fitting(numbers_of(r.kind, r.points, width), numbers_of(r.q_kind, r.q_points, width))
+                tree = Tree(points)
+                visit(tree, np.frombuffer(r.ids, np.int64), np.frombuffer(r.rows, np.int64), wanted, own, best)
         if best is not None:
             yield result()
 

@@ -113,3 +113,26 @@ def test_intervals_find_all_pairs():
     got = {(i, j + 700) for i, j in zip(*join_intervals(a, b, 0.95), strict=True)} | set(zip(*join_intervals(a, a, 0.95), strict=True))
     want = {(i, j) for i, j in zip(*np.nonzero(v @ v.T >= 0.95), strict=True) if i < j and i < 700}
     assert got == want
+
+
+def test_large_components_score_exactly(spark):
+    rng = np.random.default_rng(17)
+    rows = [(0, [1.0, 0.0, 0.0]), (1, [600_000.0, 0.0, 0.0]), (2, [700_000.0, 0.0, 0.0]), (3, [800_000.0, 0.0, 0.0])]
+    rows += [(i, rng.integers(-2_000_000, 2_000_000, 3).astype(float).tolist()) for i in range(4, 80)]
+    rows += [(i, [2_000_000.0, 2_000_000.0 - (i % 3) / 64, -1_999_999.0]) for i in range(80, 100)]  # differ beyond 53 bits
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA)
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in top_products(df).collect())
+    ints = [(i, [int(np.floor(64 * float(np.float32(c)))) for c in v]) for i, v in rows]
+    want = []
+    for q, v in ints:
+        if q % 20 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in ints if i != q)[:20]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    assert got == sorted(want)
+    assert [r[2] for r in got[:3]] != [1, 2, 3]
+
+
+def test_components_beyond_any_score_are_held(spark):
+    df = spark.createDataFrame([(0, [1e30, 1.0], "x"), (1, [1e30, 2.0], "x"), (2, [-1e30, 2.0], "x")], SCHEMA)
+    rows = sorted((r.rank, r.vec_id) for r in top_products(df).collect())
+    assert rows == [(1, 1), (2, 2)]
