@@ -20,7 +20,12 @@ def _money(value: Column, name: str) -> Column:
 def _common(
     visits: DataFrame, claims: DataFrame, office_facility: Callable[[str], Column]
 ) -> DataFrame:
-    """Union of both systems on common columns; claims only where the patient is known."""
+    """Union of both systems on common columns, every row of both.
+
+    ``in_combined`` tells the rows that the combined table is made of: dated ones, and of the claims
+    those whose patient is known. ``alone`` is the row's number where no patient is known, so such
+    rows share no key.
+    """
     zero = F.lit(0)
     from_visits = visits.select(
         "patient_id",
@@ -30,10 +35,10 @@ def _common(
         _money(F.coalesce("primary_paid", zero) + F.coalesce("secondary_paid", zero), "insurance_payments"),
         _money(F.col("total_paid"), "total_paid"),
         "facility",
-        F.lit("Visits").alias("source"),
+        F.lit(True).alias("is_visit"),
         "row_no",
     )
-    from_claims = claims.filter(F.col("patient_id").isNotNull()).select(
+    from_claims = claims.select(
         "patient_id",
         "service_date",
         _money(F.col("charges"), "charges"),
@@ -41,10 +46,24 @@ def _common(
         _money(F.col("insurance_payments"), "insurance_payments"),
         _money(F.coalesce("patient_payments", zero) + F.coalesce("insurance_payments", zero), "total_paid"),
         office_facility("office").alias("facility"),
-        F.lit("Claims").alias("source"),
+        F.lit(False).alias("is_visit"),
         "row_no",
     )
-    return from_visits.unionByName(from_claims)
+    known = F.col("patient_id").isNotNull()
+    return from_visits.unionByName(from_claims).withColumns(
+        {
+            "in_combined": F.col("service_date").isNotNull() & (F.col("is_visit") | known),
+            "alone": F.when(~known, F.col("row_no")),
+        }
+    )
+
+
+def _source(is_visit: Column) -> Column:
+    return F.when(is_visit, "Visits").otherwise("Claims").alias("source")
+
+
+def _best() -> Column:
+    return F.struct("total_paid", "is_visit", (-F.col("row_no")).alias("earlier"))
 
 
 def combined_dedup(
@@ -54,19 +73,12 @@ def combined_dedup(
 
     An aggregate keeps the best row per key inside each task before the shuffle, so a key with very
     many rows stays cheap. Rows without a date are out; a visit without a patient id stays as it is,
-    one row each.
+    one row each, under its row number as a further key: both sources are read once.
     """
-    rows = _common(visits, claims, office_facility).filter(F.col("service_date").isNotNull())
-    alone = rows.filter(F.col("patient_id").isNull()).select(*KEYS, *_AMOUNTS, "facility", "source")
-    rows = rows.filter(F.col("patient_id").isNotNull())
-    best = F.struct("total_paid", (F.col("source") == "Visits").alias("is_visit"), (-F.col("row_no")).alias("earlier"))
-    kept = F.struct("charges", "patient_payments", "insurance_payments", "facility", "source", "row_no", "total_paid")
-    return (
-        rows.groupBy(*KEYS)
-        .agg(F.max_by(kept, best).alias("r"))
-        .select(*KEYS, *[f"r.{a}" for a in _AMOUNTS], "r.facility", "r.source")
-        .unionByName(alone)
-    )
+    rows = _common(visits, claims, office_facility).filter("in_combined")
+    kept = F.struct("charges", "patient_payments", "insurance_payments", "facility", "total_paid", "is_visit")
+    best = rows.groupBy(*KEYS, "alone").agg(F.max_by(kept, _best()).alias("r"))
+    return best.select(*KEYS, *[f"r.{a}" for a in _AMOUNTS], "r.facility", _source(F.col("r.is_visit")))
 
 
 def combined_stats(
@@ -74,37 +86,34 @@ def combined_stats(
 ) -> DataFrame:
     """One row: inputs, matched and unmatched claims, duplicates removed, final rows by source.
 
-    Counts are additive per (patient, date), so one grouping of a union answers all of them.
+    Counts are additive per (patient, date), so one grouping of one union answers all of them. A key's
+    final row is a visit if the best visit is paid no less than the best claim, which takes two
+    amounts and no text, so rows are never sorted.
     """
-    best = F.struct("total_paid", (F.col("source") == "Visits").alias("is_visit"), (-F.col("row_no")).alias("earlier"))
     rows = _common(visits, claims, office_facility)
-    dated = rows.filter(F.col("service_date").isNotNull())
-    per_key = (
-        dated.filter(F.col("patient_id").isNotNull())
-        .groupBy(*KEYS)
-        .agg(F.count("*").alias("n"), F.max_by("source", best).alias("source"))
-        .select("n", "source")
-        .unionByName(dated.filter(F.col("patient_id").isNull()).select(F.lit(1).cast("long").alias("n"), "source"))
-    )
-    final = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("combined_records"),
-        (F.coalesce(F.sum("n"), F.lit(0)) - F.count("*")).alias("duplicates_removed"),
-        F.count("*").alias("final_records"),
-        F.count_if(F.col("source") == "Visits").alias("final_from_visits"),
-        F.count_if(F.col("source") == "Claims").alias("final_from_claims"),
-    )
-    claim_counts = claims.agg(
-        F.count("*").alias("claim_records"), F.count("patient_id").alias("claims_matched")
+    per_key = rows.groupBy(*KEYS, "alone", "in_combined").agg(
+        F.count("*").alias("n"),
+        F.count_if("is_visit").alias("n_visits"),
+        F.max(F.when(F.col("is_visit"), F.col("total_paid"))).alias("best_visit"),
+        F.max(F.when(~F.col("is_visit"), F.col("total_paid"))).alias("best_claim"),
     )
-    n_visits = visits.agg(F.count("*").alias("n")).scalar()
-    n_claims = claim_counts.select("claim_records").scalar()
-    n_matched = claim_counts.select("claims_matched").scalar()
-    return final.select(
-        n_visits.alias("visit_records"),
-        n_claims.alias("claim_records"),
-        n_matched.alias("claims_matched"),
-        (n_claims - n_matched).alias("claims_unmatched"),
-        "*",
+    final = F.col("in_combined")
+    is_visit = F.col("best_visit").isNotNull() & F.coalesce(F.col("best_visit") >= F.col("best_claim"), F.lit(True))
+    n_claims = F.col("n") - F.col("n_visits")
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    return per_key.agg(
+        total(F.col("n_visits")).alias("visit_records"),
+        total(n_claims).alias("claim_records"),
+        total(F.when(F.col("patient_id").isNotNull(), n_claims)).alias("claims_matched"),
+        total(F.when(F.col("patient_id").isNull(), n_claims)).alias("claims_unmatched"),
+        total(F.when(final, F.col("n"))).alias("combined_records"),
+        (total(F.when(final, F.col("n"))) - F.count_if(final)).alias("duplicates_removed"),
+        F.count_if(final).alias("final_records"),
+        F.count_if(final & is_visit).alias("final_from_visits"),
+        F.count_if(final & ~is_visit).alias("final_from_claims"),
     )
 
 
