@@ -12,7 +12,7 @@ from revrecon import schemas
 from revrecon.functions.dates import parse_us_date
 from revrecon.functions.money import parse_money
 from revrecon.operators.lookups import lookup
-from revrecon.sources.files import facility_of_path, file_of_row, files_with_open_cells, numbered, read_delimited, typed, whole_and_split
+from revrecon.sources.files import FILE_BITS, facility_of_path, file_of_row, files_with_open_cells, numbered, read_delimited, typed, whole_and_split
 
 
 def read_visits(
@@ -77,26 +77,29 @@ def read_deposits(spark: SparkSession, paths: Mapping[str, str], quoted_newlines
 def read_patients(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Patient master (JSON) -> master_id, patient_name, date_of_birth, row_no.
 
-    Two document shapes are read: ``{"patients": [{...}]}`` and a flat ``{"NAME": "id"}`` object.
+    Two document shapes are read: ``{"patients": [{...}]}`` and a flat ``{"NAME": "id"}`` object. Of
+    several documents the names are in order of the files, numbers in names by value, and within a
+    document in its own order: ``row_no`` grows along both, so "last name wins" holds over all of them.
     """
-    document = spark.read.text(path, wholetext=True).select("value")
     entry = "struct<master_id:string,patient_name:string,date_of_birth:string>"
+    document = numbered(spark.read.text(path, wholetext=True), F.col("value")).select("value", file_of_row().alias("file_no"))
     listed = document.select(
-        F.posexplode(F.from_json("value", f"struct<patients:array<{entry}>>")["patients"]).alias(
-            "row_no", "p"
-        )
-    ).select("p.master_id", "p.patient_name", "p.date_of_birth", "row_no")
+        "file_no",
+        F.posexplode(F.from_json("value", f"struct<patients:array<{entry}>>")["patients"]).alias("place", "p"),
+    ).select("p.master_id", "p.patient_name", "p.date_of_birth", "file_no", "place")
     flat = (
         document.filter(F.get_json_object("value", "$.patients").isNull())
-        .select(F.posexplode(F.from_json("value", "map<string,string>")).alias("row_no", "name", "id"))
+        .select("file_no", F.posexplode(F.from_json("value", "map<string,string>")).alias("place", "name", "id"))
         .select(
             F.col("id").alias("master_id"),
             F.col("name").alias("patient_name"),
             F.lit(None).cast("string").alias("date_of_birth"),
-            "row_no",
+            "file_no",
+            "place",
         )
     )
-    return listed.unionByName(flat).withColumn("row_no", F.col("row_no").cast("long"))
+    row_no = F.shiftleft("file_no", FILE_BITS) + F.col("place")
+    return listed.unionByName(flat).withColumn("row_no", row_no).drop("file_no", "place")
 
 
 def read_patient_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

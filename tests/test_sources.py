@@ -348,3 +348,14 @@ def test_line_breaks_in_claims_and_deposits(spark, tmp_path):
     rows = exports.read_deposits(spark, {"North": str(g), "South": str(plain)}).orderBy("row_no").collect()
     assert [(r.memo, r.amount, r.facility) for r in rows] == [
         ('card\nof two "lines"', Decimal("1000.00"), "North"), ("m", Decimal("5.00"), "North"), ("n", Decimal("7.00"), "South")]
+
+
+def test_several_patient_masters_in_order(spark, tmp_path):
+    (tmp_path / "master_2.json").write_text(json.dumps({"patients": [{"master_id": "1", "patient_name": "Doe, Jane"}, {"master_id": "2", "patient_name": "Roe, Rob"}]}))
+    (tmp_path / "master_10.json").write_text(json.dumps({"DOE, JANE": "7", "POE, PAT": "3"}))
+    (tmp_path / "master_1.json").write_text(json.dumps({"patients": [{"master_id": "9", "patient_name": "Doe, Jane"}]}))
+    rows = exports.read_patients(spark, f"{tmp_path}/*.json").orderBy("row_no").collect()
+    assert [(r.master_id, r.patient_name) for r in rows] == [
+        ("9", "Doe, Jane"), ("1", "Doe, Jane"), ("2", "Roe, Rob"), ("7", "DOE, JANE"), ("3", "POE, PAT")]
+    assert len({r.row_no for r in rows}) == 5
+    assert {r.patient_name.upper(): r.master_id for r in rows}["DOE, JANE"] == "7"
