@@ -14,8 +14,8 @@ from revrecon.llm import rans
 from revrecon.llm.common import scratch, settle, slices, table, text_of
 from revrecon.llm.tokens import reader, vocabulary_path
 
-#: Ids after which a block is closed at the next document's end.
-BLOCK = 1 << 18
+#: Ids after which a block is closed at the next document's end, and ids of a shard.
+BLOCK, SHARD = 1 << 18, 1 << 24
 BLOCKS = "shard int, first_ids long, n_ids long, doc_ids array<long>, payload binary"
 
 
@@ -57,7 +57,8 @@ def write_ids(docs: DataFrame, folder: str, end_id: int = 1, vocabulary: str | N
 
     A block is a row: its shard, ids before it in the shard, its number of ids, its documents' doc_ids and the coded ids
     (see ``rans``). Documents are dealt to shards by ranges of doc_id; rows with equal doc_id go on by a hash of their
-    ids, so one doc_id with very many rows spreads over several shards. The table of id counts has at most one row per
+    ids, so one doc_id with very many rows spreads over several shards. There are as many shards as the counted ids ask
+    for, about ``SHARD`` each. The table of id counts has at most one row per
     id of the vocabulary, so it is sent to every task. Texts are tokenised once: the ids are kept in the shared folder
     while the counts and the ranges are found.
 
@@ -66,7 +67,7 @@ def write_ids(docs: DataFrame, folder: str, end_id: int = 1, vocabulary: str | N
     path = vocabulary or vocabulary_path()
     ids = settle(token_ids(docs, end_id, path), "ids")
     spark, counts, blocks = docs.sparkSession, f"{folder}/counts", f"{folder}/blocks"
-    token_counts(ids).coalesce(1).write.parquet(counts)
+    token_counts(ids).write.parquet(counts)
     shared = shared_table(spark, counts)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,7 +89,8 @@ def write_ids(docs: DataFrame, folder: str, end_id: int = 1, vocabulary: str | N
             yield close()
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
-    parts = max(2, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    n_ids = spark.read.parquet(counts).agg(F.sum("n")).first()[0] or 0
+    parts = max(2, spark.sparkContext.defaultParallelism, -(-n_ids // SHARD))
     dealt = ids.withColumn("tie", F.xxhash64("ids")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
     dealt.select("doc_id", "width", "ids").mapInPandas(work, BLOCKS).write.parquet(blocks)
     return blocks, counts
