@@ -789,7 +789,7 @@ def _headed(spark, sf):
     """Matched claims under the headers of the export."""
     return matched_claims(spark, sf).select(
         F.col("patient_name").alias("Patient Name (First Last)"),
-        F.col("match_id").alias("Prompt_ID"),
+        F.col("match_id").alias("Record_ID"),
         F.col("dob").alias("Patient Birth Date"),
         F.col("office").alias("Office Key and Practice Name"),
         F.col("row_no").alias("Claim Number"),
@@ -815,7 +815,7 @@ def deid_follow_up(spark, sf):
 
 @query
 def deidentify_(spark, sf):
-    return deidentify.deidentify(_headed(spark, sf), "Prompt_ID")
+    return deidentify.deidentify(_headed(spark, sf), "Record_ID")
 
 
 @query

@@ -62,7 +62,7 @@ def file_of_row() -> Column:
 def facility_of_path(paths: Mapping[str, str]) -> Column:
     """Facility of a line from the file it stands in; the longest matching path wins.
 
-    A path may end in a pattern (``/landing/denver/*.csv``): what stands before it decides. A file
+    A path may end in a pattern (``/landing/north/*.csv``): what stands before it decides. A file
     that belongs to no facility is an error, not a lost row.
     """
     stems = {facility: re.split(r"[*?\[{]", path)[0] for facility, path in paths.items()}

@@ -160,9 +160,9 @@ def test_patient_upsert(spark):
 
 
 def test_deidentify_leaves_no_identifying_column(spark):
-    df = spark.createDataFrame([("J", "p1", "d", "o", "x", "y", 1)], ["Patient Name (First Last)", "Prompt_ID", "Patient Birth Date",
+    df = spark.createDataFrame([("J", "p1", "d", "o", "x", "y", 1)], ["Patient Name (First Last)", "Record_ID", "Patient Birth Date",
                                "Office Key and Practice Name", "Provider Profile", "Service Date", "Charges"])
-    clean = deidentify.deidentify(df, "Prompt_ID")
+    clean = deidentify.deidentify(df, "Record_ID")
     assert clean.columns == ["Patient Account Number", "Service Date", "Charges"]
     assert deidentify.phi_leak_check(clean).count() == 0
     assert deidentify.phi_leak_check(df).count() == 3
