@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,41 +38,135 @@ IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript
 #: An open element that the next one ends by itself.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: Words of tags and attributes by which the teacher tells what is not main text.
-SIDE_TAGS = frozenset("nav footer aside form header menu dialog button label input figure".split())
+SIDE_TAGS = frozenset("nav footer aside form header menu dialog button label input".split())
 SIDE_WORDS = frozenset(
     "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments cookie cookies copyright discussion disqus footer form header "
     "login masthead menu modal nav navbar navigation newsletter notice popup promo promoted related replies reply respond share sharing "
     "sidebar signup social sponsor sponsored subscribe tags toolbar widget".split()
 )
-#: Paths in which training pages set their blocks anew, main text and other text.
-MAIN_PATHS = ("body main p", "body div.content p", "body div.post-body p", "body article section p", "body div#main div.entry p", "body table tr td p", "body article div.text", "body main article blockquote p")
+#: Elements around an article in which training pages set their blocks anew, and the leaves within them: for
+#: paragraphs, and for the parts between them (headings, lists, definitions, captions, tables, quotations, code).
+MAIN_ROOTS = ("body main", "body div.content", "body div.post-body", "body article section", "body div#main div.entry", "body article div.text", "body main article", "body article", "body div#content", "body div.page div.story")
+MAIN_LEAVES = ("p", "p", "p", "p", "div", "blockquote p", "table tr td p")
+PART_LEAVES = (
+    "h2", "h2", "h3", "h4", "ul li", "ul li", "ul li p", "ol li", "ol li", "dl dt", "dl dd", "figure figcaption", "figure.image figcaption",
+    "table caption", "table tr th", "table tbody tr td", "blockquote", "pre", "section h2", "div h3", "div ul li",
+)
+#: Paths of other text.
 SIDE_PATHS = (
     "body header div", "body header h2", "body div.sidebar p", "body aside div p", "body aside ul li", "body div.comments div.comment p",
     "body section#comments ol li p", "body form label", "body form p", "body div.cookie-notice p", "body div.notice", "body div.ad",
     "body div.advert p", "body nav ul li", "body div.menu ul li", "body footer p", "body div#footer div", "body div.related ul li",
     "body article div.share", "body article aside p", "body article section.comments p", "body article footer p", "body div.newsletter p",
 )
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+NAME_END, SPECIAL = re.compile(r"[\s/>]"), re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[A-Za-z]+")
 
 
+class Path:
+    """An element's tag and attribute words, and the element around it, which all elements within share."""
+
+    __slots__ = ("above", "words", "side", "_vector")
+
+    def __init__(self, above: Path | None, words: tuple[str, ...]):
+        self.above, self.words, self._vector = above, words, None
+        self.side = above is not None and above.side or any(w in SIDE_TAGS or w[1:] in SIDE_WORDS for w in words)
+
+    def all_words(self) -> tuple[str, ...]:
+        parts, node = [], self
+        while node is not None:
+            parts.append(node.words)
+            node = node.above
+        return tuple(w for words in reversed(parts) for w in words)
+
+    def vector(self) -> np.ndarray:
+        """Three hashed vectors of all words, each the sum of the element's own and those of the path around it."""
+        waiting, node = [], self
+        while node is not None and node._vector is None:
+            waiting.append(node)
+            node = node.above
+        for node in reversed(waiting):
+            own = _words_vector(node.words)
+            node._vector = own if node.above is None else node.above._vector + own
+        return self._vector
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    node: Path | tuple[str, ...]
     text: str
     linked: int
 
+    def __post_init__(self) -> None:
+        if isinstance(self.node, tuple):
+            self.node = Path(None, self.node)
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.node.all_words()
+
+
+def markup(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """Comments, declarations and tags of a page: begin, end, tag ('' for the first two), whether it closes, attributes.
+
+    Time is linear in the page, whatever it holds. A tag ends at the first ">" outside quotes; one without it is text.
+    What follows a quote or ">" that an earlier tag came to without reaching its own end is not read again. To go on
+    elsewhere, send the position.
+    """
+    at, name_end, first = 0, -1, -1
+    last = {c: page.rfind(c) for c in "\"'>"}
+    hopeless: set[int] = set()
+    while (at := page.find("<", at)) >= 0:
+        begin, mark, end = at, page[at + 1 : at + 2], -1
+        tag, rest = "", ""
+        if page.startswith("<!--", at):
+            end = page.find("-->", at) + 3
+            end = end if end >= 3 else len(page)
+        elif mark in ("!", "?"):
+            end = page.find(">", at) + 1 or len(page)
+        else:
+            closing = mark == "/"
+            start = at + 1 + closing
+            if page[start : start + 1].isascii() and page[start : start + 1].isalpha() and last[">"] > start:
+                if name_end < start:
+                    name_end = NAME_END.search(page, start).start()
+                if first < name_end:
+                    first = SPECIAL.search(page, name_end).start()
+                special, seen = first, []
+                while special not in hopeless:
+                    if page[special] == ">":
+                        tag, rest, end = page[start:name_end], page[name_end:special], special + 1
+                        break
+                    seen.append(special)
+                    if last[page[special]] <= special or last[">"] < special:
+                        break
+                    close = page.find(page[special], special + 1)
+                    found = SPECIAL.search(page, close + 1)
+                    if found is None:
+                        break
+                    special = found.start()
+                if end < 0:
+                    hopeless.update(seen)
+        if end < 0:
+            at += 1
+            continue
+        moved = yield begin, end, tag.lower(), mark == "/", rest
+        at = end if moved is None else moved
+
 
 def blocks_of(page: str) -> list[Block]:
     """The page's leaf blocks in order: the tags and attribute words above each, its text, its characters in links.
 
-    Comments, markup and what a browser never shows (scripts, styles, heads, templates, frames, ``UNSEEN``) are no text.
+    Comments (``<!-->`` is an empty one), markup and what a browser never shows (scripts, styles, heads, templates, frames, ``UNSEEN``) are no text.
     Open elements that a page never closes end with the element around them; a head ends where text or an element begins
-    that cannot stand in it. A broken tag at the end is text.
+    that cannot stand in it. A broken tag at the end is text. Blocks share their paths, so time and memory are linear in
+    the page, however many elements stay open.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], bool]] = []
+    stack: list[tuple[str, Path, bool]] = []
+    opened: Counter[str] = Counter()
+    unclosed: set[str] = set()
     parts: list[str] = []
     linked = silent = links = at = 0
 
@@ -80,7 +175,7 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append(Block(tuple(w for _, words, _ in stack for w in words), text, min(linked, len(text))))
+                out.append(Block(stack[-1][1] if stack else ROOT, text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
@@ -96,22 +191,32 @@ def blocks_of(page: str) -> list[Block]:
     def pop() -> None:
         nonlocal silent, links
         tag, _, hidden = stack.pop()
+        opened[tag] -= 1
         silent -= hidden
         links -= tag == "a"
 
-    position = 0
-    while m := TOKEN.search(page, position):
-        add(page[at : m.start()])
-        at = position = m.end()
-        if not m[2]:
+    def end_tag(tag: str, start: int) -> re.Match | None:
+        found = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, start)
+        if found is None:
+            unclosed.add(tag)
+        return found
+
+    tokens, moved = markup(page), None
+    while True:
+        try:
+            begin, end, tag, closing, rest = tokens.send(moved)
+        except StopIteration:
+            break
+        add(page[at:begin])
+        at, moved = end, None
+        if not tag:
             continue
-        tag = m[2].lower()
         if tag in BLOCKS or tag in SILENT or tag in APART:
             flush()
         elif tag in SPACED:
             add(" ")
-        if m[1]:
-            if any(t == tag for t, *_ in stack):
+        if closing:
+            if opened[tag]:
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -120,25 +225,26 @@ def blocks_of(page: str) -> list[Block]:
             if tag not in IN_HEAD:
                 pop()
             elif tag == "noscript":
-                close = re.compile(r"</noscript\s*>", re.I).search(page, at)
-                at = position = close.end() if close else at
+                close = end_tag(tag, at)
+                at = moved = close.end() if close else at
                 continue
         ends = CLOSES.get(tag, ("p",) if tag in BLOCKS else ())
         while stack and (stack[-1][0] in ends or stack[-1][0] in ("b", "i", "em", "strong", "span", "a", "u", "font") and tag in BLOCKS and any(t in ends for t, *_ in stack[-4:])):
             pop()
-        if tag in EMPTY or m[3].endswith("/"):
+        if tag in EMPTY or rest.endswith("/"):
             continue
-        words = tuple(f".{w.lower()}" for a in ATTRIBUTE.finditer(m[3]) for w in WORD.findall(a[1] or a[2] or a[3] or ""))
-        hidden = tag in SILENT or tag in UNSEEN and any(t == UNSEEN[tag] for t, *_ in stack)
-        stack.append((tag, (tag, *words), hidden))
+        words = tuple(f".{w.lower()}" for a in ATTRIBUTE.finditer(rest) for w in WORD.findall(a[1] or a[2] or a[3] or ""))
+        hidden = tag in SILENT or tag in UNSEEN and opened[UNSEEN[tag]] > 0
+        stack.append((tag, Path(stack[-1][1] if stack else None, (tag, *words)), hidden))
+        opened[tag] += 1
         silent += hidden
         links += tag == "a"
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            end = close.start() if close else len(page)
+            close = end_tag(tag, at)
+            stop = close.start() if close else len(page)
             if tag in ("title", "textarea"):
-                add(page[at:end])
-            at = position = end
+                add(page[at:stop])
+            at = moved = stop
     add(page[at:])
     flush()
     return out
@@ -146,7 +252,7 @@ def blocks_of(page: str) -> list[Block]:
 
 def teacher(block: Block) -> bool:
     """Whether the rules take a block for main text; the labeller is trained on these and on pages set anew."""
-    return not any(w in SIDE_TAGS or w[1:] in SIDE_WORDS for w in block.path)
+    return not block.node.side
 
 
 _SLOTS: dict[str, int] = {}
@@ -175,21 +281,24 @@ NUMBERS = 8
 WIDTH = 4 * HASHED + NUMBERS
 
 
-_PATHS: dict[tuple[str, ...], np.ndarray] = {}
+_WORDS: dict[tuple[str, ...], np.ndarray] = {}
 
 
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    """Three hashed vectors of the words of a path; layouts repeat, so a worker keeps those it has met."""
-    if path not in _PATHS:
-        if len(_PATHS) > 50_000:
-            _PATHS.clear()
-        out = np.zeros(3 * HASHED)
-        for p in path:
+def _words_vector(words: tuple[str, ...]) -> np.ndarray:
+    """Three hashed vectors of an element's words; layouts repeat, so a worker keeps those it has met."""
+    if words not in _WORDS:
+        if len(_WORDS) > 50_000:
+            _WORDS.clear()
+        out = np.zeros(3 * HASHED, np.int32)
+        for p in words:
             for k, salt in enumerate("abc"):
                 h = _slot(salt + p)
                 out[k * HASHED + h % HASHED] += 1 - 2 * (h >> 40 & 1)
-        _PATHS[path] = out
-    return _PATHS[path]
+        _WORDS[words] = out
+    return _WORDS[words]
+
+
+ROOT = Path(None, ())
 
 
 def describe(blocks: list[Block]) -> np.ndarray:
@@ -198,11 +307,11 @@ def describe(blocks: list[Block]) -> np.ndarray:
     if not blocks:
         return out
     words, last = [b.text.lower().split() for b in blocks], max(1, len(blocks) - 1)
-    out[:, : 3 * HASHED] = [_path_vector(b.path) for b in blocks]
+    out[:, : 3 * HASHED] = [b.node.vector() for b in blocks]
     out[:, 3 * HASHED : 4 * HASHED] = _hashed(words)
     out[:, 4 * HASHED :] = [
         (math.log1p(len(w)) / 4, b.linked / len(b.text), min(1.0, 10 * _marks(b.text) / len(b.text)), "©" in b.text,
-         b.text[-1] in ".!?…", k / last, b.path[-1:] == ("p",), 1.0)
+         b.text[-1] in ".!?…", k / last, b.node.words[-1:] == ("p",), 1.0)
         for k, (b, w) in enumerate(zip(blocks, words, strict=True))
     ]
     return out
@@ -228,7 +337,7 @@ class Labeller:
             self.w["B" + side][hidden : 2 * hidden] = 1
         self.w["O"], self.w["C"] = rng.normal(scale=0.2, size=2 * hidden), np.zeros(1)
 
-    def _run(self, side: str, x: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, list]:
+    def _run(self, side: str, x: np.ndarray, mask: np.ndarray, keep_gates: bool = True) -> tuple[np.ndarray, list]:
         """States for x (steps, pages, width); a masked step keeps the state as it was."""
         h_size, weights, bias = self.hidden, self.w["W" + side], self.w["B" + side]
         h = c = np.zeros((x.shape[1], h_size))
@@ -241,14 +350,15 @@ class Labeller:
             c_new = np.where(keep, f * c + i * g, c)
             tc = np.tanh(c_new)
             h_new = np.where(keep, o * tc, h)
-            saved.append((t, h, c, i, f, o, g, tc, keep))
+            if keep_gates:
+                saved.append((t, h, c, i, f, o, g, tc, keep))
             h, c = h_new, c_new
             out[t] = h
         return out, saved
 
-    def forward(self, x: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, dict]:
-        f, saved_f = self._run("f", x, mask)
-        b, saved_b = self._run("b", x, mask)
+    def forward(self, x: np.ndarray, mask: np.ndarray, keep_gates: bool = True) -> tuple[np.ndarray, dict]:
+        f, saved_f = self._run("f", x, mask, keep_gates)
+        b, saved_b = self._run("b", x, mask, keep_gates)
         both = np.concatenate([f, b], axis=2)
         return _sigmoid(both @ self.w["O"] + self.w["C"]), {"both": both, "f": saved_f, "b": saved_b}
 
@@ -306,7 +416,7 @@ class Labeller:
             at += len(lot)
             x, mask, _ = padded([pages[k] for k in lot])
             if len(x):
-                p, _ = self.forward(x, mask)
+                p, _ = self.forward(x, mask, keep_gates=False)
                 for n, k in enumerate(lot):
                     out[k] = p[: len(pages[k]), n] >= 0.5
         return out
@@ -326,12 +436,26 @@ def _path(text: str) -> tuple[str, ...]:
     return tuple(w for part in text.split() for w in (re.split(r"[.#]", part)[0], *(f".{x}" for a in re.split(r"[.#]", part)[1:] for x in WORD.findall(a))))
 
 
+def _excerpt(text: str, rng: np.random.Generator) -> str:
+    """One to fourteen neighbouring words, as they stand in headings, list items and captions."""
+    words = text.split()
+    at = int(rng.integers(len(words)))
+    return " ".join(words[at : at + int(rng.integers(1, 15))])
+
+
 def set_anew(blocks: list[Block], spare: list[Block], rng: np.random.Generator) -> tuple[list[Block], np.ndarray]:
-    """The page's main blocks in another layout, among other pages' side blocks in side paths."""
+    """The page's main blocks in another layout, with headings, lists and captions cut from them, among side blocks in side paths."""
     main = [b for b in blocks if teacher(b)]
-    path = _path(MAIN_PATHS[rng.integers(len(MAIN_PATHS))])
-    body = [Block(b.path if b.path and b.path[-1][:1] == "h" and rng.random() < 0.5 else path, b.text, 0) for b in main]
-    out = [(b, True) for b in body]
+    root, leaf = MAIN_ROOTS[rng.integers(len(MAIN_ROOTS))], MAIN_LEAVES[rng.integers(len(MAIN_LEAVES))]
+    path = Path(None, _path(f"{root} {leaf}"))
+    out: list[tuple[Block, bool]] = []
+    for b in main:
+        heading = b.node.words[:1] in (("h1",), ("h2",), ("h3",)) and rng.random() < 0.5
+        out.append((Block(b.node if heading else path, b.text, 0), True))
+        if rng.random() < 0.3:
+            part = Path(None, _path(f"{root} {PART_LEAVES[rng.integers(len(PART_LEAVES))]}"))
+            many = 1 if part.words[-1] in ("h2", "h3", "h4", "figcaption", "caption") else int(rng.integers(1, 6))
+            out += [(Block(part, _excerpt(main[rng.integers(len(main))].text, rng), 0), True) for _ in range(many)]
     for _ in range(int(rng.integers(2, 7))):
         side = _path(SIDE_PATHS[rng.integers(len(SIDE_PATHS))])
         at = int(rng.choice([0, len(out), rng.integers(0, len(out) + 1)]))
