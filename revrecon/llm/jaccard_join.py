@@ -294,18 +294,24 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
 
 
 def without_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class, the one with the least doc_id; texts without words all stay."""
+    """One document of each class, the one with the least doc_id; texts without words all stay, repeated or not.
+
+    Of rows equal in doc_id and text one stays, whichever other columns they have. A null doc_id comes after all others;
+    among several rows of the least doc_id the text with the least hash stays. Texts of any length are compared whole. An
+    empty table gives no rows. The columns stay as they are and may have any name, as the documents are held in one struct
+    while they are joined.
+    """
     found = near_copies(docs, words, similarity)
     kept = found.where(F.col("root").isNull() | F.col("doc_id").eqNullSafe(F.col("class_id")))
     alone = kept.where(F.col("root").isNull()).select("key", "content").distinct()
     one = kept.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct("key", "content")).alias("o")).select("o.*")
     chosen = alone.withColumn("all", F.lit(True)).union(one.withColumn("all", F.lit(False)))
-    chosen = chosen.select(F.col("key").alias("_key"), F.col("content").alias("_content"), F.col("all").alias("_all"))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    joined = docs.join(chosen, (key == F.col("_key")) & (F.xxhash64(text_of()) == F.col("_content")))
+    held = docs.select(key.alias("key"), F.xxhash64(text_of()).alias("content"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    joined = held.join(chosen, ["key", "content"])
     # rows equal in doc_id and text: one stays
-    repeated = joined.where(~F.col("_all")).dropDuplicates(["_key", "_content"])
-    return joined.where("_all").select(*docs.columns).union(repeated.select(*docs.columns))
+    repeated = joined.where(~F.col("all")).dropDuplicates(["key", "content"])
+    return joined.where("all").select("doc.*").union(repeated.select("doc.*"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ SAMPLE, PAIRS, CHUNK = 20_000, 60_000, 2048
 #: Scores at or above this are predicted to be good.
 CUT = 0.3
 FOLDS = 5
+ADDED = ("quality_score", "quality_kept")
 _MARKS = ".,|!?'\"-#"
 KINDS = 7 + len(_MARKS)
 WORDY = 6
@@ -170,9 +171,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pair
     """The documents with quality_score (0 to 1) and quality_kept (score at or above ``CUT``).
 
     Null texts are scored as empty ones. Without labels of both kinds every score is 0.5. Repeated rows get equal
-    scores. Only the text is read for a score; other columns stay as they are.
+    scores, an empty table none. Texts are read whole, however long, some two million characters at a time. Only the text
+    is read for a score; other columns stay as they are, but for columns named quality_score or quality_kept, in any
+    case: the new ones take their place.
     """
     ranker = learn(docs, labels, sample, pairs)
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,9 +184,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pair
             parts = [np.full(len(p), 0.5) if ranker is None else ranker.scores(features(p["text"].tolist())) for p in slices([texts], "text")]
             scores = np.concatenate(parts) if parts else np.zeros(0)
             columns = [*batch.columns, pa.array(scores, pa.float64()), pa.array(scores >= CUT, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "quality_score", "quality_kept"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *ADDED])
 
-    added = [T.StructField("quality_score", T.DoubleType()), T.StructField("quality_kept", T.BooleanType())]
+    added = [T.StructField(c, kind) for c, kind in zip(ADDED, (T.DoubleType(), T.BooleanType()), strict=True)]
     return docs.mapInArrow(work, T.StructType([*docs.schema.fields, *added]))
 
 

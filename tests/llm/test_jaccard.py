@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 from revrecon.llm import jaccard_join
 from revrecon.llm.components import components, local_roots
 from revrecon.llm.jaccard_join import bucket_links, near_copies, without_near_copies
@@ -80,6 +81,18 @@ def test_groups_of_all_kinds(make_docs):
     assert got.count(None) == 1
 
 
+def test_columns_that_clash_with_own_ones(make_docs):
+    docs = make_docs([(3, "one two three four five six"), (1, "one two three four five six"), (1, "one two three four five six"), (None, None), (4, ""), (4, "")])
+    for c in ("_key", "_content", "_all", "key", "content", "all", "doc", "root", "set_id", "class_id", "n_links", "signature", "copies"):
+        docs = docs.withColumn(c, F.col("doc_id") + 1)
+    kept = without_near_copies(docs)
+    assert kept.schema == docs.schema
+    assert sorted((r["doc_id"] or 0, r["_key"], r["all"]) for r in kept.collect() if r["doc_id"]) == [(1, 2, 2), (4, 5, 5), (4, 5, 5)]
+    assert kept.count() == 4
+    assert sorted(found(near_copies(docs)), key=str) == sorted(found(near_copies(docs.select("doc_id", "text"))), key=str)
+    assert without_near_copies(docs.limit(0)).count() == 0
+
+
 def test_nothing_to_join(make_docs):
     assert near_copies(make_docs([])).count() == 0
     assert found(near_copies(make_docs([(1, None), (2, "x")]))) == [(1, 0, 1), (2, 0, 2)]

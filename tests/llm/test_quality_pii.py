@@ -6,6 +6,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from revrecon.llm import quality
 from revrecon.llm.personal_data import KINDS, boost, find_personal_data, threshold
 from revrecon.llm.quality import drawn, fit_ranker, learn, quantile_cut, score_quality
@@ -34,6 +35,10 @@ def test_quality_without_labels_and_odd_texts(spark, make_docs):
     assert len(got) == 5 and all(0 <= r["quality_score"] <= 1 for r in got)
     assert {r["size"] for r in got} == {"x"}
     assert score_quality(make_docs([]), some).count() == 0
+    named = docs.withColumn("quality_score", F.lit("mine")).withColumn("Quality_Kept", F.lit(1)).withColumn("x", F.lit(2))
+    again = score_quality(named, some)
+    assert again.columns == [*docs.columns, "x", "quality_score", "quality_kept"]
+    assert sorted(r["quality_score"] for r in again.collect()) == sorted(r["quality_score"] for r in got)
 
 
 def test_ranker_orders_pairs():
