@@ -15,10 +15,48 @@ from checks.queries import (
     PL_MONTH,
     SNAPSHOT_PREFIXES,
 )
-from revrecon import rules
 
 # every month of the yearly sheets; the visits lie within them
 ALL_MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
+# Fixed values of the reports, written out here and not imported, so that a wrong value in the library shows.
+VALID_STAGES = (
+    "Closed",
+    "Open",
+    "Review",
+    "In Progress",
+    "Not Started",
+    "Patient Canceled",
+    "Center Canceled",
+    "No Show",
+)
+VISITS_ONLY_NOTE = "In visits but NOT in claims - possible billing delay or data entry issue"
+CLAIMS_ONLY_NOTE = "In claims but NOT in visits - UNMATCHED patient or data discrepancy"
+DEPOSIT_CAUSES_LEDGER_HIGH = (
+    "Deposits not yet recorded in the visit system",
+    "Non-patient deposits (loans, transfers)",
+    "Timing difference - payment received before visit closed",
+)
+DEPOSIT_CAUSES_VISITS_HIGH = (
+    "Visit payments not yet deposited",
+    "Refunds or chargebacks in the ledger",
+    "Credit card processing delays",
+)
+PL_CAUSES_LEDGER_HIGH = (
+    "Insurance payments received but not posted to visits in the visit system",
+    "Payments for older visits (before the visit system date range)",
+    "Timing difference - ledger records when deposited, the visit system when posted",
+)
+PL_CAUSES_VISITS_HIGH = (
+    "Visit payments not yet reflected in the ledger",
+    "Refunds or adjustments in the ledger",
+    "Possible data entry discrepancy",
+)
+AGE_BUCKETS = (
+    ("31-60 days", 31, 60),
+    ("61-90 days", 61, 90),
+    ("91-120 days", 91, 120),
+    ("120+ days", 121, None),
+)
 BILLING = "('Review','Open','Closed')"
 CANCELED = "('Patient Canceled','Center Canceled')"
 OPERATIONAL = "('No Show','Patient Canceled','Center Canceled','Not Started')"
@@ -458,7 +496,7 @@ _PROFILED = ("primary_allowed", "total_paid", "patient_paid", "primary_paid", "w
 put("profile_numeric", "gaps", " union all ".join(f"""select '{c}' as column_name, count(*) filter (where {c} is null) as null_count,
    count(*) filter (where {c} < 0) as negative_count, count(*) filter (where {c} = 0) as zero_count, {dbl(f'min({c})')} as min_value,
    {dbl(f'max({c})')} as max_value, {dbl(f'sum({c})')} as sum_value from gaps""" for c in _PROFILED))
-_STATUS = f"case when visit_stage is null then 'null' when visit_stage in {quoted(rules.VALID_STAGES)} then 'valid' else 'unknown' end"
+_STATUS = f"case when visit_stage is null then 'null' when visit_stage in {quoted(VALID_STAGES)} then 'valid' else 'unknown' end"
 put("profile_stages", "gaps", f"select visit_stage as stage, count(*) as n, {_STATUS} as status from gaps group by 1")
 
 
@@ -628,9 +666,9 @@ put("comparison_stats", "compared fx_visits fx_claims", f"""select *, matched -
    {pct('(matched - records_with_discrepancies)', 'matched', 1)} as match_quality from (select (select count(*) from fx_visits) as visits_total, (select count(*) from fx_claims) as claims_total,
    count(*) as matched, {', '.join(f'count(*) filter (where {d}) as {n}_mismatches' for n, d in (('billed', 'd_bill'), ('patient', 'd_pat'), ('insurance', 'd_ins'), ('total', 'd_tot')))},
    {big('sum(d_bill::int + d_pat::int + d_ins::int + d_tot::int)')} as field_discrepancies, count(*) filter (where disc <> 'None') as records_with_discrepancies from compared where c_row is not null) s""")
-put("visits_only", "compared", f"""select {_KEY}, payer, provider, referral_source, facility, visit_stage, {_AMTS}, '{rules.VISITS_ONLY_NOTE}' as note from compared where c_row is null""")
+put("visits_only", "compared", f"""select {_KEY}, payer, provider, referral_source, facility, visit_stage, {_AMTS}, '{VISITS_ONLY_NOTE}' as note from compared where c_row is null""")
 _CO = f"""{text_date('c.service_date')} as dos, c.row_no, {dbl('c.charges')} as charges, {dbl('c.insurance_payments')} as insurance_payments, {dbl('c.patient_payments')} as patient_payments,
-   {dbl('c.current_balance')} as current_balance, '{rules.CLAIMS_ONLY_NOTE}' as note"""
+   {dbl('c.current_balance')} as current_balance, '{CLAIMS_ONLY_NOTE}' as note"""
 put("claims_only", "vl g1 kclaims", f"""select c.patient_id, {_CO} from g1 c where not exists (select 1 from vl v where v.patient_id = c.patient_id and v.dos = c.service_date)
   union all select c.patient_id, {_CO} from kclaims c where c.patient_id is null""")
 put("expected_match_by_stage", "compared", """select visit_stage, count(*) as n, case visit_stage when 'Closed' then 'concern' when 'Open' then 'possible' else 'expected' end as outcome
@@ -639,7 +677,7 @@ _HIT = "c_row is not null"
 _MASTER = f"""select {_KEY}, payer as case_primary_insurance, case when {_HIT} then 'Both' else 'Visits Only' end as source,
    case when {_HIT} then 'Matched' else 'Unmatched in Claims' end as match_status, provider, referral_source, facility, {_AMTS}, {_CAMTS},
    {', '.join(f"case when {_HIT} then case when {d} then 'NO' else 'YES' end end as {n}_match" for n, d in (('billed', 'd_bill'), ('patient', 'd_pat'), ('insurance', 'd_ins'), ('total', 'd_tot')))},
-   case when c_row is null then visit_stage end as visit_stage, case when {_HIT} then disc end as discrepancies, case when c_row is null then '{rules.VISITS_ONLY_NOTE}' end as note from compared"""
+   case when c_row is null then visit_stage end as visit_stage, case when {_HIT} then disc end as discrepancies, case when c_row is null then '{VISITS_ONLY_NOTE}' end as note from compared"""
 put("billing_master", "compared", _MASTER)
 put("billing_master_summary", "compared", f"""select 'source' as grouping, source as value, count(*) as n from ({_MASTER}) m group by source
   union all select 'match_status', match_status, count(*) from ({_MASTER}) m group by match_status
@@ -758,8 +796,8 @@ def recon_flags(text: str, high: float, up: tuple[str, ...], down: tuple[str, ..
       case when ledger_amount > visits_collected then '{' | '.join(up)}' else '{' | '.join(down)}' end as possible_causes from ({text}) r where flag = 'REVIEW'"""
 
 
-put("recon_deposits_flags", "fx_visits kept", recon_flags(_R1, 2000, rules.DEPOSIT_CAUSES_LEDGER_HIGH, rules.DEPOSIT_CAUSES_VISITS_HIGH))
-put("recon_pl_flags", "merged pl", recon_flags(_R4, 5000, rules.PL_CAUSES_LEDGER_HIGH, rules.PL_CAUSES_VISITS_HIGH))
+put("recon_deposits_flags", "fx_visits kept", recon_flags(_R1, 2000, DEPOSIT_CAUSES_LEDGER_HIGH, DEPOSIT_CAUSES_VISITS_HIGH))
+put("recon_pl_flags", "merged pl", recon_flags(_R4, 5000, PL_CAUSES_LEDGER_HIGH, PL_CAUSES_VISITS_HIGH))
 
 # --- dashboard ---
 put("monthly_collections", "coll", f"""select {month('dos')} as month, {dbl(zsum('last_billed'))} as total_charges, {dbl(zsum('collected'))} as total_collected,
@@ -769,7 +807,7 @@ put("monthly_collections", "coll", f"""select {month('dos')} as month, {dbl(zsum
 put("collections_by_provider", "coll", f"""select provider, {dbl(zsum('last_billed'))} as charges, {dbl(zsum('collected'))} as collected from coll where {month('dos')} = '{MONTH}' group by 1""")
 put("ar_aging", "flagged", " union all ".join(
     f"select '{label}' as bucket, count(*) as visits, {dbl(zsum('last_billed'))} as amount from flagged where f_ar and lb_days >= {lo}" + (f" and lb_days <= {hi}" if hi else "")
-    for label, lo, hi in rules.AGE_BUCKETS))
+    for label, lo, hi in AGE_BUCKETS))
 put("available_months", "pl fx_visits", f"select month from pl union select {month('dos')} from fx_visits")
 _INC, _EXP = zsum("amount", "type = 'Income'"), zsum("amount", "type = 'Expense'")
 put("pl_month_summary", "pl", f"select {dbl(_INC)} as income, {dbl(_EXP)} as expenses, {dbl(f'{_INC} - {_EXP}')} as net from pl where month = '{PL_MONTH}'")
