@@ -222,9 +222,12 @@ def validation_summary(
 
 
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+_QUARTILE_ROW = "column_name string, " + ", ".join(f"{q} double" for q in _QUARTILES)
 _BUCKETS_PER_DOUBLING = 256
 #: Parts that a bucket with several values is cut into by one more pass.
 _PARTS = 4096
+#: Columns that one pass describes.
+_DESCRIBED = 3
 
 
 def _narrowed(totals: DataFrame, wanted: list[tuple[str, float, int]]) -> list:
@@ -241,15 +244,14 @@ def _narrowed(totals: DataFrame, wanted: list[tuple[str, float, int]]) -> list:
     return hit.filter(inside).select("column_name", "within", "rank", "before", "n", "lo", "hi").collect()
 
 
-def _values(df: DataFrame, columns: Sequence[str], bucket: Callable[[str, Column], tuple[Column, Column]]) -> DataFrame:
-    """Counts, least and greatest value per column, range and bucket; values without a bucket are left out."""
-    pairs = []
-    for name in columns:
-        value = F.col(f"`{name}`").cast("double")
-        within, at = bucket(name, value)
-        some = value.isNotNull() & ~F.isnan(value) & at.isNotNull()
-        pairs.append(F.when(some, F.struct(F.lit(name).alias("column_name"), within.alias("within"), at.alias("bucket"), value.alias("value"))))
-    rows = df.select(F.explode(F.array(*pairs)).alias("v")).filter(F.col("v").isNotNull()).select("v.*")
+def _values(df: DataFrame, columns: Sequence[str], bucketed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Counts, least and greatest value per column, range and bucket; null, NaN and values without a bucket are left out.
+
+    ``bucketed`` adds ``within`` and ``bucket`` to rows of (column_name, value). One expression for all columns keeps the
+    generated code short enough to be compiled.
+    """
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column_name", "value")
+    rows = bucketed(rows.filter(F.col("value").isNotNull() & ~F.isnan("value"))).filter(F.col("bucket").isNotNull())
     return rows.groupBy("column_name", "within", "bucket").agg(
         F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
     )
@@ -261,20 +263,30 @@ def exact_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     A first pass counts the values of order-preserving buckets of about 0.3 % width; only the buckets that hold a wanted
     rank are looked at again. Each further pass cuts those into ``_PARTS`` parts and counts these, until every rank
     lies in a bucket of one value: one more pass for amounts in cents, at most six for any doubles. No pass shuffles
-    more than its buckets, no values are ranked, and six numbers a column reach the driver. Null and NaN do not count; a
-    column without values has no row.
+    more than its buckets, no values are ranked, and six numbers a column reach the driver. The columns are written once, so
+    a pass never derives the table again. Null and NaN do not count; a column without values has no row.
     """
-    spark, columns = df.sparkSession, list(columns)
-    ddl = "column_name string, " + ", ".join(f"{q} double" for q in _QUARTILES)
+    columns = list(columns)
+    names = {f"c{i}": name for i, name in enumerate(columns)}
     if not columns:
-        return spark.createDataFrame([], ddl)
+        return df.sparkSession.createDataFrame([], _QUARTILE_ROW)
+    values = df.select(*[F.col(f"`{name}`").cast("double").alias(c) for c, name in names.items()])
+    return _selected_quartiles(settle(df.sparkSession, values, "quartile_values"), names)
+
 
-    def by_magnitude(name: str, value: Column) -> tuple[Column, Column]:
+def _selected_quartiles(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The quartiles of a written table's columns, named as ``names`` says: every pass reads the table, none derives it."""
+    spark = df.sparkSession
+    if not names:
+        return spark.createDataFrame([], _QUARTILE_ROW)
+    value = F.col("value")
+
+    def by_magnitude(rows: DataFrame) -> DataFrame:
         magnitude = F.floor(F.log2(F.lit(1.0) + F.abs(value)) * _BUCKETS_PER_DOUBLING)
-        return F.lit(0.0), F.when(value < 0, -magnitude - 1).otherwise(magnitude)
+        return rows.withColumns({"within": F.lit(0.0), "bucket": F.when(value < 0, -magnitude - 1).otherwise(magnitude)})
 
     # read twice: for the sizes and for the ranks
-    totals = settle(spark, _values(df, columns, by_magnitude), "bucket_totals")
+    totals = settle(spark, _values(df, list(names), by_magnitude), "bucket_totals")
     sizes = {r[0]: r[1] for r in totals.groupBy("column_name").agg(F.sum("n")).collect()}
     ends = {c: {q: (share * (n - 1) // 1, -(-share * (n - 1) // 1)) for q, share in _QUARTILES.items()} for c, n in sizes.items()}
     wanted = sorted({(c, 0.0, int(rank)) for c, qs in ends.items() for pair in qs.values() for rank in pair})
@@ -290,25 +302,27 @@ def exact_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 ranges.setdefault(r.column_name, {})[r.lo] = (r.hi, base[r.column_name, r.within] + r.before)
         if wanted:
             base = {(c, lo): before for c, own in ranges.items() for lo, (_, before) in own.items()}
+            cuts = spark.createDataFrame(
+                [(c, lo, hi) for c, own in ranges.items() for lo, (hi, _) in own.items()], "in_column string, within double, up_to double"
+            )
 
-            def by_part(name: str, value: Column) -> tuple[Column, Column]:
-                within, at = F.lit(None).cast("double"), F.lit(None).cast("long")
-                for lo, (hi, _) in ranges[name].items():  # noqa: B023 - used up in this turn
-                    inside = (value >= lo) & (value <= hi)
-                    part = F.least(F.floor((value - lo) / (hi - lo) * _PARTS), F.lit(_PARTS - 1))
-                    within, at = F.when(inside, lo).otherwise(within), F.when(inside, part).otherwise(at)
-                return within, at
+            def by_part(rows: DataFrame) -> DataFrame:
+                within, up_to = F.col("within"), F.col("up_to")
+                # at most six ranges of each column, which do not overlap
+                inside = (F.col("column_name") == F.col("in_column")) & (value >= within) & (value <= up_to)
+                part = F.least(F.floor((value - within) / (up_to - within) * _PARTS), F.lit(_PARTS - 1))
+                return rows.join(F.broadcast(cuts), inside).withColumn("bucket", part)  # noqa: B023 - used up in this turn
 
             totals = _values(df, list(ranges), by_part)
             wanted = sorted(set(wanted))
     rows = []
     for c, n in sizes.items():
-        row = [c]
+        row = [names[c]]
         for q, (low, high) in ends[c].items():
             a, b = found[c, int(low)], found[c, int(high)]
             row.append(a + (b - a) * (_QUARTILES[q] * (n - 1) - low) if a != b else a)
         rows.append(tuple(row))
-    return spark.createDataFrame(rows, ddl)
+    return spark.createDataFrame(rows, _QUARTILE_ROW)
 
 
 def summary_stats(df: DataFrame) -> DataFrame:
@@ -321,19 +335,29 @@ def summary_stats(df: DataFrame) -> DataFrame:
         "min_value": lambda c: F.min(c).cast("double"),
         "max_value": lambda c: F.max(c).cast("double"),
     }
-    exprs = [F.count("*").alias("total_rows")]
-    for name in df.columns:
-        exprs.append(F.count_if(F.col(name).isNull()).alias(f"{name}__nulls"))
-        if name in numeric:
-            exprs += [fn(F.col(name)).alias(f"{name}__{m}") for m, fn in measures.items()]
-    rows = []
-    for name in df.columns:
-        row = [F.lit(name), F.col("total_rows"), F.col(f"{name}__nulls")]
-        for m in measures:
-            empty = F.lit(None).cast("long" if m == "n" else "double")
-            row.append(F.col(f"{name}__{m}") if name in numeric else empty)
-        rows.append(row)
-    described = _stacked(df.agg(*exprs), rows, ["column_name", "total_rows", "null_count", *measures])
-    return described.join(exact_quartiles(df, numeric), "column_name", "left").select(
+    # written once: numbers as they are, of other columns only whether they are null
+    places = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    columns = [(F.col(n) if n in numeric else F.when(F.col(n).isNotNull(), True)).alias(c) for n, c in places.items()]
+    table = settle(df.sparkSession, df.select(*columns), "summary_columns")
+
+    def described(group: Sequence[str]) -> DataFrame:
+        exprs, rows = [F.count("*").alias("total_rows")], []
+        for name in group:
+            c = places[name]
+            row = [F.lit(name), F.col("total_rows"), F.col(f"{c}__nulls")]
+            exprs.append(F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"))
+            for m, fn in measures.items():
+                if name in numeric:
+                    exprs.append(fn(F.col(c)).alias(f"{c}__{m}"))
+                empty = F.lit(None).cast("long" if m == "n" else "double")
+                row.append(F.col(f"{c}__{m}") if name in numeric else empty)
+            rows.append(row)
+        return _stacked(table.agg(*exprs), rows, ["column_name", "total_rows", "null_count", *measures])
+
+    # a pass over few columns reads only these, and its code is short enough to be compiled
+    names = list(places)
+    parts = [described(names[i : i + _DESCRIBED]) for i in range(0, len(names), _DESCRIBED)]
+    quartiles = _selected_quartiles(table, {places[name]: name for name in numeric})
+    return reduce(DataFrame.unionByName, parts).join(quartiles, "column_name", "left").select(
         "column_name", "total_rows", "null_count", "n", "mean", "std", "min_value", *_QUARTILES, "max_value"
     )

@@ -190,6 +190,21 @@ def test_quartiles_by_selection_against_all_values(spark):
     assert quality.exact_quartiles(df, []).collect() == []
 
 
+def test_summary_derives_its_table_once(spark):
+    """Every pass reads written columns: a table that is dear to derive, or differs from run to run, is derived once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(20_000).selectExpr("id", "cast(id % 997 as decimal(18,2)) / 7 as m", "if(id % 4 = 0, null, 'x') as `t`")
+    stats = {r["column_name"]: r for r in as_dicts(quality.summary_stats(df.mapInArrow(counted, df.schema)))}
+    assert seen.value == 20_000
+    assert (stats["id"]["p25"], stats["id"]["p50"], stats["t"]["null_count"], stats["t"]["n"]) == (4999.75, 9999.5, 5000, None)
+
+
 def test_quartiles_shuffle_buckets_only(spark, monkeypatch):
     made = []
     inner = quality._values
