@@ -209,22 +209,24 @@ def read_deposits(spark, sf):
     none = F.lit(None).cast("string")
     header = ("Transaction date", "Transaction type", "Num", "Customer", "Vendor", "Memo", "Cleared", "Amount")
     preamble = [("Some Clinic LLC",) + (None,) * 8, (None, "01/01/1990 preamble") + (None,) * 6 + ("1.00",), (None, *header)]
-    top = d.select(*keys).distinct().select(
-        "file", "yr",
-        F.posexplode(F.array(*[F.struct(*[F.lit(v).cast("string").alias(c) for c, v in zip(cols, line)]) for line in preamble]))
-        .alias("at", "line"),
-    ).select("line.*", "file", "yr", "at")
     lines = d.select(
         "account", _us_date("txn_date").alias("txn_date"), F.lit("Deposit").alias("txn_type"),
         F.col("row_no").cast("string").alias("num"), none.alias("customer"), none.alias("vendor"), "memo", "cleared",
         F.format_number("amount", 2).alias("amount"), *keys, F.lit(3).alias("at"),
     )
-    subtotals = d.groupBy("facility", "yr", "account").agg(F.format_number(F.sum("amount"), 2).alias("amount")).select(
-        F.concat(F.lit("Total for "), "account").alias("account"),
-        *[none.alias(c) for c in cols[1:-1]], "amount", *keys, F.lit(4).alias("at"),
+    # the lines around the transactions: preamble and subtotals, from one pass over the deposits
+    totals = d.groupBy("facility", "yr", "account").agg(F.format_number(F.sum("amount"), 2).alias("amount"))
+
+    def line(at: int, *cells: Column) -> Column:
+        return F.struct(*[c.cast("string").alias(name) for c, name in zip(cells, cols)], F.lit(at).alias("at"))
+
+    tops = [line(at, *[F.lit(v) for v in cells]) for at, cells in enumerate(preamble)]
+    subtotal = line(4, F.concat(F.lit("Total for "), "account"), *[none] * (len(cols) - 2), F.col("amount"))
+    frame = totals.groupBy("facility", "yr").agg(F.collect_list(subtotal).alias("totals")).select(
+        F.inline(F.concat(F.array(*tops), "totals")), *keys,
     )
     # a deposit export is one file by nature: the transactions of one facility in one year
-    rows = top.unionByName(lines).unionByName(subtotals).repartition("file", "yr")
+    rows = frame.unionByName(lines).repartition("file", "yr")
     rows.sortWithinPartitions("file", "yr", "at").drop("at").write.option("escape", '"').partitionBy("file", "yr").csv(root)
     paths = {region: f"{root}/file={region}/*" for region in fx.REGIONS}
     return exports.read_deposits(spark, paths).select(

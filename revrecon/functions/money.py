@@ -15,7 +15,7 @@ def _number(text: Column) -> Column:
 def parse_money(col: str | Column) -> Column:
     """``$1,234.56`` -> decimal; anything that is no number -> null."""
     text = F.col(col) if isinstance(col, str) else col
-    return _number(F.trim(F.regexp_replace(text.cast("string"), r"[$,]", "")))
+    return _number(F.trim(F.translate(text.cast("string"), "$,", "")))
 
 
 def parse_money_or_zero(col: str | Column, negative_parens: bool = False) -> Column:
@@ -24,7 +24,7 @@ def parse_money_or_zero(col: str | Column, negative_parens: bool = False) -> Col
     By default ``(5.00)`` gives 5.00; ``negative_parens`` reads it as -5.00.
     """
     text = F.trim((F.col(col) if isinstance(col, str) else col).cast("string"))
-    value = _number(F.trim(F.regexp_replace(text, r"[$,()]", "")))
+    value = _number(F.trim(F.translate(text, "$,()", "")))
     if negative_parens:
         value = F.when(text.rlike(r"^\(.*\)$"), -value).otherwise(value)
     return F.coalesce(value, F.lit(0)).cast(MONEY_TYPE)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from revrecon import schemas
 from revrecon.functions.dates import parse_us_date
 from revrecon.functions.money import parse_money
 from revrecon.operators.lookups import lookup
-from revrecon.sources.files import FILE_BITS, facility_of_path, file_of_row, files_with_open_cells, numbered, read_delimited, typed, whole_and_split
+from revrecon.sources.files import BROADCAST_FILES, FILE_BITS, file_of_row, files_with_open_cells, numbered, read_delimited, typed, whole_and_split
 
 
 def read_visits(
@@ -55,19 +56,19 @@ def read_deposits(spark: SparkSession, paths: Mapping[str, str], quoted_newlines
         return spark.read.schema(ddl).options(header=False, escape='"', multiLine=whole).csv(files)
 
     fields = [F.col(c) for c in schemas.DEPOSIT_FIELDS]
-    scans = [numbered(raw, *fields, facility_of_path(paths).alias("facility")) for raw in whole_and_split(read, open_files)]
+    scans = [numbered(raw, *fields, facilities=paths) for raw in whole_and_split(read, open_files)]
     lines = reduce(DataFrame.unionByName, scans).withColumn("file_no", file_of_row())
-    cells = F.array(*[F.trim(F.coalesce(F.col(c), F.lit(""))) for c in schemas.DEPOSIT_FIELDS])
-    headers = (
-        lines.filter(F.array_contains(cells, "Transaction date"))
-        .groupBy("file_no")
-        .agg(F.min("row_no").alias("header_row"))
-    )
+    title = "Transaction date"
+    named = reduce(or_, [F.contains(c, F.lit(title)) & (F.trim(c) == title) for c in fields])
+    headers = lines.filter(named).groupBy("file_no").agg(F.min("row_no").alias("header_row"))
     dated = lines.filter(F.col("txn_date").rlike(r"\d{2}/\d{2}/\d{4}"))
     missing = F.raise_error(F.concat(F.lit("no header line in a deposit file of "), F.col("facility"))).cast("long")
+    if len(read(False).inputFiles()) <= BROADCAST_FILES:  # one row per file: the lines stay where they are read
+        placed = dated.join(F.broadcast(headers), "file_no", "left")
+    else:
+        placed = lookup(dated, headers, ["file_no"])
     return (
-        lookup(dated, headers, ["file_no"])
-        .filter(F.col("row_no") > F.coalesce("header_row", missing))
+        placed.filter(F.col("row_no") > F.coalesce("header_row", missing))
         .select(*schemas.DEPOSIT_FIELDS, "row_no", "facility")
         .withColumns({"txn_date": parse_us_date("txn_date"), "amount": parse_money("amount")})
         .filter(F.col("amount").isNotNull())

@@ -17,6 +17,7 @@ from revrecon.functions.money import parse_money, parse_money_or_zero
 FILE_BITS = 42
 #: Local paths come as file:/x in one place and as file:///x in another.
 _LOCAL = "^file:/+"
+_LOCAL_FORMS = ("/", "file:/", "file:///")
 #: File lists up to this length (some 25 MB of paths) are sent to every task, longer ones are joined by shuffle.
 BROADCAST_FILES = 100_000
 
@@ -26,32 +27,43 @@ def by_name(path: str) -> str:
     return re.sub(r"\d+", lambda digits: digits[0].zfill(20), path)
 
 
-def numbered(lines: DataFrame, *columns: Column, first_file: int = 0) -> DataFrame:
+def numbered(lines: DataFrame, *columns: Column, first_file: int = 0, facilities: Mapping[str, str] | None = None) -> DataFrame:
     """``columns`` of freshly read files and ``row_no``, the place of each row in the order of files and lines.
 
     Files are ranked by path, numbers by value, which does not depend on when a file was copied or
     which task wrote it first. A line takes at least one byte, so within one file ``block start +
     index inside the task`` grows with the line's position and never repeats, however the file is
     split: full blocks have a task of their own, and files packed into one task stay within one block
-    in total. The number needs no shuffle of the rows.
+    in total. The number needs no shuffle of the rows. With ``facilities``, paths by facility, rows also
+    get ``facility`` (see :func:`facility_of_path`); a file that belongs to none is an error, not a lost
+    row. What depends on the file alone is worked out once per file.
     """
     index_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    rows = lines.select(
-        *columns,
-        F.regexp_replace("_metadata.file_path", _LOCAL, "/").alias("_file"),
-        (F.col("_metadata.file_block_start") + index_in_task).alias("_at"),
-    )
+    path = F.col("_metadata.file_path")
+    rows = lines.select(*columns, path.alias("_file"), (F.col("_metadata.file_block_start") + index_in_task).alias("_at"))
     paths = sorted(lines.inputFiles(), key=by_name)
+    nowhere = F.raise_error(F.concat(F.lit("no facility for "), _decoded("_file"))).cast("string")
     if len(paths) <= 1:
+        if facilities is not None:
+            rows = rows.withColumn("facility", F.coalesce(facility_of_path(facilities, "_file"), nowhere))
         return rows.withColumn("row_no", F.lit(first_file << FILE_BITS) + F.col("_at")).drop("_file", "_at")
-    ranks = lines.sparkSession.createDataFrame(
-        [(re.sub(_LOCAL, "/", path), rank) for rank, path in enumerate(paths, first_file)], "_file string, _rank long"
-    )
+    # a local file is listed in every form its name may have in a row, so rows need no rewriting of theirs
+    forms = {
+        form: rank
+        for rank, path in enumerate(paths, first_file)
+        for form in [path, *[re.sub("^(file:)?/+", start, path) for start in _LOCAL_FORMS if re.match("(file:)?/", path)]]
+    }
+    ranks = lines.sparkSession.createDataFrame(list(forms.items()), "_file string, _rank long")
+    if facilities is not None:
+        ranks = ranks.withColumn("facility", facility_of_path(facilities, "_file"))
     if len(paths) <= BROADCAST_FILES:
         ranks = F.broadcast(ranks)
     rank = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file not listed: "), F.col("_file"))).cast("long"))
     number = F.shiftleft(rank, FILE_BITS) + F.col("_at")
-    return rows.join(ranks, "_file", "left").withColumn("row_no", number).drop("_file", "_at", "_rank")
+    rows = rows.join(ranks, "_file", "left")
+    if facilities is not None:
+        rows = rows.withColumn("facility", F.coalesce("facility", nowhere))
+    return rows.withColumn("row_no", number).drop("_file", "_at", "_rank")
 
 
 def file_of_row() -> Column:
@@ -59,18 +71,20 @@ def file_of_row() -> Column:
     return F.shiftright("row_no", FILE_BITS)
 
 
-def facility_of_path(paths: Mapping[str, str]) -> Column:
-    """Facility of a line from the file it stands in; the longest matching path wins.
+def facility_of_path(paths: Mapping[str, str], file: str) -> Column:
+    """Facility of the file named in a column; the longest matching path wins, null if none does.
 
-    A path may end in a pattern (``/landing/north/*.csv``): what stands before it decides. A file
-    that belongs to no facility is an error, not a lost row.
+    A path may end in a pattern (``/landing/north/*.csv``): what stands before it decides.
     """
     stems = {facility: re.split(r"[*?\[{]", path)[0] for facility, path in paths.items()}
-    file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     result = F.when(F.lit(False), F.lit(None).cast("string"))
     for facility, stem in sorted(stems.items(), key=lambda item: -len(item[1])):
-        result = result.when(file_path.contains(stem), facility)
-    return result.otherwise(F.raise_error(F.concat(F.lit("no facility for "), file_path)).cast("string"))
+        result = result.when(_decoded(file).contains(stem), facility)
+    return result
+
+
+def _decoded(file: str) -> Column:
+    return F.url_decode(F.replace(F.col(file), F.lit("+"), F.lit("%2B")))
 
 
 def _open_cell(sep: str) -> str:
@@ -84,6 +98,14 @@ def _open_cell(sep: str) -> str:
     return rf'\A(?:(?:{cell}){re.escape(sep)})*+"{rest}\z'
 
 
+def _ends_open(sep: str) -> Column:
+    """If the line in ``value`` fits :func:`_open_cell`. Its last quote then opens the cell or is one of two: few other lines need the pattern."""
+    value = F.col("value")
+    last = F.concat(F.lit('"'), F.substring_index(value, '"', -1))
+    may = value.endswith(F.concat(F.lit(sep), last)) | value.endswith(F.concat(F.lit('"'), last)) | (value == last)
+    return value.contains('"') & may & value.rlike(_open_cell(sep))
+
+
 def files_with_open_cells(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8") -> list[str]:
     """The files (as ``_metadata.file_path`` names them) in which a quoted cell holds a line break.
 
@@ -95,7 +117,7 @@ def files_with_open_cells(spark: SparkSession, path: str | list[str], sep: str =
         lines = spark.read.options(**options).schema("value string").csv(path)
     else:
         lines = spark.read.text(path)
-    found = lines.filter(F.col("value").contains('"') & F.col("value").rlike(_open_cell(sep)))
+    found = lines.filter(_ends_open(sep))
     return [r[0] for r in found.select("_metadata.file_path").distinct().collect()]
 
 

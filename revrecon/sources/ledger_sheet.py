@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from revrecon import rules
 from revrecon.functions.money import ledger_amount, parse_money
 from revrecon.operators.lookups import lookup
-from revrecon.sources.files import facility_of_path, file_of_row, numbered
+from revrecon.sources.files import file_of_row, numbered
 
 MONTH_CELL = (
     r"^(January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{4}$"
@@ -36,9 +36,7 @@ def read_pl_cells(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     without one is an error. ``sheet`` is the file's number.
     """
     raw = spark.read.text(list(paths.values()))
-    lines = numbered(raw, _cells("value").alias("cells"), facility_of_path(paths).alias("facility")).withColumn(
-        "sheet", file_of_row()
-    )
+    lines = numbered(raw, _cells("value").alias("cells"), facilities=paths).withColumn("sheet", file_of_row())
     months = F.filter(
         F.transform(
             "cells",
