@@ -12,15 +12,19 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from revrecon.llm.common import quiet_threads
 
 KEPT = 350_000
+#: Words that go to the library as one text; its time for a word grows in longer ones.
+TOGETHER = 512
 VOCABULARY = "word_bpe_49k.json"
 #: A run of ASCII marks that ends a word is a pre-token of its own; after other bytes it may belong to a longer run.
-TAIL = re.compile(rb"(?<=[a-z])([!-/:-@\[-`{-~]+)(?= )")
-WIDE_TAIL = re.compile(rb"(?<=[a-z0-9\x80-\xff])([!-/:-@\[-`{-~]+)(?= )")
+TAIL = re.compile(rb"([!-/:-@\[-`{-~](?<=[a-z].)[!-/:-@\[-`{-~]*)(?= )")
+WIDE_TAIL = re.compile(rb"([!-/:-@\[-`{-~](?<=[a-z0-9\x80-\xff].)[!-/:-@\[-`{-~]*)(?= )")
 #: What stands before a mark: letters and digits, blanks, stops and commas, other marks.
 KINDS = bytes(
     ord("a") if b >= 128 or chr(b) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 if b == 32 else ord("p") if chr(b) in ".," else ord("q")
@@ -35,14 +39,15 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def chunks_of(text: str) -> list[bytes]:
+def spaced(text: str) -> bytes:
+    """The text lower-cased, its chunks parted by single spaces."""
     b = text.encode("utf-8", "surrogatepass").lower().replace(b"\n", b" ")
     if b.translate(None, LATIN) or any(sign in b for sign in SIGNS):
-        return TAIL.sub(rb" \1", b).split(b" ")
+        return TAIL.sub(rb" \1", b)
     kinds = b.translate(KINDS)
     if b"q " in kinds or b"pp " in kinds or b"qp " in kinds:
-        return WIDE_TAIL.sub(rb" \1", b).split(b" ")
-    return b.replace(b". ", b" . ").replace(b", ", b" , ").split(b" ")
+        return WIDE_TAIL.sub(rb" \1", b)
+    return b.replace(b". ", b" . ").replace(b", ", b" , ")
 
 
 class TokenReader:
@@ -58,43 +63,55 @@ class TokenReader:
         self.older: dict[bytes, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.kind) for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, fresh: list[bytes]) -> None:
         """Ids of new chunks. Plain words go together, cut where a token ends a word; others one by one."""
-        words, others = [], []
+        words, others = [c for c in fresh if c.isalpha()], []
         for chunk in fresh:
-            text = chunk.decode("utf-8", "replace")
-            (words if text.isalpha() and text == text.lower() else others).append((chunk, text))
-        for lo in range(0, len(words), 4096):
-            part = words[lo : lo + 4096]
-            ids = self.whole([" ".join(w for _, w in part)])[0]
+            if not chunk.isalpha():
+                text = chunk.decode("utf-8", "replace")
+                (words if text.isalpha() and text == text.lower() else others).append(chunk)
+        for lo in range(0, len(words), TOGETHER):
+            part = words[lo : lo + TOGETHER]
+            ids = self.whole([b" ".join(part).decode()])[0]
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part):
                 others += part
                 continue
             raw, width = ids.tobytes(), self.kind.itemsize
             edges = [0, *(cuts * width).tolist()]
-            self.known.update((c, raw[a:b]) for (c, _), a, b in zip(part, edges[:-1], edges[1:], strict=True))
+            self.known.update((c, raw[a:b]) for c, a, b in zip(part, edges[:-1], edges[1:], strict=True))
         for lo in range(0, len(others), 20_000):
             part = others[lo : lo + 20_000]
-            self.known.update((c, i.tobytes()) for (c, _), i in zip(part, self.whole([w for _, w in part]), strict=True))
+            ids = self.whole([c.decode("utf-8", "replace") for c in part])
+            self.known.update((c, i.tobytes()) for c, i in zip(part, ids, strict=True))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text as little-endian unsigned numbers of ``self.kind``."""
-        plain = [t for t in texts if "<|" not in t]
-        chunks = [chunks_of(t) for t in plain]
-        met = set().union(*chunks)
-        fresh = met.difference(self.known)
+    def ids_of(self, met: list[bytes]) -> list[bytes]:
+        """The ids of different chunks, asked of the library for those that are not kept."""
+        found = [self.known.get(c) for c in met]
+        fresh = [c for c, ids in zip(met, found, strict=True) if ids is None]
         if len(self.known) + len(fresh) > KEPT:
             self.older, self.known = self.known, {b"": b""}
-            fresh = met.difference(self.known)
-        again = fresh.intersection(self.older)
-        self.known.update((w, self.older[w]) for w in again)
-        fresh -= again
-        self.learn(list(fresh))
-        get = self.known.__getitem__
-        done = iter([np.frombuffer(b"".join(map(get, c)), self.kind) for c in chunks])
+        again = {c: self.older[c] for c in fresh if c in self.older}
+        self.known.update(again)
+        self.learn([c for c in fresh if c not in again])
+        return [self.known[c] if ids is None else ids for c, ids in zip(met, found, strict=True)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text as little-endian unsigned numbers of ``self.kind``.
+
+        Each different chunk of the texts is looked up once; its ids are then laid down wherever it stands.
+        """
+        plain = pa.array([spaced(t) for t in texts if "<|" not in t], pa.large_binary())
+        chunks = pc.split_pattern(plain, b" ")
+        coded = chunks.flatten().dictionary_encode()
+        met = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(self.ids_of(met), pa.large_binary()).take(coded.indices)
+        sizes = pc.binary_length(ids).to_numpy(zero_copy_only=False) // self.kind.itemsize
+        edges = np.append(0, np.cumsum(sizes))[chunks.offsets.to_numpy()].tolist()
+        flat = np.frombuffer(ids.buffers()[2] if edges[-1] else b"", self.kind, edges[-1])
+        done = iter([flat[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)])
         return [next(done) if "<|" not in t else self.whole([t])[0] for t in texts]
 
 

@@ -31,6 +31,35 @@ def test_chunks_give_the_ids_of_the_whole_text(tokens):
         assert ids.tolist() == tokens.library.encode(text, add_special_tokens=False).ids
 
 
+def test_a_chunk_is_looked_up_once_for_all_its_places(tokens):
+    class Counting(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            self.asked += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+    read = TokenReader(vocabulary_path())
+    read.known = Counting(read.known)
+    texts = ["one two, " * 5000, "two one. " * 5000]
+    for text, ids in zip(texts, read.encode(texts), strict=True):
+        assert ids.tolist() == tokens.library.encode(text, add_special_tokens=False).ids
+    assert read.known.asked < 50
+
+
+@pytest.mark.parametrize("kept", [1, 3, 8])
+def test_chunks_dropped_from_the_cache_are_learned_again(tokens, monkeypatch, kept):
+    monkeypatch.setattr("revrecon.llm.tokens.KEPT", kept)
+    read = TokenReader(vocabulary_path())
+    for texts in (["a b c d", ""], ["é e f, a", "<|endoftext|> b"], ["", ""], [], ["b c g. h i j k l é", "a a a"]):
+        for text, ids in zip(texts, read.encode(texts), strict=True):
+            assert ids.tolist() == tokens.library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 1023, 5000, 300_000])
 def test_blocks_round_trip(n):
     rng = np.random.default_rng(n)
