@@ -25,7 +25,7 @@ def token_ids(docs: DataFrame, end_id: int, path: str) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         read = reader(path)
         end = np.array([end_id], read.kind).tobytes()
-        for pdf in slices(batches, "text"):
+        for pdf in slices(batches, "text", 4_000_000):
             pdf["ids"] = [i.tobytes() + end for i in read.encode(pdf["text"].tolist())]
             pdf["width"] = np.int32(read.kind.itemsize)
             yield pdf[["doc_id", "width", "ids"]]

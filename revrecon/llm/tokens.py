@@ -15,12 +15,13 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from revrecon.llm.common import quiet_threads
 
 KEPT = 350_000
 #: Words that go to the library as one text; its time for a word grows in longer ones.
-TOGETHER = 512
+TOGETHER = 128
 VOCABULARY = "word_bpe_49k.json"
 #: A run of ASCII marks that ends a word is a pre-token of its own; after other bytes it may belong to a longer run.
 TAIL = re.compile(rb"([!-/:-@\[-`{-~](?<=[a-z].)[!-/:-@\[-`{-~]*)(?= )")
@@ -59,29 +60,41 @@ class TokenReader:
         self.ends = np.zeros(self.size, bool)
         for token, i in self.library.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
+        self.bare = self.bare_library()
         self.known: dict[bytes, bytes] = {b"": b""}
         self.older: dict[bytes, bytes] = {}
 
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.kind) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def bare_library(self) -> Tokenizer:
+        """The vocabulary's model alone, for words of a to z, where it gives the same ids; else the whole library."""
+        bare = Tokenizer(self.library.model)
+        bare.pre_tokenizer = WhitespaceSplit()
+        probe = " ".join([t for t in sorted(self.library.get_vocab()) if t.isascii() and t.isalpha() and t.islower()][::16])
+        return bare if np.array_equal(self.whole([probe], bare), self.whole([probe])) else self.library
+
+    def whole(self, texts: list[str], library: Tokenizer | None = None) -> list[np.ndarray]:
+        read = (library or self.library).encode_batch_fast
+        return [np.array(e.ids, self.kind) for e in read(texts, add_special_tokens=False)]
 
     def learn(self, fresh: list[bytes]) -> None:
         """Ids of new chunks. Plain words go together, cut where a token ends a word; others one by one."""
-        words, others = [c for c in fresh if c.isalpha()], []
+        plain, wide, others = [], [], []
         for chunk in fresh:
-            if not chunk.isalpha():
-                text = chunk.decode("utf-8", "replace")
-                (words if text.isalpha() and text == text.lower() else others).append(chunk)
-        for lo in range(0, len(words), TOGETHER):
-            part = words[lo : lo + TOGETHER]
-            ids = self.whole([b" ".join(part).decode()])[0]
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(part):
-                others += part
+            if chunk.isalpha():
+                plain.append(chunk)
                 continue
-            raw, width = ids.tobytes(), self.kind.itemsize
-            edges = [0, *(cuts * width).tolist()]
-            self.known.update((c, raw[a:b]) for c, a, b in zip(part, edges[:-1], edges[1:], strict=True))
+            text = chunk.decode("utf-8", "replace")
+            (wide if text.isalpha() and text == text.lower() else others).append(chunk)
+        for library, words in ((self.bare, plain), (self.library, wide)):
+            for lo in range(0, len(words), TOGETHER):
+                part = words[lo : lo + TOGETHER]
+                ids = self.whole([b" ".join(part).decode()], library)[0]
+                cuts = np.flatnonzero(self.ends[ids]) + 1
+                if len(cuts) != len(part):
+                    others += part
+                    continue
+                raw, width = ids.tobytes(), self.kind.itemsize
+                edges = [0, *(cuts * width).tolist()]
+                self.known.update((c, raw[a:b]) for c, a, b in zip(part, edges[:-1], edges[1:], strict=True))
         for lo in range(0, len(others), 20_000):
             part = others[lo : lo + 20_000]
             ids = self.whole([c.decode("utf-8", "replace") for c in part])

@@ -11,6 +11,7 @@ from revrecon.llm.binary_output import read_ids, write_ids
 from revrecon.llm.packing import OpenWindows, best_fit_decreasing, pack
 from revrecon.llm.queries import REGISTRY
 from revrecon.llm.tokens import TokenReader, vocabulary_path
+from tokenizers.pre_tokenizers import Split
 
 SF = "/root/testdata/sf0.001"
 ODD = [None, "", "  a\t b\n\n<|endoftext|> x", "é ́ I'm DON'T's    z\x1cq", "ΑΣ ΣΑΣ. İ", "x., y. z, … . ok…. 12 345 !?!", "word " * 9000]
@@ -60,6 +61,17 @@ def test_chunks_dropped_from_the_cache_are_learned_again(tokens, monkeypatch, ke
             assert ids.tolist() == tokens.library.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_words_through_the_bare_model_have_the_same_ids(tokens, monkeypatch):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(1, 14))) for _ in range(3000)]
+    text = " ".join(words + [t.removesuffix("</w>") for t in tokens.library.get_vocab()][::9])
+    assert tokens.bare is not tokens.library
+    assert TokenReader(vocabulary_path()).encode([text])[0].tolist() == tokens.library.encode(text, add_special_tokens=False).ids
+    monkeypatch.setattr("revrecon.llm.tokens.WhitespaceSplit", lambda: Split("a", "removed"))
+    other = TokenReader(vocabulary_path())
+    assert other.bare is other.library
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 1023, 5000, 300_000])
 def test_blocks_round_trip(n):
     rng = np.random.default_rng(n)
