@@ -9,6 +9,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 BLANK = "\\x20\\x09-\\x0D"
 #: The folder of a local session that names none.
 _own: list[str] = []
+#: What this worker holds from one task to the next, and for which operator.
+_held: dict[str, dict] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +70,29 @@ def slices(batches: Iterator[pd.DataFrame], column: str, most: int = 2_000_000)
                 yield pdf.iloc[lo:hi].reset_index(drop=True)
 
 
+def batch_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The same cuts as ``slices`` for Arrow's batches; a null text has no characters."""
+    for batch in batches:
+        texts = batch.column(batch.schema.names.index(column))
+        sizes = pc.fill_null(pc.utf8_length(texts.cast(pa.string()) if pa.types.is_null(texts.type) else texts), 0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64)) // most
+        for lo, hi in spans(ends):
+            yield batch.slice(lo, hi - lo)
+
+
+def held(owner: str) -> dict:
+    """What this worker keeps for ``owner`` between tasks; it starts empty.
+
+    Workers serve all stages of a session in turn, and an idle one keeps its memory. So what it held for another owner
+    goes as soon as this one asks, and operators that keep nothing ask too.
+    """
+    if owner not in _held:
+        _held.clear()
+        pa.default_memory_pool().release_unused()
+        _held[owner] = {}
+    return _held[owner]
+
+
 def spans(keys: np.ndarray) -> list[tuple[int, int]]:
     """Begin and end of each run of equal neighbours."""
     if not len(keys):

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revrecon.llm.common import settle, slices, spans, table, text_of
+from revrecon.llm.common import held, settle, slices, spans, table, text_of
 from revrecon.llm.components import components, local_roots
 
 WORDS, SIMILARITY = 5, 0.8
@@ -21,8 +21,10 @@ RUNS, LEVELS = 16, 4
 SMALL = 64
 #: Buckets that are larger after the last level are dealt into lots of half this size, and each two lots are compared.
 LOT = 8192
-#: Sets in one tile of the exact check, and columns of a matrix in it.
-TILE, COLUMNS = 1024, 4096
+#: Sets in one tile of the exact check, columns of a matrix in it, and rows of the tile that are compared at one time.
+TILE, COLUMNS, ROWS = 1024, 1024, 256
+#: Words whose hashes a worker keeps.
+KEPT_WORDS = 100_000
 #: Pairs whose sketches agree less than this are not pursued: five deviations under the similarity.
 SKETCH_CUT = 0.55
 FUNCTIONS = RUNS * LEVELS
@@ -32,7 +34,6 @@ _RNG = np.random.default_rng(20_11)
 _FACTOR = _RNG.integers(1, 1 << 63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _RNG.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64)
 _POWERS = [pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(64)]
-_WORD_HASHES: dict[str, int] = {}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -43,13 +44,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def shingles(texts: list[str], words: int) -> list[np.ndarray]:
     """The sorted distinct hashes of each text's word n-grams; a shorter text is one n-gram, one without words none."""
     split = [t.split() for t in texts]
-    if len(_WORD_HASHES) > 500_000:
-        _WORD_HASHES.clear()
-    for w in set().union(*split).difference(_WORD_HASHES):
-        _WORD_HASHES[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
+    hashes = held("words")
+    if len(hashes) > KEPT_WORDS:
+        hashes.clear()
+    for w in set().union(*split).difference(hashes):
+        hashes[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
     out = []
     for ws in split:
-        h = np.fromiter(map(_WORD_HASHES.__getitem__, ws), np.uint64, len(ws))
+        h = np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws))
         n = min(words, len(h))
         if not n:
             out.append(np.zeros(0, np.uint64))
@@ -182,6 +184,7 @@ def candidate_links(sets: DataFrame) -> DataFrame:
     """a, b: links between sets whose sketches agree, at least one per set and bucket; their components hold all pairs found."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held("links")
         for pdf in complete_groups(batches, "bucket"):
             sketches = np.frombuffer(b"".join(pdf["signature"]), np.uint8).reshape(len(pdf), -1)[:, 3::4]
             i, j = bucket_links(sketches, pdf["bucket"].to_numpy())
@@ -211,10 +214,16 @@ def similar_pairs(sets: list[np.ndarray], side: np.ndarray, similarity: float) -
         part = np.zeros((len(sets), COLUMNS), np.float32)
         part[owner[a:b], column[a:b] - lo] = 1
         common += part @ part.T
-    alike = common >= similarity * (n[:, None] + n[None, :] - common) - 1e-6
-    if side.any() and not side.all():
-        alike &= side[:, None] != side[None, :]
-    return np.nonzero(np.triu(alike, 1))
+    left, right, across = [], [], side.any() and not side.all()
+    for lo in range(0, len(sets), ROWS):
+        part, rows = common[lo : lo + ROWS], np.arange(lo, min(lo + ROWS, len(sets)))
+        alike = part >= similarity * (n[rows, None] + n[None, :] - part) - 1e-6
+        if across:
+            alike &= side[rows, None] != side[None, :]
+        i, j = np.nonzero(np.triu(alike, lo + 1))
+        left.append(i + lo)
+        right.append(j)
+    return np.concatenate(left), np.concatenate(right)
 
 
 def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -240,6 +249,7 @@ def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame, words: int,
     tiled = tiled.select(F.xxhash64("root", low, high).alias("tile"), (F.col("own") == low).alias("lower"), "root", "set_id", "copies", "grams")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held("links")
         for pdf in complete_groups(batches, "tile", 2000):
             for lo, hi in spans(pdf["tile"].to_numpy()):
                 part = pdf.iloc[lo:hi]

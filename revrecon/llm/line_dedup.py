@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revrecon.llm.common import settle, slices, table, text_of
+from revrecon.llm.common import batch_slices, held, settle, slices, table, text_of
 
 #: What is stripped from both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -105,6 +105,7 @@ def doc_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """key, mark, doc_id: each distinct long line of each document once; a null doc_id is less than any other."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held("lines")
         for pdf in slices(batches, "text"):
             found = [np.unique(line_hashes(t.split("\n"), min_chars), axis=0) for t in pdf["text"]]
             rows = np.concatenate(found)
@@ -156,27 +157,24 @@ def dedup_lines(
     sent, name = spark.sparkContext.broadcast([r.asDict() for r in index.collect()]), uuid.uuid4().hex
 
     def doomed(rows: np.ndarray, doc_ids: np.ndarray) -> np.ndarray:
-        if name not in _OPENED:
-            _OPENED.clear()
-            _OPENED[name] = {r["shard"]: Shard.load(r) for r in sent.value}
+        opened = held("line-index")
+        if name not in opened:
+            opened.clear()
+            opened[name] = {r["shard"]: Shard.load(r) for r in sent.value}
         drop, which = np.zeros(len(rows), bool), rows[:, 0] % shards
-        for s, shard in _OPENED[name].items():
+        for s, shard in opened[name].items():
             at = np.flatnonzero((which == s) & rows.any(axis=1))
             count, last = shard.probe(rows[at, 0], rows[at, 1])
             drop[at] = (count > 0) & (last != doc_ids[at])
         return drop
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batch_slices(batches, "text"):
             yield cut(batch, doomed, min_chars)
 
     return docs.withColumn("text", text_of()).mapInArrow(work, output_schema(docs))
 
 
-#: The index that this worker has opened last.
-_OPENED: dict[str, dict[int, Shard]] = {}
-
-
 def output_schema(docs: DataFrame) -> T.StructType:
     fields = [f if f.name != "text" else T.StructField("text", T.StringType()) for f in docs.schema.fields]
     return T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
@@ -206,6 +204,7 @@ def _dedup_by_join(docs: DataFrame, lines: DataFrame, min_chars: int) -> DataFra
     """The same for any number of repeated lines: hashes of lines meet the counts in a join, and come back per text."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held("lines")
         for pdf in slices(batches, "text"):
             for text, doc_id, content in zip(pdf["text"], pdf["doc_id"], pdf["content"], strict=True):
                 rows = np.unique(line_hashes(text.split("\n"), min_chars), axis=0)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revrecon.llm.common import slices, table, text_of
+from revrecon.llm.common import batch_slices, held, slices, spans, table, text_of
 
 #: Labelled documents that a fit uses at most, half of each label where there are so many; pairs drawn from them, and
 #: pairs whose differences exist at one time.
@@ -22,6 +22,8 @@ SAMPLE, PAIRS, CHUNK = 20_000, 60_000, 2048
 CUT = 0.3
 FOLDS = 5
 ADDED = ("quality_score", "quality_kept")
+#: Characters whose pairs of bytes are counted at one time.
+AT_ONCE = 250_000
 _MARKS = ".,|!?'\"-#"
 KINDS = 7 + len(_MARKS)
 WORDY = 6
@@ -42,6 +44,12 @@ _KIND_OF = np.array([_kind(b) for b in range(256)], np.uint8)
 
 def features(texts: list[str]) -> np.ndarray:
     """A row per text: how often each kind of byte follows each other kind, and word measures, over the whole text."""
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64) // AT_ONCE
+    parts = [_features(texts[lo:hi]) for lo, hi in spans(ends)]
+    return np.concatenate(parts) if parts else np.zeros((0, WIDTH))
+
+
+def _features(texts: list[str]) -> np.ndarray:
     raw = [f" {t} ".encode("utf-8", "replace") for t in texts]
     lengths = np.array([len(r) for r in raw], np.int64)
     kinds = _KIND_OF[np.frombuffer(b"".join(raw), np.uint8)].astype(np.int64)
@@ -150,6 +158,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pairs: int =
     texts = one.select("doc_id", "quality", "one.text")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held("quality")
         for pdf in slices(batches, "text"):
             x = features(pdf["text"].tolist())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": pdf["quality"], "x": [r.astype("<f4").tobytes() for r in x]})
@@ -179,10 +188,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pair
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = pd.DataFrame({"text": [t or "" for t in batch.column(batch.schema.names.index("text")).to_pylist()]})
-            parts = [np.full(len(p), 0.5) if ranker is None else ranker.scores(features(p["text"].tolist())) for p in slices([texts], "text")]
-            scores = np.concatenate(parts) if parts else np.zeros(0)
+        held("quality")
+        for batch in batch_slices(batches, "text"):
+            texts = [t or "" for t in batch.column(batch.schema.names.index("text")).to_pylist()]
+            scores = np.full(len(texts), 0.5) if ranker is None else ranker.scores(features(texts))
             columns = [*batch.columns, pa.array(scores, pa.float64()), pa.array(scores >= CUT, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *ADDED])
 

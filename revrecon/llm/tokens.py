@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from revrecon.llm.common import quiet_threads
+from revrecon.llm.common import held, quiet_threads
 
 KEPT = 350_000
 #: Words that go to the library as one text; its time for a word grows in longer ones.
@@ -33,7 +33,6 @@ KINDS = bytes(
 )
 #: Bytes of ASCII and of U+00C0 to U+00FF, which are letters but for two signs.
 LATIN, SIGNS = bytes([*range(128), 0xC3, *range(0x80, 0xC0)]), (b"\xc3\x97", b"\xc3\xb7")
-_READERS: dict[str, TokenReader] = {}
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -129,7 +128,8 @@ class TokenReader:
 
 
 def reader(path: str) -> TokenReader:
-    """This worker's reader of a vocabulary file; it outlives the task."""
-    if path not in _READERS:
-        _READERS[path] = TokenReader(path)
-    return _READERS[path]
+    """This worker's reader of a vocabulary file; it outlives the task, until another operator runs in the worker."""
+    readers = held("tokens")
+    if path not in readers:
+        readers[path] = TokenReader(path)
+    return readers[path]
